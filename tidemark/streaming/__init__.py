@@ -1,0 +1 @@
+"""No operator here needs a stream: every input is a complete table or file, so this package is empty."""
