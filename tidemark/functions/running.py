@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.session import stage_table
 
-RANGES = 256
+RANGES = 1024
 
 
 def running_totals(

@@ -12,7 +12,7 @@ from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions.tails import chi_square_upper, normal_two_sided, student_two_sided
+from tidemark.functions.tails import chi_square_log10_p, normal_log10_p, student_log10_p
 from tidemark.session import stage_table
 
 # Terms of the regression in formula order, and the variables of the tests.
@@ -86,23 +86,28 @@ def welch_t(df: DataFrame, variables: tuple[str, ...] = WELCH_VARIABLES, label:
     )
 
 
-def _with_p_values(tests: DataFrame, statistic: str, tail: Callable[[float, float], float]) -> DataFrame:
-    """Add `p_value` to a table of one row per tested variable; those few rows pass through the driver."""
-    rows = [
-        (*row, None if row[statistic] is None or row.df is None else tail(row[statistic], row.df))
-        for row in tests.collect()
-    ]
-    return tests.sparkSession.createDataFrame(rows, tests.schema.add("p_value", "double"))
+def _with_p_values(tests: DataFrame, statistic: str, log10_tail: Callable[[float, float], float]) -> DataFrame:
+    """Add `p_value` and `log10_p` to a table of one row per tested variable.
+
+    Those few rows pass through the driver. `p_value` is 0 below the smallest double.
+    """
+    rows = []
+    for row in tests.collect():
+        known = row[statistic] is not None and row.df is not None
+        log10_p = log10_tail(row[statistic], row.df) if known else None
+        rows.append((*row, 10.0**log10_p if known else None, log10_p))
+    schema = tests.schema.add("p_value", "double").add("log10_p", "double")
+    return tests.sparkSession.createDataFrame(rows, schema)
 
 
 def chi_square_tests(df: DataFrame, variables: tuple[str, ...] = CHI_SQUARE_VARIABLES) -> DataFrame:
     """`chi_square` with p-values."""
-    return _with_p_values(chi_square(df, variables), "statistic", chi_square_upper)
+    return _with_p_values(chi_square(df, variables), "statistic", chi_square_log10_p)
 
 
 def welch_tests(df: DataFrame, variables: tuple[str, ...] = WELCH_VARIABLES) -> DataFrame:
     """`welch_t` with two-sided p-values."""
-    return _with_p_values(welch_t(df, variables), "t", student_two_sided)
+    return _with_p_values(welch_t(df, variables), "t", student_log10_p)
 
 
 def churn_rate_pct(df: DataFrame, column: str = "contract_type", label: str = "churned") -> DataFrame:
@@ -184,9 +189,9 @@ def glm_logit(
 
     def row(position: int, term: str, estimate: float | None, error: float | None) -> tuple:
         if estimate is None:
-            return position, term, None, None, None, None
-        z = estimate / error
-        return position, term, estimate, error, z, normal_two_sided(z)
+            return position, term, None, None, None, None, None
+        log10_p = normal_log10_p(estimate / error)
+        return position, term, estimate, error, estimate / error, 10.0**log10_p, log10_p
 
     table = [row(0, "(Intercept)", float(model.intercept), errors[-1])]
     for j, name in enumerate(names):
@@ -194,7 +199,8 @@ def glm_logit(
         table.append(row(j + 1, name, estimate, error))
     spark = df.sparkSession
     coefficients = spark.createDataFrame(
-        table, "position int, term string, estimate double, std_error double, z double, p_value double"
+        table,
+        "position int, term string, estimate double, std_error double, z double, p_value double, log10_p double",
     )
     statistics = [(
         float(summary.nullDeviance), int(summary.residualDegreeOfFreedomNull),

@@ -254,13 +254,14 @@ def _(t: StarTables) -> DataFrame:
 
 @query("stratified_split")
 def _(t: StarTables) -> DataFrame:
-    return splits.exact_split(planted_rows(t), "customer_id", "churned").select("customer_id", "churned", "is_test")
+    labels = stage_table(planted_rows(t).select("customer_id", "churned"), "labels")
+    return splits.exact_split(labels, "customer_id", "churned")
 
 
 @query("random_split")
 def _(t: StarTables) -> DataFrame:
-    ended = feature_rows(t).where(F.col("churned") == 1)
-    return splits.exact_split(ended, "customer_id").select("customer_id", "is_test")
+    ended = stage_table(feature_rows(t).where(F.col("churned") == 1).select("customer_id"), "ended")
+    return splits.exact_split(ended, "customer_id")
 
 
 @query("sample_rows")
@@ -286,7 +287,7 @@ def _(t: StarTables) -> DataFrame:
 
 def _score_variants(t: StarTables) -> DataFrame:
     """Metrics of three fixed scorecards: all drivers, without contract, charge only."""
-    planted = planted_rows(t)
+    planted = stage_table(planted_rows(t), "planted")
     no_contract = {**SCORECARD_WEIGHTS, "month_to_month": 0.0, "two_year": 0.0}
     charge_only = {name: 0.0 for name in rules.SCORECARD if name != "monthly_charges"}
     variants = {"all_drivers": SCORECARD_WEIGHTS, "no_contract": no_contract, "charge_only": charge_only}
@@ -432,13 +433,13 @@ def _(t: StarTables) -> DataFrame:
 @query("chi_square", digits=4)
 def _(t: StarTables) -> DataFrame:
     tests = inference.chi_square_tests(planted_rows(t))
-    return tests.select("variable", "statistic", "df", F.log10("p_value").alias("log10_p"))
+    return tests.select("variable", "statistic", "df", "log10_p")
 
 
 @query("welch_t", digits=4)
 def _(t: StarTables) -> DataFrame:
     tests = inference.welch_tests(planted_rows(t))
-    return tests.select("variable", "mean_retained", "mean_churned", "t", "df", F.log10("p_value").alias("log10_p"))
+    return tests.select("variable", "mean_retained", "mean_churned", "t", "df", "log10_p")
 
 
 @query("churn_rate_pct")

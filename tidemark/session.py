@@ -32,19 +32,29 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session without that setting gets a temporary folder of its own.
     """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not folder:
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not context.getCheckpointDir():
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="tidemark-")
-    if not context.getCheckpointDir():
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+    elif not context.getCheckpointDir():
         context.setCheckpointDir(folder)
-    return folder.rstrip("/")
+    return (folder or context.getCheckpointDir()).rstrip("/")
+
+
+def _stage_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tidemark-{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """Unused path in the shared folder."""
-    return f"{shared_folder(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    """Unused path in the shared folder, below a folder of this application."""
+    return f"{_stage_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_stage(spark: SparkSession) -> None:
+    """Delete everything this application staged; call it when results are stored elsewhere."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_stage_folder(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:

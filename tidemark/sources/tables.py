@@ -5,8 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 
-def append_table(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def append_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
+    """Add rows; partition columns become folders that later filters can skip."""
+    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+
+
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
+    """Replace a catalogue table hashed and sorted by `key`; joins of such tables on it need no shuffle."""
+    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
 
 
 def _versions(spark: SparkSession, root: str) -> dict[int, bool]:
