@@ -42,10 +42,11 @@ def exact_split(
     rows are then compared with at most two broadcast cut-offs. Rows that share a key share a
     side: with a repeated key the test part may come out smaller by less than that key's rows.
     """
-    labels = F.col(label).cast("int") if label else F.lit(0)
-    hashed = df.select("*", key_hash(key, seed).alias("_hash"), labels.alias("_label"))
+    # Without a label all rows get 0, as a computed value: a literal would undo the equi-joins.
+    labels = F.col(label).cast("int") if label else F.length("_hash") - 32
+    hashed = df.withColumn("_hash", key_hash(key, seed)).withColumn("_label", labels)
     light = hashed.select("_label", "_hash", F.substring("_hash", 1, PREFIX_DIGITS).alias("_prefix")).where(
-        F.col("_label").isin(0, 1)
+        F.col("_label").isin(0, 1) & F.col("_hash").isNotNull()
     )
 
     per_prefix = light.groupBy("_label", "_prefix").agg(F.count("*").alias("n"))

@@ -161,7 +161,7 @@ def _(t: StarTables) -> DataFrame:
 
 @query("mrr_by_month")
 def _(t: StarTables) -> DataFrame:
-    return revenue.mrr_by_month(t.subscriptions, t.transactions)
+    return revenue.mrr_by_month(t.subscriptions, t.transaction_dates)
 
 
 @query("churned_by_month")

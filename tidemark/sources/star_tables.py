@@ -158,6 +158,13 @@ class StarTables:
         )
         return charges.unionByName(refunds)
 
+    @property
+    def transaction_dates(self) -> DataFrame:
+        """`transaction_date` of all transactions; needs no join of refunds with their orders."""
+        charges = self._read("orders").select(F.col("o_orderdate").cast("date").alias("transaction_date"))
+        refunds = self._read("lineitem").where(F.col("l_returnflag") == "R")
+        return charges.unionByName(refunds.select(F.col("l_shipdate").cast("date").alias("transaction_date")))
+
     @property
     def support_tickets(self) -> DataFrame:
         answered = F.col("event_type") == "error"
