@@ -8,9 +8,9 @@ from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, Str
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
-from tidemark.functions import rules
 from tidemark.operators.evaluation import binary_metrics
 from tidemark.operators.features import CATEGORICAL, NUMERIC
+from tidemark.session import shared_folder
 
 SEED = 42
 LABEL, WEIGHT = "churned", "class_weight"
@@ -121,6 +121,8 @@ def fit_classifier(
     seed: int = SEED,
 ) -> PipelineModel:
     """Fit encoding and classifier on the training rows; give staged rows, they are read repeatedly."""
+    # Boosting cuts its growing lineage in the checkpoint folder, so that has to be known.
+    shared_folder(train.sparkSession)
     scheme = "positive_weight" if name == "boosted_trees" else "balanced_weight"
     rows = with_class_weight(train.select(*categorical, *numeric, LABEL), scheme)
     stages = [*encoder(categorical, numeric), classifier(name, train.count(), trees, seed)]
@@ -152,7 +154,3 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
-
-
-def predicted_class(scored: DataFrame, probability: str = "churn_probability") -> DataFrame:
-    return scored.withColumn("predicted", rules.at_least_half(probability))

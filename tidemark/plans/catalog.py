@@ -100,6 +100,13 @@ def _(t: StarTables) -> DataFrame:
     return files.read_csv(t.spark, path, schema)
 
 
+@query("snapshot_csv")
+def _(t: StarTables) -> DataFrame:
+    path = new_path(t.spark, "snapshot-csv")
+    files.write_csv(snapshot_rows(t), path)
+    return files.read_csv(t.spark, path, schemas.with_key_type(schemas.SNAPSHOT, T.LongType()))
+
+
 @query("table_append")
 def _(t: StarTables) -> DataFrame:
     path = new_path(t.spark, "transactions")

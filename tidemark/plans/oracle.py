@@ -472,6 +472,9 @@ _SNAPSHOT_NUMBERS = (
     f"{num('monthly_charges', 'monthly_charges')}, tenure_months, {{tickets}}"
     f"{num('churn_probability', 'churn_probability')}, risk_tier, {num('predicted_clv', 'predicted_clv')}"
 )
+twin("snapshot_csv", f"""
+SELECT customer_id, contract_type, internet_service, payment_method,
+  {_SNAPSHOT_NUMBERS.format(tickets="ticket_count, ")}, segment_cluster, segment_label FROM scored""")
 twin("snapshot_export", f"""
 SELECT customer_id, contract_type, internet_service, payment_method,
   {_SNAPSHOT_NUMBERS.format(tickets="ticket_count, ")}, segment_cluster, segment_label FROM scored""")

@@ -63,10 +63,11 @@ class StarTables:
         nations = self._read("nation").join(
             self._read("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left"
         )
+        # Nations first: the rows then leave the join with the orders partitioned by customer.
         return (
             self._read("customer")
-            .join(self._life, F.col("c_custkey") == F.col("o_custkey"))
             .join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+            .join(self._life, F.col("c_custkey") == F.col("o_custkey"))
             .select(
                 key.alias("customer_id"),
                 _pick(F.floor(key / 4), ("Male", "Female")).alias("gender"),
