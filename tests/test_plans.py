@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import cache
 
 import pytest
 
@@ -12,14 +13,20 @@ from tidemark.plans.catalog import QUERIES
 from tidemark.plans.oracle import ORACLE
 
 
+@pytest.fixture(scope="module")
+def query_plan(spark):
+    """Plan of a registered query; building one may run staged parts, so each is built once."""
+    return cache(lambda name: plan_of(QUERIES[name](spark, SMALL)))
+
+
 def tree(plan: str) -> str:
     """The operator tree at the top of a formatted plan."""
     return plan.split("== Physical Plan ==")[1].split("\n\n")[0]
 
 
 @pytest.mark.parametrize("name", list(ORACLE))
-def test_no_cross_products(spark, name):
-    plan = plan_of(QUERIES[name](spark, SMALL))
+def test_no_cross_products(query_plan, name):
+    plan = query_plan(name)
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
     assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
@@ -55,8 +62,8 @@ def test_split_moves_no_rows(spark):
 
 
 @pytest.mark.parametrize("name", [n for n in ORACLE if n not in ("binary_metrics_unrounded",)])
-def test_windows_see_aggregated_rows_only(spark, name):
-    lines = tree(plan_of(QUERIES[name](spark, SMALL))).splitlines()
+def test_windows_see_aggregated_rows_only(query_plan, name):
+    lines = tree(query_plan(name)).splitlines()
     for i, line in enumerate(lines):
         if re.search(r"- Window \(", line):
             below = lines[i + 1:]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -9,7 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions import rules
 from tidemark.operators.models import SEED
-from tidemark.session import stage_table
+from tidemark.session import side_by_side, spread, stage_table
 
 SEGMENT_COLUMNS = ["tenure_months", "monthly_charges", "ticket_count", "predicted_clv"]
 CLUSTERS = len(rules.SEGMENT_LABELS)
@@ -23,14 +25,12 @@ def fit_segments(rows: DataFrame, k: int = CLUSTERS, restarts: int = 10, seed: i
     ])
     numbers = stage_table(rows.select(*SEGMENT_COLUMNS), "segments")
     scaler = prepare.fit(numbers)
-    points = scaler.transform(numbers).select("_scaled").persist()
+    points = spread(scaler.transform(numbers).select("_scaled"), numbers.count()).persist()
     try:
-        runs = [
-            KMeans(k=k, seed=seed + i, featuresCol="_scaled", predictionCol="raw_cluster", maxIter=300, tol=1e-4).fit(
-                points
-            )
-            for i in range(restarts)
-        ]
+        points.count()  # filled once, before the runs share it
+        kmeans = KMeans(k=k, featuresCol="_scaled", predictionCol="raw_cluster", maxIter=300, tol=1e-4)
+        fits = [partial(kmeans.copy({kmeans.seed: seed + i}).fit, points) for i in range(restarts)]
+        runs = side_by_side(rows.sparkSession, fits)
     finally:
         points.unpersist()
     best = min(runs, key=lambda run: run.summary.trainingCost)
@@ -44,7 +44,8 @@ def assign_cluster(model: PipelineModel, rows: DataFrame) -> DataFrame:
 def relabel_segments(rows: DataFrame, raw: str = "raw_cluster", value: str = "predicted_clv") -> DataFrame:
     """Replace raw cluster numbers by 0, 1, ... from the largest mean value down, and name them.
 
-    The joined side has one row per cluster, as many as k-means was asked for.
+    The joined side has one row per cluster, as many as k-means was asked for. A row without a
+    cluster stays without a number.
     """
     order = (
         rows.groupBy(raw)
@@ -54,7 +55,7 @@ def relabel_segments(rows: DataFrame, raw: str = "raw_cluster", value: str = "pr
         )
     )
     return (
-        rows.join(F.broadcast(order), raw)
+        rows.join(F.broadcast(order), raw, "left")
         .select(*[c for c in rows.columns if c != raw], "segment_cluster")
         .withColumn("segment_label", rules.segment_label("segment_cluster"))
     )

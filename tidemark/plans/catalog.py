@@ -201,7 +201,7 @@ def _(t: StarTables) -> DataFrame:
 
 @query("revenue_at_risk")
 def _(t: StarTables) -> DataFrame:
-    return revenue.revenue_at_risk(prediction_rows(t), t.subscriptions)
+    return revenue.revenue_at_risk(valued_rows(t), t.subscriptions)
 
 
 @query("tickets_vs_churn")

@@ -4,8 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.util import inheritable_thread_target
+
+Result = TypeVar("Result")
 
 
 def build_session(app_name: str = "tidemark", master: str | None = None, **settings: str) -> SparkSession:
@@ -66,3 +72,20 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, n_rows: int, rows_per_task: int = 20_000) -> DataFrame:
+    """At least one task per so many rows, up to one per core, for work that is heavy per row.
+
+    Files are cut by size, and a compact table of millions of rows may be a single partition.
+    Tables that have more partitions already stay as they are.
+    """
+    wanted = min(n_rows // rows_per_task + 1, df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+
+
+def side_by_side(spark: SparkSession, fits: list[Callable[[], Result]], workers: int = 4) -> list[Result]:
+    """Run independent model fits at the same time, so that their many short jobs fill the cluster."""
+    tagged = [inheritable_thread_target(spark)(fit) for fit in fits]
+    with ThreadPool(min(workers, len(fits))) as pool:
+        return pool.map(lambda fit: fit(), tagged)
