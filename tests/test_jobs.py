@@ -46,8 +46,20 @@ def test_model_publish_and_report(spark, star, tmp_path):
     table = run.comparison.collect()
     assert run.best_name == table[0].model and len(table) == 2
     assert files.read_metadata(spark, str(tmp_path / "models" / "metadata"))["best_model"] == run.best_name
-    assert set(run.roc) == {"logistic_regression", "random_forest"}
-    assert run.scored.count() == 150 and run.drivers.count() == 15
+    assert run.scored.count() == 150 and run.lifetime_error.count() == 1
+    left = {p.name for p in (tmp_path / "models").iterdir()}
+    assert left == {
+        "churn", "lifetime", "segments", "metadata", "background", "model_comparison.csv", "roc_points.csv",
+        "drivers.csv", "feature_names.csv",
+    }
+    curves = spark.read.option("header", True).csv(str(tmp_path / "models" / "roc_points.csv"))
+    assert {r.model for r in curves.select("model").distinct().collect()} == {"logistic_regression", "random_forest"}
+
+    saved = jobs.open_model(spark, str(tmp_path / "models"))
+    profiles = features.withColumnRenamed("customer_id", "profile_id").where("profile_id < 5")
+    if run.best_name == "logistic_regression":
+        scores, reasons = jobs.profile_job(saved, profiles)
+        assert scores.count() == 5 and reasons.select("profile_id").distinct().count() == 5
 
     when = dt.datetime(2001, 8, 1, 12)
     _, snapshot_path = jobs.publish_job(run.scored, str(tmp_path / "out"), when)
@@ -63,5 +75,17 @@ def test_model_publish_and_report(spark, star, tmp_path):
 
     lines = jobs.statistics_job(features, str(tmp_path / "report"))
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "report")).collect()) == sorted(lines)
-    assert any(line.startswith("churned x contract_type: X2 = ") for line in lines)
-    assert "tech_supportNo internet service: estimate=NA" in "\n".join(lines)
+    assert any(line.startswith("  contract_type: X2 ") for line in lines)
+    assert "  tech_supportNo internet service: NA (SE NA, z NA, p NA)" in lines
+
+
+def test_features_job(spark, star, tmp_path):
+    rate = jobs.features_job(star.all_tables(), str(tmp_path / "features.csv")).first()
+    assert rate.n_rows == 150
+    schema = schemas.with_key_type(schemas.FEATURES, schemas.T.LongType())
+    back = files.read_csv(spark, str(tmp_path / "features.csv"), schema)
+    assert back.count() == 150
+    assert back.agg(F.sum("churned"), F.sum("monthly_charges")).first() == (
+        feature_table(star.customers, star.subscriptions, star.support_tickets)
+        .agg(F.sum("churned"), F.sum("monthly_charges")).first()
+    )

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.session import clear_stage, new_path, shared_folder, stage_table
+from tidemark.session import clear_stage, new_path, shared_folder, side_by_side, spread, stage_table
 from tidemark.sources import database, files, tables
 from tests.conftest import plan_of
 
@@ -98,6 +98,20 @@ def test_staging_uses_the_named_folder(spark):
     assert "Range" not in plan_of(df)
 
 
+def test_spread_only_adds_partitions(spark):
+    wide = spark.range(100).repartition(20)
+    assert spread(wide, 100, 1).rdd.getNumPartitions() == 20
+    one = spark.range(100).coalesce(1)
+    assert spread(one, 100, 1_000).rdd.getNumPartitions() == 1
+    assert spread(one, 100, 30).rdd.getNumPartitions() == 4
+    assert spread(one, 100, 1).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_side_by_side_keeps_the_order(spark):
+    counts = side_by_side(spark, [spark.range(n).count for n in (5, 3, 9)])
+    assert counts == [5, 3, 9]
+
+
 def test_key_type():
     schema = schemas.with_key_type(schemas.CHURN_EVENTS, schemas.T.LongType())
     assert schema["customer_id"].dataType.simpleString() == "bigint"

@@ -39,7 +39,8 @@ def prediction_table(scored: DataFrame, scored_at: dt.datetime, model_version: s
         F.col("predicted_clv").cast("decimal(12,2)").alias("predicted_clv"),
         F.col("segment_cluster").cast("int").alias("segment_cluster"),
         F.lit(model_version).alias("model_version"),
-        F.lit(scored_at.replace(microsecond=0)).cast("timestamp").alias("scored_at"),
+        # As text, so that the session's time zone reads it back as the same wall clock.
+        F.lit(f"{scored_at:%Y-%m-%d %H:%M:%S}").cast("timestamp").alias("scored_at"),
     )
 
 

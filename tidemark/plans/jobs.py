@@ -1,16 +1,17 @@
-"""End-to-end jobs: load, model and score, statistics report."""
+"""End-to-end jobs: load, features, model and score, profiles, publish, statistics report."""
 
 from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators import checks, explain, inference, lifetime, models, scoring, segments, splits
 from tidemark.operators.evaluation import best_model, roc_points
-from tidemark.operators.features import CATEGORICAL, NUMERIC
+from tidemark.operators.features import CATEGORICAL, NUMERIC, feature_table, overall_churn_rate
 from tidemark.schemas import RAW_TABLES
 from tidemark.session import stage_table
 from tidemark.sources import files, tables
@@ -34,19 +35,35 @@ def open_tables(spark: SparkSession, table_folder: str) -> dict[str, DataFrame]:
     }
 
 
+def features_job(opened: dict[str, DataFrame], path: str) -> DataFrame:
+    """Build the feature table and write it as CSV; returns the churn rate."""
+    rows = stage_table(
+        feature_table(opened["customers"], opened["subscriptions"], opened["support_tickets"]), "features"
+    )
+    files.write_csv(rows, path)
+    return overall_churn_rate(rows)
+
+
 @dataclass
 class ModelRun:
     """What a model run leaves behind."""
 
     comparison: DataFrame
-    roc: dict[str, DataFrame]
     best_name: str
     best: PipelineModel
-    drivers: DataFrame
     lifetime_error: DataFrame
     scored: DataFrame
 
 
+@dataclass
+class SavedModel:
+    """The published churn model, its metadata, and the rows its explanations compare with."""
+
+    model: PipelineModel
+    metadata: dict
+    background: DataFrame
+
+
 def split_features(features: DataFrame, seed: int = models.SEED) -> tuple[DataFrame, DataFrame]:
     """Train and test rows, stratified by the label, staged because training reads them many times."""
     parts = stage_table(splits.exact_split(features, "customer_id", models.LABEL, seed=seed), "split")
@@ -61,7 +78,11 @@ def model_job(
     restarts: int = 10,
     seed: int = models.SEED,
 ) -> ModelRun:
-    """Compare classifiers, keep the best, add lifetime, value and segment, and score every customer."""
+    """Compare classifiers, keep the best, add lifetime, value and segment, and score every customer.
+
+    The folder receives the three models, the metadata, and as CSV the comparison, the ROC points,
+    the drivers of the best model and the feature names.
+    """
     spark = features.sparkSession
     features = stage_table(features, "features")
     train, test = split_features(features, seed)
@@ -72,11 +93,21 @@ def model_job(
     files.write_metadata(
         spark, f"{model_folder}/metadata", best_name, CATEGORICAL, NUMERIC, scoring.MODEL_VERSION
     )
-    explained = splits.sample_rows(test, "customer_id", seed=seed)
+    background = splits.sample_rows(test, "customer_id", seed=seed)
+    background.write.mode("overwrite").parquet(f"{model_folder}/background")
     if best_name == "logistic_regression":
-        drivers = explain.driver_ranking(explain.linear_contributions(best, explained, explained)[0])
+        drivers = explain.driver_ranking(explain.linear_contributions(best, background, background)[0])
     else:
-        drivers = explain.tree_drivers(best, explained)
+        drivers = explain.tree_drivers(best, background)
+    curves = [roc_points(frame).select(F.lit(name).alias("model"), "*") for name, frame in scored_tests.items()]
+    reports = {
+        "model_comparison": comparison,
+        "roc_points": reduce(DataFrame.unionByName, curves),
+        "drivers": drivers,
+        "feature_names": models.feature_name_table(spark, best),
+    }
+    for name, table in reports.items():
+        files.write_csv(table, f"{model_folder}/{name}.csv", mode="overwrite")
 
     lifetime_model, lifetime_error = lifetime.fit_lifetime_model(features, trees, seed)
     models.save_model(lifetime_model, f"{model_folder}/lifetime")
@@ -85,8 +116,21 @@ def model_job(
     models.save_model(clusters, f"{model_folder}/segments")
     segmented = segments.relabel_segments(segments.assign_cluster(clusters, valued))
     scored = stage_table(scoring.score_customers(best, segmented), "scored")
-    roc = {name: roc_points(frame) for name, frame in scored_tests.items()}
-    return ModelRun(comparison, roc, best_name, best, drivers, lifetime_error, scored)
+    return ModelRun(comparison, best_name, best, lifetime_error, scored)
+
+
+def open_model(spark: SparkSession, model_folder: str) -> SavedModel:
+    return SavedModel(
+        models.load_model(f"{model_folder}/churn"),
+        files.read_metadata(spark, f"{model_folder}/metadata"),
+        spark.read.parquet(f"{model_folder}/background"),
+    )
+
+
+def profile_job(saved: SavedModel, profiles: DataFrame, key: str = "profile_id") -> tuple[DataFrame, DataFrame]:
+    """Score profiles with the published model: (probability and tier, contributions in long form)."""
+    columns = [key, *saved.metadata["categorical"], *saved.metadata["numeric"]]
+    return scoring.score_profiles(saved.model, profiles.select(columns), saved.background, key)
 
 
 def publish_job(scored: DataFrame, table_folder: str, scored_at: dt.datetime) -> tuple[str, str]:
@@ -108,35 +152,32 @@ def report_lines(features: DataFrame) -> list[str]:
     def shown(value: float | None, pattern: str) -> str:
         return "NA" if value is None else format(value, pattern)
 
-    lines = ["--- 1. Logistic regression: churned ~ drivers ---"]
+    lines = ["Logistic regression of churn on its drivers"]
     lines += [
-        f"{r.term}: estimate={shown(r.estimate, '.6f')}, std.error={shown(r.std_error, '.6f')}, "
-        f"z={shown(r.z, '.3f')}, p-value={shown(r.p_value, '.6g')}"
+        f"  {r.term}: {shown(r.estimate, '.6f')} (SE {shown(r.std_error, '.6f')}, z {shown(r.z, '.3f')}, "
+        f"p {shown(r.p_value, '.6g')})"
         for r in glm.coefficients.orderBy("position").collect()
     ]
     lines.append(
-        f"Null deviance: {fit.null_deviance:.1f} on {fit.null_df} degrees of freedom; residual deviance: "
-        f"{fit.residual_deviance:.1f} on {fit.residual_df} degrees of freedom; AIC: {fit.aic:.1f}"
+        f"  deviance {fit.null_deviance:.1f} ({fit.null_df} df) without terms, "
+        f"{fit.residual_deviance:.1f} ({fit.residual_df} df) with terms, AIC {fit.aic:.1f}, "
+        f"McFadden R2 {inference.mcfadden_r2(glm.fit).first()[0]:.4f}"
     )
-    lines.append("-- Odds ratios --")
+    lines.append("Odds ratios with 95% intervals")
     lines += [
-        f"{r.term}: {shown(r.odds_ratio, '.3f')} ({shown(r.lower, '.3f')} to {shown(r.upper, '.3f')})"
+        f"  {r.term}: {shown(r.odds_ratio, '.3f')} [{shown(r.lower, '.3f')}, {shown(r.upper, '.3f')}]"
         for r in inference.odds_ratios(glm.coefficients).orderBy("position").collect()
     ]
-    lines.append(f"McFadden's pseudo R2: {inference.mcfadden_r2(glm.fit).first()[0]:.4f}")
-    lines.append("--- 2. Chi-square tests of independence ---")
-    found = {r.variable: r for r in inference.chi_square_tests(features).collect()}
+    lines.append("Chi-square tests of churn and category")
     lines += [
-        f"churned x {v}: X2 = {shown(found[v].statistic, '.2f')}, df = {found[v].df}, "
-        f"p-value = {shown(found[v].p_value, '.6g')}"
-        for v in inference.CHI_SQUARE_VARIABLES
+        f"  {r.variable}: X2 {shown(r.statistic, '.2f')}, df {r.df}, p {shown(r.p_value, '.6g')}"
+        for r in inference.chi_square_tests(features).orderBy("variable").collect()
     ]
-    lines.append("--- 3. Welch two-sample t-tests (churned vs retained) ---")
-    found = {r.variable: r for r in inference.welch_tests(features).collect()}
+    lines.append("Welch t-tests, retained minus churned")
     lines += [
-        f"{v}: mean(retained)={shown(found[v].mean_retained, '.2f')}, mean(churned)={shown(found[v].mean_churned, '.2f')}, "
-        f"t={shown(found[v].t, '.2f')}, df={shown(found[v].df, '.1f')}, p-value={shown(found[v].p_value, '.6g')}"
-        for v in inference.WELCH_VARIABLES
+        f"  {r.variable}: means {shown(r.mean_retained, '.2f')} and {shown(r.mean_churned, '.2f')}, "
+        f"t {shown(r.t, '.2f')}, df {shown(r.df, '.1f')}, p {shown(r.p_value, '.6g')}"
+        for r in inference.welch_tests(features).orderBy("variable").collect()
     ]
     return lines
 

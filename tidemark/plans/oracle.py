@@ -223,29 +223,27 @@ twin("row_counts", "\nUNION ALL\n".join(
 
 # --- metric views
 
-_MRR = """
-SELECT strftime(m.month_start, '%Y-%m-01') AS month, {mrr}
-FROM subscriptions s
-JOIN (SELECT DISTINCT CAST(date_trunc('month', transaction_date) AS DATE) AS month_start FROM transactions) m
-  ON s.start_date <= m.month_start AND (s.end_date IS NULL OR s.end_date >= m.month_start)
-GROUP BY m.month_start""".format(mrr=num("sum(s.monthly_charges)", "mrr"))
+_MRR = f"""
+SELECT strftime(first_day, '%Y-%m-%d') AS month, {num("sum(monthly_charges)", "mrr")}
+FROM (SELECT DISTINCT CAST(date_trunc('month', transaction_date) AS DATE) AS first_day FROM transactions)
+JOIN subscriptions ON first_day BETWEEN start_date AND coalesce(end_date, DATE '9999-12-31')
+GROUP BY first_day"""
 _CHURNED_BY_MONTH = """
 SELECT strftime(churn_date, '%Y-%m-01') AS month, count(*) AS churned_customers FROM churn_events GROUP BY 1"""
-_RATES = f"""count(*) AS total_customers, CAST(sum(1 - is_active) AS BIGINT) AS churned_customers,
-  {num("round(sum(1 - is_active) * 100e0 / count(*), 2)", "churn_rate_pct")}"""
+_RATES = f"""count(*) AS total_customers, count(*) FILTER (is_active = 0) AS churned_customers,
+  {num("round(count(*) FILTER (is_active = 0) * 100e0 / count(*), 2)", "churn_rate_pct")}"""
 _TENURE_BUCKETS = f"""
 SELECT CASE WHEN tenure_months <= 6 THEN '0-6 mo' WHEN tenure_months <= 12 THEN '7-12 mo'
   WHEN tenure_months <= 24 THEN '13-24 mo' WHEN tenure_months <= 48 THEN '25-48 mo' ELSE '48+ mo' END AS tenure_bucket,
   {_RATES}, {num("round(avg(monthly_charges), 2)", "avg_monthly_charges")}
 FROM subscriptions GROUP BY 1"""
+_PAID = "coalesce(sum(amount) FILTER (transaction_type = 'charge' AND status = 'paid'), 0)"
+_REFUNDED = "coalesce(sum(amount) FILTER (transaction_type = 'refund'), 0)"
 _CLV = f"""
-SELECT c.customer_id, s.contract_type, s.tenure_months, s.is_active,
-  {num("sum(CASE WHEN transaction_type = 'charge' AND status = 'paid' THEN amount ELSE 0 END)", "lifetime_revenue")},
-  {num("sum(CASE WHEN transaction_type = 'refund' THEN amount ELSE 0 END)", "total_refunds")}
-FROM customers c
-JOIN subscriptions s ON s.customer_id = c.customer_id
-LEFT JOIN transactions t ON t.customer_id = c.customer_id
-GROUP BY c.customer_id, s.contract_type, s.tenure_months, s.is_active"""
+SELECT customer_id, contract_type, tenure_months, is_active,
+  {num(_PAID, "lifetime_revenue")}, {num(_REFUNDED, "total_refunds")}
+FROM customers JOIN subscriptions USING (customer_id) LEFT JOIN transactions USING (customer_id)
+GROUP BY ALL"""
 _COHORT = """
 SELECT strftime(signup_date, '%Y-%m-01') AS cohort_month,
   CAST((year(u) - year(signup_date)) * 12 + month(u) - month(signup_date)
@@ -257,14 +255,12 @@ FROM (SELECT c.signup_date, coalesce(e.churn_date, DATE '2001-08-01') AS u
 GROUP BY 1, 2"""
 _AT_RISK = f"""
 SELECT p.risk_tier, count(*) AS customers, {num("sum(s.monthly_charges)", "monthly_revenue_at_risk")}
-FROM scored p JOIN subscriptions s ON s.customer_id = p.customer_id AND s.is_active = 1
-GROUP BY p.risk_tier"""
+FROM valued p JOIN subscriptions s USING (customer_id) WHERE s.is_active = 1 GROUP BY ALL"""
 _TICKETS = f"""
-SELECT s.is_active, count(DISTINCT s.customer_id) AS customers,
-  {num("round(count(t.ticket_id) / count(DISTINCT s.customer_id), 2)", "avg_tickets_per_customer")},
-  {num("round(avg(t.satisfaction_score), 2)", "avg_satisfaction")}
-FROM subscriptions s LEFT JOIN support_tickets t ON t.customer_id = s.customer_id
-GROUP BY s.is_active"""
+SELECT is_active, count(DISTINCT customer_id) AS customers,
+  {num("round(count(ticket_id) / count(DISTINCT customer_id), 2)", "avg_tickets_per_customer")},
+  {num("round(avg(satisfaction_score), 2)", "avg_satisfaction")}
+FROM subscriptions LEFT JOIN support_tickets USING (customer_id) GROUP BY ALL"""
 
 
 def _rate(column: str) -> str:
