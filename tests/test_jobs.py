@@ -27,6 +27,7 @@ def test_load_job(spark, star, tmp_path):
     raw_files(star, tmp_path / "raw")
     counts = {r.table_name: r.n_rows for r in jobs.load_job(spark, str(tmp_path / "raw"), str(tmp_path / "db")).collect()}
     assert counts["customers"] == 150 and set(counts) == set(schemas.RAW_TABLES)
+    assert tables.read_table(spark, str(tmp_path / "db" / "ml_predictions"), schemas.PREDICTIONS).count() == 0
     opened = jobs.open_tables(spark, str(tmp_path / "db"))
     assert opened["subscriptions"].schema == schemas.SUBSCRIPTIONS
     total = opened["transactions"].agg(F.sum("amount")).first()[0]

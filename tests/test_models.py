@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tidemark.operators import evaluation, explain, lifetime, models, scoring, segments, splits
+from tidemark.operators import evaluation, explain, inference, lifetime, models, scoring, segments, splits
 from tidemark.operators.features import CATEGORICAL, NUMERIC, feature_table
 from tidemark.plans import jobs
 from tidemark.session import stage_table
@@ -93,6 +93,18 @@ def test_contributions_add_up_to_the_logit(logistic, parts):
     assert len(ranking) == 15 and ranking[0].feature == "num__monthly_charges"
 
 
+def test_two_methods_agree_on_the_drivers(rows, logistic):
+    """A driver that raises the odds in the regression table pushes the score in the classifier."""
+    names, weights, _ = explain.linear_parts(logistic)
+    weight = dict(zip(names, weights))
+    estimate = {r.term: r.estimate for r in inference.glm_logit(rows).coefficients.where("p_value < 0.01").collect()}
+    for term, name in {"monthly_charges": "num__monthly_charges", "tenure_months": "num__tenure_months"}.items():
+        assert np.sign(estimate[term]) == np.sign(weight[name])
+    base = weight["cat__contract_type_Month-to-month"]
+    for level in ("One year", "Two year"):
+        assert np.sign(estimate[f"contract_type{level}"]) == np.sign(weight[f"cat__contract_type_{level}"] - base)
+
+
 def test_trees(spark, parts):
     forest = models.fit_classifier(parts[0], "random_forest", trees=10)
     boosted = models.fit_classifier(parts[0], "boosted_trees", trees=5)
@@ -111,6 +123,9 @@ def test_save_load_and_profiles(spark, logistic, parts, tmp_path):
     loaded = models.load_model(str(tmp_path / "model"))
     profiles = parts[1].withColumnRenamed("customer_id", "profile_id")
     scored, long_form = scoring.score_profiles(loaded, profiles, parts[1])
+    first = scored.first()
+    total = long_form.where(F.col("profile_id") == first.profile_id).agg(F.sum("contribution")).first()[0]
+    assert first.base_logit + total == pytest.approx(np.log(first.churn_probability / (1 - first.churn_probability)))
     direct = models.with_probability(logistic, profiles)
     key = ["profile_id", "churn_probability"]
     assert sorted(map(tuple, scored.select(key).collect())) == sorted(map(tuple, direct.select(key).collect()))

@@ -25,6 +25,18 @@ def test_csv_with_a_wrong_value_stops(spark, tmp_path):
         files.read_csv(spark, str(tmp_path / "bad.csv"), schemas.CHURN_EVENTS).collect()
 
 
+def test_csv_accepts_whole_numbers_with_a_zero_fraction(spark, tmp_path):
+    header = "ticket_id,customer_id,opened_date,closed_date,category,priority,satisfaction_score\n"
+    good = "1,CU-00001,2024-01-01,2024-01-03,billing,low,4.0\n2,CU-00001,2024-01-01,,billing,low,\n"
+    (tmp_path / "good.csv").write_text(header + good)
+    rows = files.read_csv(spark, str(tmp_path / "good.csv"), schemas.SUPPORT_TICKETS)
+    assert rows.schema == schemas.SUPPORT_TICKETS
+    assert [(r.closed_date, r.satisfaction_score) for r in rows.collect()] == [(dt.date(2024, 1, 3), 4), (None, None)]
+    (tmp_path / "bad.csv").write_text(header + "1,CU-00001,2024-01-01,,billing,low,4.5\n")
+    with pytest.raises(Exception, match="satisfaction_score is no whole number: 4.50"):
+        files.read_csv(spark, str(tmp_path / "bad.csv"), schemas.SUPPORT_TICKETS).collect()
+
+
 def test_metadata(spark, tmp_path):
     path = str(tmp_path / "m")
     files.write_metadata(spark, path, "random_forest", ["a", "b"], ["c"], "v1.0")
@@ -90,6 +102,18 @@ def test_database_options():
         database.scan_options(connection)
 
 
+def test_database_tables_are_emptied_children_first(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(
+        database, "write_database",
+        lambda df, connection, table, replace=False: calls.append((table, replace, df.count())),
+    )
+    database.replace_database_tables({"customers": spark.range(3), "subscriptions": spark.range(2)}, {})
+    assert calls == [
+        ("subscriptions", True, 0), ("customers", True, 0), ("customers", False, 3), ("subscriptions", False, 2),
+    ]
+
+
 def test_staging_uses_the_named_folder(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     df = stage_table(spark.range(5), "numbers")

@@ -67,8 +67,11 @@ def score_profiles(
 ) -> tuple[DataFrame, DataFrame]:
     """What-if scoring of any frame of profiles: (probability and tier, contributions in long form).
 
-    Here the tier comes from the unrounded probability.
+    Here the tier comes from the unrounded probability. `base_logit` plus the contributions of a
+    profile is the logit of its probability.
     """
-    scored = with_probability(model, profiles)
-    contributions, _ = linear_contributions(model, profiles, background, key)
-    return scored.withColumn("risk_tier", rules.risk_tier("churn_probability")), contributions
+    contributions, base = linear_contributions(model, profiles, background, key)
+    scored = with_probability(model, profiles).withColumns(
+        {"risk_tier": rules.risk_tier("churn_probability"), "base_logit": F.lit(base)}
+    )
+    return scored, contributions

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.operators import checks, explain, inference, lifetime, models, scoring, segments, splits
 from tidemark.operators.evaluation import best_model, roc_points
 from tidemark.operators.features import CATEGORICAL, NUMERIC, feature_table, overall_churn_rate
-from tidemark.schemas import RAW_TABLES
+from tidemark.schemas import PREDICTIONS, RAW_TABLES
 from tidemark.session import stage_table
 from tidemark.sources import files, tables
 
@@ -20,12 +20,14 @@ from tidemark.sources import files, tables
 def load_job(spark: SparkSession, raw_folder: str, table_folder: str) -> DataFrame:
     """Read the five CSV tables, stop on any failed check, replace the stored tables; returns row counts.
 
-    Parents are replaced before children, each in one step for its readers.
+    Parents are replaced before children, each in one step for its readers. Predictions about the
+    former customers are replaced by an empty table.
     """
     raw = {name: files.read_csv(spark, f"{raw_folder}/{name}.csv", schema) for name, schema in RAW_TABLES.items()}
     checks.enforce(checks.load_report(raw))
     for name, df in raw.items():
         tables.replace_table(df, f"{table_folder}/{name}")
+    tables.replace_table(spark.createDataFrame([], PREDICTIONS), f"{table_folder}/ml_predictions")
     return checks.row_counts(open_tables(spark, table_folder))
 
 

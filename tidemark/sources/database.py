@@ -57,3 +57,15 @@ def write_database(
         .mode("overwrite" if replace else "append")
         .save()
     )
+
+
+def replace_database_tables(tables: dict[str, DataFrame], connection: dict[str, str]) -> None:
+    """Empty the tables, children first, and fill them, parents first; `tables` lists parents first.
+
+    Where foreign keys forbid emptying a parent, the URL has to switch the check off for these
+    sessions, for MySQL by `sessionVariables=FOREIGN_KEY_CHECKS=0`.
+    """
+    for name in reversed(tables):
+        write_database(tables[name].limit(0), connection, name, replace=True)
+    for name, df in tables.items():
+        write_database(df, connection, name)

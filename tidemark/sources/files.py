@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.schemas import MODEL_METADATA
 
@@ -10,16 +10,28 @@ from tidemark.schemas import MODEL_METADATA
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Header CSV with a declared schema; dates as yyyy-MM-dd, empty fields as NULL.
 
-    A value that does not fit its type stops the read instead of turning into NULL.
+    A value that does not fit its type stops the read instead of turning into NULL. Whole numbers
+    may be written with a zero fraction ("4.0"), as data frame libraries do for columns with gaps.
     """
-    return (
-        spark.read.schema(schema)
+    whole = {f.name: f.dataType for f in schema if isinstance(f.dataType, T.IntegerType)}
+    in_file = T.StructType([
+        T.StructField(f.name, T.DecimalType(12, 2) if f.name in whole else f.dataType) for f in schema
+    ])
+    rows = (
+        spark.read.schema(in_file)
         .option("header", True)
         .option("mode", "FAILFAST")
         .option("escape", '"')
         .csv(path)
     )
 
+    def number(name: str) -> Column:
+        value = F.col(name)
+        wrong = F.raise_error(F.concat(F.lit(f"{name} is no whole number: "), value.cast("string")))
+        return F.when(value.isNull() | (value == F.floor(value)), value.cast("int")).otherwise(wrong.cast("int"))
+
+    return rows.select([number(f.name).alias(f.name) if f.name in whole else f.name for f in schema])
+
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Header CSV, one file per partition, quotes doubled inside quoted fields."""
