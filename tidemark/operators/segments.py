@@ -41,14 +41,17 @@ def assign_cluster(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return model.transform(rows).select(*rows.columns, "raw_cluster")
 
 
-def relabel_segments(rows: DataFrame, raw: str = "raw_cluster", value: str = "predicted_clv") -> DataFrame:
+def relabel_segments(
+    rows: DataFrame, raw: str = "raw_cluster", value: str = "predicted_clv", k: int = CLUSTERS
+) -> DataFrame:
     """Replace raw cluster numbers by 0, 1, ... from the largest mean value down, and name them.
 
-    The joined side has one row per cluster, as many as k-means was asked for. A row without a
-    cluster stays without a number.
+    The joined side has one row per cluster and so at most `k`. A row without one of the k clusters
+    stays without a number.
     """
     order = (
-        rows.groupBy(raw)
+        rows.where(F.col(raw).between(0, k - 1))
+        .groupBy(raw)
         .agg(F.avg(value).alias("_mean"))
         .select(
             raw, (F.row_number().over(Window.orderBy(F.col("_mean").desc(), raw)) - 1).alias("segment_cluster")

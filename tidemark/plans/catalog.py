@@ -449,6 +449,27 @@ def _(t: StarTables) -> DataFrame:
     return tests.select("variable", "mean_retained", "mean_churned", "t", "df", "log10_p")
 
 
+def _one_factor(t: StarTables) -> inference.GlmFit:
+    """With one factor the estimates have a closed form, so the whole table has an SQL twin."""
+    return inference.glm_logit(planted_rows(t), ("contract_type",), ())
+
+
+@query("glm_one_factor", digits=4)
+def _(t: StarTables) -> DataFrame:
+    return _one_factor(t).coefficients.select("position", "term", "estimate", "std_error", "z", "log10_p")
+
+
+@query("odds_ratios_one_factor", digits=3)
+def _(t: StarTables) -> DataFrame:
+    return inference.odds_ratios(_one_factor(t).coefficients)
+
+
+@query("glm_fit_one_factor", digits=4)
+def _(t: StarTables) -> DataFrame:
+    fit = _one_factor(t).fit
+    return fit.select("*", (1 - F.col("residual_deviance") / F.col("null_deviance")).alias("mcfadden_r2"))
+
+
 @query("churn_rate_pct")
 def _(t: StarTables) -> DataFrame:
     return inference.churn_rate_pct(planted_rows(t))

@@ -545,6 +545,44 @@ SELECT t.variable, {num("m0", "mean_retained", 4)}, {num("m1", "mean_churned", 4
   {num("(ln(2 * integral) - (df + 1) / 2 * ln(1 + t ** 2 / df) + lgamma((df + 1) / 2) - lgamma(df / 2) "
        "- ln(pi() * df) / 2) / ln(10e0)", "log10_p", 4)}
 FROM tests t JOIN tails a ON a.variable = t.variable""")
+_ONE_FACTOR = """
+, odds AS (
+  SELECT contract_type AS level, CAST(count(*) FILTER (churned = 1) AS DOUBLE) AS ones,
+    CAST(count(*) FILTER (churned = 0) AS DOUBLE) AS zeros, row_number() OVER (ORDER BY contract_type) AS position
+  FROM planted GROUP BY contract_type
+),
+coefficients AS (
+  SELECT CAST(o.position - 1 AS INTEGER) AS position,
+    CASE o.position WHEN 1 THEN '(Intercept)' ELSE 'contract_type' || o.level END AS term,
+    ln(o.ones / o.zeros) - CASE o.position WHEN 1 THEN 0e0 ELSE ln(b.ones / b.zeros) END AS estimate,
+    sqrt(1 / o.ones + 1 / o.zeros + CASE o.position WHEN 1 THEN 0e0 ELSE 1 / b.ones + 1 / b.zeros END) AS std_error
+  FROM odds o JOIN odds b ON b.position = 1
+)"""
+twin("glm_one_factor", f"""{_ONE_FACTOR},
+tails AS (
+  SELECT position, sum(CASE WHEN i IN (0, 40000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+    * exp(-abs(estimate / std_error) * i * 0.0005e0 - (i * 0.0005e0) ** 2 / 2)) * 0.0005e0 / 3 AS integral
+  FROM coefficients, (SELECT unnest(range(40001)) AS i) GROUP BY position
+)
+SELECT position, term, {num("estimate", "estimate", 4)}, {num("std_error", "std_error", 4)},
+  {num("estimate / std_error", "z", 4)},
+  {num("(ln(2 * integral) - (estimate / std_error) ** 2 / 2 - ln(2 * pi()) / 2) / ln(10e0)", "log10_p", 4)}
+FROM coefficients JOIN tails USING (position)""")
+twin("odds_ratios_one_factor", f"""{_ONE_FACTOR}
+SELECT position, term, {num("exp(estimate)", "odds_ratio", 3)},
+  {num("exp(estimate - 1.959963984540054e0 * std_error)", "lower", 3)},
+  {num("exp(estimate + 1.959963984540054e0 * std_error)", "upper", 3)}
+FROM coefficients""")
+twin("glm_fit_one_factor", f"""{_ONE_FACTOR},
+deviances AS (
+  SELECT -2 * (sum(ones) * ln(sum(ones) / sum(ones + zeros)) + sum(zeros) * ln(sum(zeros) / sum(ones + zeros))) AS without,
+    -2 * sum(ones * ln(ones / (ones + zeros)) + zeros * ln(zeros / (ones + zeros))) AS with_terms,
+    CAST(sum(ones + zeros) AS BIGINT) AS n, count(*) AS p
+  FROM odds
+)
+SELECT {num("without", "null_deviance", 4)}, n - 1 AS null_df, {num("with_terms", "residual_deviance", 4)},
+  n - p AS residual_df, {num("with_terms + 2 * p", "aic", 4)}, {num("1 - with_terms / without", "mcfadden_r2", 4)}
+FROM deviances""")
 twin("churn_rate_pct", f"""
 SELECT contract_type, {num("round(avg(churned) * 100, 1)", "churn_rate_pct")} FROM planted GROUP BY contract_type""")
 
