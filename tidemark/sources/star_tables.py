@@ -41,6 +41,19 @@ def _flag(condition: Column) -> Column:
     return F.when(condition, 1).otherwise(0)
 
 
+# Columns in use; declared, so that no job has to read them from the files first.
+STAR_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_linenumber int, l_extendedprice double, l_returnflag string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+}
+
+
 class StarTables:
     """Domain tables over one folder of star-schema Parquet files; every property is lazy."""
 
@@ -48,7 +61,7 @@ class StarTables:
         self.spark, self.folder = spark, folder
 
     def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(STAR_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     @property
     def _life(self) -> DataFrame:
