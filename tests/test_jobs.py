@@ -34,11 +34,15 @@ def test_load_job(spark, star, tmp_path):
     assert total == star.transactions.dropDuplicates(["transaction_id"]).agg(F.sum("amount")).first()[0]
 
 
-def test_load_job_stops_before_replacing(spark, star, tmp_path):
-    raw_files(star, tmp_path / "raw", customers=lambda df: df.where("customer_id <> 3"))
+def test_failed_load_keeps_the_former_tables(spark, star, tmp_path):
+    db = str(tmp_path / "db")
+    raw_files(star, tmp_path / "raw")
+    jobs.load_job(spark, str(tmp_path / "raw"), db)
+    raw_files(star, tmp_path / "bad", customers=lambda df: df.where("customer_id <> 3"))
     with pytest.raises(checks.CheckFailed, match="subscriptions.customer_id: reference"):
-        jobs.load_job(spark, str(tmp_path / "raw"), str(tmp_path / "db"))
-    assert not (tmp_path / "db").exists()
+        jobs.load_job(spark, str(tmp_path / "bad"), db)
+    assert jobs.open_tables(spark, db)["customers"].count() == 150
+    assert {p.name for p in (tmp_path / "db" / "customers").iterdir()} == {"version=000001"}
 
 
 def test_model_publish_and_report(spark, star, tmp_path):

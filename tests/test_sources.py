@@ -59,6 +59,9 @@ def test_replacement_can_read_itself_and_survives_a_failed_write(spark, tmp_path
     with pytest.raises(Exception, match="lost"):
         tables.replace_table(broken, root)
     assert tables.read_table(spark, root, current.schema).count() == 4
+    unpublished = tables.write_version(spark.range(9), root)
+    assert tables.read_table(spark, root, current.schema).count() == 4
+    tables.drop_version(spark, unpublished)
     tables.replace_table(spark.range(7), root)
     assert tables.read_table(spark, root, current.schema).count() == 7
 

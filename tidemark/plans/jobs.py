@@ -20,13 +20,25 @@ from tidemark.sources import files, tables
 def load_job(spark: SparkSession, raw_folder: str, table_folder: str) -> DataFrame:
     """Read the five CSV tables, stop on any failed check, replace the stored tables; returns row counts.
 
-    Parents are replaced before children, each in one step for its readers. Predictions about the
-    former customers are replaced by an empty table.
+    The CSV is parsed once, into unpublished versions of the tables; the checks read those. Parents
+    are published before children, each in one step for its readers. Predictions about the former
+    customers are replaced by an empty table.
     """
-    raw = {name: files.read_csv(spark, f"{raw_folder}/{name}.csv", schema) for name, schema in RAW_TABLES.items()}
-    checks.enforce(checks.load_report(raw))
-    for name, df in raw.items():
-        tables.replace_table(df, f"{table_folder}/{name}")
+    paths = {
+        name: tables.write_version(
+            files.read_csv(spark, f"{raw_folder}/{name}.csv", schema), f"{table_folder}/{name}"
+        )
+        for name, schema in RAW_TABLES.items()
+    }
+    written = {name: spark.read.schema(RAW_TABLES[name]).parquet(path) for name, path in paths.items()}
+    try:
+        checks.enforce(checks.load_report(written))
+    except checks.CheckFailed:
+        for path in paths.values():
+            tables.drop_version(spark, path)
+        raise
+    for path in paths.values():
+        tables.publish_version(spark, path)
     tables.replace_table(spark.createDataFrame([], PREDICTIONS), f"{table_folder}/ml_predictions")
     return checks.row_counts(open_tables(spark, table_folder))
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+MARKER = "_published"
+
 
 def append_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """Add rows; partition columns become folders that later filters can skip."""
@@ -15,37 +18,62 @@ def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
     df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
 
 
+def _open(spark: SparkSession, path: str, *below: str) -> tuple[JavaObject, JavaObject]:
+    """Hadoop path and its file system."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(path)
+    for part in below:
+        target = hadoop.Path(target, part)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def _versions(spark: SparkSession, root: str) -> dict[int, bool]:
-    """Version number -> finished, for every version folder under `root`."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(root)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    """Version number -> published, for every version folder under `root`."""
+    folder, files = _open(spark, root)
     if not files.exists(folder):
         return {}
     found = {}
     for status in files.listStatus(folder):
         name = status.getPath().getName()
         if status.isDirectory() and name.startswith("version="):
-            done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            found[int(name.split("=", 1)[1])] = files.exists(done)
+            found[int(name.split("=", 1)[1])] = files.exists(_open(spark, root, name, MARKER)[0])
     return found
 
 
-def replace_table(df: DataFrame, root: str) -> str:
-    """Write the rows as the next version under `root` and return its path.
-
-    The version counts as current only once Spark has marked it complete, so readers keep the
-    former rows until then, a failed write changes nothing, and `df` may read the table itself.
-    """
+def write_version(df: DataFrame, root: str) -> str:
+    """Write the rows as the next version under `root` and return its path; readers do not see it yet."""
     version = max(_versions(df.sparkSession, root), default=0) + 1
     path = f"{root}/version={version:06d}"
     df.write.mode("errorifexists").parquet(path)
     return path
 
 
+def publish_version(spark: SparkSession, path: str) -> None:
+    """Make a written version the current one, by one small file."""
+    marker, files = _open(spark, path, MARKER)
+    files.create(marker).close()
+
+
+def drop_version(spark: SparkSession, path: str) -> None:
+    """Delete a version that will not be published."""
+    folder, files = _open(spark, path)
+    files.delete(folder, True)
+
+
+def replace_table(df: DataFrame, root: str) -> str:
+    """Write and publish the next version; returns its path.
+
+    Readers keep the former rows until then, a failed write changes nothing, and `df` may read the
+    table itself.
+    """
+    path = write_version(df, root)
+    publish_version(df.sparkSession, path)
+    return path
+
+
 def read_table(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """Newest complete version of a replaced table."""
-    finished = [version for version, done in _versions(spark, root).items() if done]
-    if not finished:
-        raise FileNotFoundError(f"no complete version under {root}")
-    return spark.read.schema(schema).parquet(f"{root}/version={max(finished):06d}")
+    """Newest published version."""
+    published = [version for version, done in _versions(spark, root).items() if done]
+    if not published:
+        raise FileNotFoundError(f"no published version under {root}")
+    return spark.read.schema(schema).parquet(f"{root}/version={max(published):06d}")
