@@ -119,6 +119,18 @@ def test_hot_customer_with_a_third_of_all_rows(spark):
     assert clv.agg(F.sum("lifetime_revenue")).first()[0] == n
 
 
+def test_risk_counts_every_pair_of_prediction_and_subscription(spark):
+    s = subs(
+        spark,
+        (1, 1, "A", "10", 5, "2024-01-01", None, 1),
+        (2, 1, "A", "5.5", 5, "2024-01-01", None, 1),
+        (3, 2, "A", "7", 5, "2024-01-01", "2024-02-01", 0),
+    )
+    predictions = spark.createDataFrame([(1, "High"), (1, "High"), (1, "Low"), (2, "High")], "customer_id bigint, risk_tier string")
+    got = {r.risk_tier: tuple(r)[1:] for r in revenue.revenue_at_risk(predictions, s).collect()}
+    assert got == {"High": (4, Decimal("31.00")), "Low": (2, Decimal("15.50"))}
+
+
 def test_tickets_count_per_subscription(spark):
     s = subs(
         spark,

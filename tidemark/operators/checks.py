@@ -64,10 +64,11 @@ def reference_check(
 ) -> DataFrame:
     """Child rows whose reference is missing from the parent, or NULL.
 
-    The child is counted per key before the join, so a key with very many rows crosses it once.
+    Both sides are reduced to their keys before the join, so a key with very many rows crosses it
+    once.
     """
     per_key = child.groupBy(F.col(column).alias("_key")).agg(F.count("*").alias("n"))
-    known = parent.select(F.col(parent_key or column).alias("_key"))
+    known = parent.select(F.col(parent_key or column).alias("_key")).distinct()
     orphans = per_key.join(known, "_key", "left_anti")
     found = orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_bad"))
     return found.select(*_row(child_name, "reference", column), "n_bad")

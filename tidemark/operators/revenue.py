@@ -85,15 +85,18 @@ def customer_clv(customers: DataFrame, subscriptions: DataFrame, transactions: D
 
 
 def revenue_at_risk(predictions: DataFrame, subscriptions: DataFrame) -> DataFrame:
-    """Active subscriptions and their monthly charges per risk tier."""
+    """Active subscriptions and their monthly charges per risk tier, both sides totalled per customer first."""
     active = (
         subscriptions.where(F.col("is_active") == 1)
         .groupBy("customer_id")
-        .agg(F.count("*").alias("n"), F.sum("monthly_charges").alias("charges"))
+        .agg(F.count("*").alias("n_accounts"), F.sum("monthly_charges").alias("charges"))
     )
+    tiers = predictions.groupBy("customer_id", "risk_tier").agg(F.count("*").alias("n_tiers"))
     return (
-        predictions.select("customer_id", "risk_tier")
-        .join(active, "customer_id")
+        tiers.join(active, "customer_id")
         .groupBy("risk_tier")
-        .agg(F.sum("n").alias("customers"), F.round(F.sum("charges"), 2).alias("monthly_revenue_at_risk"))
+        .agg(
+            F.sum(F.col("n_tiers") * F.col("n_accounts")).alias("customers"),
+            F.round(F.sum(F.col("n_tiers") * F.col("charges")), 2).alias("monthly_revenue_at_risk"),
+        )
     )
