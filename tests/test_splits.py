@@ -27,6 +27,13 @@ def test_stratified_counts_are_exact(spark, n, positives, size):
         assert taken[y] == expected_test_keys(members, len(taken[y]))
 
 
+def test_quota_of_a_hundred_billion_rows(spark):
+    counts = spark.createDataFrame([(0, 70_000_000_001), (1, 30_000_000_000)], "_label int, n bigint")
+    quota = {r._label: r.quota for r in splits._test_quota(counts, 0.2).collect()}
+    assert sum(quota.values()) == math.ceil(0.2 * 100_000_000_001)
+    assert quota[1] in (6_000_000_000, 5_999_999_999, 6_000_000_001)
+
+
 def test_unlabelled_split(spark):
     rows = splits.exact_split(spark.range(1001), "id").collect()
     assert {r.id for r in rows if r.is_test} == expected_test_keys(range(1001), 201)

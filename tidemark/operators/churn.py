@@ -81,15 +81,17 @@ def tickets_vs_churn(subscriptions: DataFrame, tickets: DataFrame) -> DataFrame:
     )
     accounts = subscriptions.groupBy("customer_id", "is_active").agg(F.count("*").alias("n"))
     customers = F.count("customer_id")
-    tickets_total = F.sum(F.col("n") * F.coalesce("n_tickets", F.lit(0)))
+
+    def pairs(per_customer: str) -> Column:
+        """Sum over pairs of subscription and ticket; as doubles, for one customer may own very many of both."""
+        return F.sum(F.col("n").cast("double") * F.coalesce(per_customer, F.lit(0)).cast("double"))
+
     return (
         accounts.join(load, "customer_id", "left")
         .groupBy("is_active")
         .agg(
             customers.alias("customers"),
-            F.round(F.try_divide(tickets_total, customers), 2).alias("avg_tickets_per_customer"),
-            F.round(
-                F.try_divide(F.sum(F.col("n") * F.col("score")), F.sum(F.col("n") * F.col("n_scores"))), 2
-            ).alias("avg_satisfaction"),
+            F.round(F.try_divide(pairs("n_tickets"), customers), 2).alias("avg_tickets_per_customer"),
+            F.round(F.try_divide(pairs("score"), pairs("n_scores")), 2).alias("avg_satisfaction"),
         )
     )

@@ -18,7 +18,7 @@ def _test_quota(per_label: DataFrame, test_size: float) -> DataFrame:
     everything = Window.partitionBy()
     total = F.sum("n").over(everything)
     n_train = total - F.ceil(F.lit(float(test_size)) * total)
-    share = F.col("n") * F.col("n_train") / F.col("total")
+    share = F.col("n").cast("double") * F.col("n_train") / F.col("total")
     by_fraction = Window.orderBy((F.col("share") - F.floor("share")).desc(), "_label")
     spare = F.col("n_train") - F.sum(F.floor("share")).over(everything)
     return (

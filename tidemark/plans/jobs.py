@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from tidemark.operators import checks, explain, inference, lifetime, models, scoring, segments, splits
 from tidemark.operators.evaluation import best_model, roc_points
@@ -166,10 +166,14 @@ def report_lines(features: DataFrame) -> list[str]:
     def shown(value: float | None, pattern: str) -> str:
         return "NA" if value is None else format(value, pattern)
 
+    def p_value(r: Row) -> str:
+        """Below the smallest double only the exponent is known."""
+        return f"1e{r.log10_p:.0f}" if r.p_value == 0.0 else shown(r.p_value, ".6g")
+
     lines = ["Logistic regression of churn on its drivers"]
     lines += [
         f"  {r.term}: {shown(r.estimate, '.6f')} (SE {shown(r.std_error, '.6f')}, z {shown(r.z, '.3f')}, "
-        f"p {shown(r.p_value, '.6g')})"
+        f"p {p_value(r)})"
         for r in glm.coefficients.orderBy("position").collect()
     ]
     lines.append(
@@ -184,13 +188,13 @@ def report_lines(features: DataFrame) -> list[str]:
     ]
     lines.append("Chi-square tests of churn and category")
     lines += [
-        f"  {r.variable}: X2 {shown(r.statistic, '.2f')}, df {r.df}, p {shown(r.p_value, '.6g')}"
+        f"  {r.variable}: X2 {shown(r.statistic, '.2f')}, df {r.df}, p {p_value(r)}"
         for r in inference.chi_square_tests(features).orderBy("variable").collect()
     ]
     lines.append("Welch t-tests, retained minus churned")
     lines += [
         f"  {r.variable}: means {shown(r.mean_retained, '.2f')} and {shown(r.mean_churned, '.2f')}, "
-        f"t {shown(r.t, '.2f')}, df {shown(r.df, '.1f')}, p {shown(r.p_value, '.6g')}"
+        f"t {shown(r.t, '.2f')}, df {shown(r.df, '.1f')}, p {p_value(r)}"
         for r in inference.welch_tests(features).orderBy("variable").collect()
     ]
     return lines
