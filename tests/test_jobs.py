@@ -68,6 +68,11 @@ def test_model_publish_and_report(spark, star, tmp_path):
 
     when = dt.datetime(2001, 8, 1, 12)
     _, snapshot_path = jobs.publish_job(run.scored, str(tmp_path / "out"), when)
+    kept = schemas.with_key_type(schemas.FEATURES_SCORED, schemas.T.LongType())
+    kept = tables.read_table(spark, str(tmp_path / "out" / "features_scored"), kept)
+    assert kept.where("predicted_clv IS NULL OR segment_label IS NULL OR churned IS NULL").count() == 0
+    comparison = files.read_csv(spark, str(tmp_path / "models" / "model_comparison.csv"), schemas.MODEL_COMPARISON)
+    assert sorted(map(tuple, comparison.collect())) == sorted(map(tuple, table))
     text_key = schemas.with_key_type(schemas.PREDICTIONS, schemas.T.LongType())
     predictions = tables.read_table(spark, str(tmp_path / "out" / "ml_predictions"), text_key)
     assert predictions.count() == 150 and predictions.first().scored_at == when

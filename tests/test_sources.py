@@ -25,6 +25,12 @@ def test_csv_with_a_wrong_value_stops(spark, tmp_path):
         files.read_csv(spark, str(tmp_path / "bad.csv"), schemas.CHURN_EVENTS).collect()
 
 
+def test_csv_with_another_header_stops(spark, tmp_path):
+    (tmp_path / "bad.csv").write_text("customer_id,churn_id,churn_date,churn_flag,churn_reason\n1,2,2024-01-01,1,x\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv(spark, str(tmp_path / "bad.csv"), schemas.CHURN_EVENTS).collect()
+
+
 def test_csv_accepts_whole_numbers_with_a_zero_fraction(spark, tmp_path):
     header = "ticket_id,customer_id,opened_date,closed_date,category,priority,satisfaction_score\n"
     good = "1,CU-00001,2024-01-01,2024-01-03,billing,low,4.0\n2,CU-00001,2024-01-01,,billing,low,\n"

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from tidemark.operators.evaluation import binary_metrics
 from tidemark.operators.features import CATEGORICAL, NUMERIC
+from tidemark.schemas import MODEL_COMPARISON
 from tidemark.session import shared_folder, side_by_side, spread
 
 SEED = 42
@@ -148,9 +149,7 @@ def compare_classifiers(
     models = dict(zip(names, side_by_side(train.sparkSession, fits)))
     scored = {name: with_probability(model, test) for name, model in models.items()}
     rows = [Row(model=name, **binary_metrics(frame, LABEL).first().asDict()) for name, frame in scored.items()]
-    table = train.sparkSession.createDataFrame(
-        rows, "model string, roc_auc double, precision double, recall double, f1 double"
-    )
+    table = train.sparkSession.createDataFrame(rows, MODEL_COMPARISON)
     return table.orderBy(F.col("roc_auc").desc_nulls_last(), "model"), models, scored
 
 

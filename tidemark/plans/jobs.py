@@ -148,7 +148,11 @@ def profile_job(saved: SavedModel, profiles: DataFrame, key: str = "profile_id")
 
 
 def publish_job(scored: DataFrame, table_folder: str, scored_at: dt.datetime) -> tuple[str, str]:
-    """Replace the prediction table and the snapshot (CSV, in a new folder); returns both paths."""
+    """Replace the tables of scored features and predictions, and write the snapshot as CSV.
+
+    The snapshot gets a new folder per run. Returns the paths of predictions and snapshot.
+    """
+    tables.replace_table(scored, f"{table_folder}/features_scored")
     predictions = tables.replace_table(
         scoring.prediction_table(scored, scored_at), f"{table_folder}/ml_predictions"
     )

@@ -54,6 +54,18 @@ FEATURES = _table(
     avg_satisfaction=T.DoubleType(), churned=_INT,
 )
 
+FEATURES_SCORED = T.StructType([
+    *FEATURES.fields,
+    *_table(
+        predicted_total_tenure_months=T.DoubleType(), predicted_clv=T.DoubleType(), segment_cluster=_INT,
+        segment_label=_TEXT,
+    ),
+])
+
+MODEL_COMPARISON = _table(
+    model=_TEXT, **dict.fromkeys(("roc_auc", "precision", "recall", "f1"), T.DoubleType()),
+)
+
 SNAPSHOT = _table(
     customer_id=_TEXT, contract_type=_TEXT, internet_service=_TEXT, payment_method=_TEXT,
     monthly_charges=_MONEY, tenure_months=_INT, ticket_count=_LONG,

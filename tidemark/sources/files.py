@@ -10,7 +10,8 @@ from tidemark.schemas import MODEL_METADATA
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Header CSV with a declared schema; dates as yyyy-MM-dd, empty fields as NULL.
 
-    A value that does not fit its type stops the read instead of turning into NULL. Whole numbers
+    A value that does not fit its type, or a header that differs from the schema, stops the read
+    instead of turning into NULL or landing in the wrong column. Whole numbers
     may be written with a zero fraction ("4.0"), as data frame libraries do for columns with gaps.
     """
     whole = {f.name: f.dataType for f in schema if isinstance(f.dataType, T.IntegerType)}
@@ -20,6 +21,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     rows = (
         spark.read.schema(in_file)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("mode", "FAILFAST")
         .option("escape", '"')
         .csv(path)
