@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Characters and phrases that the rules look for.
@@ -9,6 +11,7 @@ SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]+"
 SEPARATORS = r"[|»›>•·]"
 TERMINAL = r"[.!?:;…。\"'”’»)\]]$"
+MARKS = r"[\p{Punct}\p{IsPunctuation}&&[^'’-]]+"
 BOILERPLATE = (
     "lorem ipsum", "javascript", "cookie policy", "we use cookies", "accept all cookies", "privacy policy",
     "terms of use", "terms of service", "all rights reserved", "click here", "subscribe to our", "sign up for",
@@ -25,6 +28,8 @@ MAX_MARK_SHARE = 0.25
 MIN_SEPARATORS, WORDS_PER_SEPARATOR = 3, 5
 #: A line of at most so many words with a boilerplate phrase goes.
 BOILERPLATE_WORDS = 25
+#: Only lines below so many characters can have few words; above the BOILERPLATE_WORDS and OPEN_LINE_WORDS rules are off.
+SHORT_LINE = 400
 #: A document is rejected if less than this share of its characters in words stays.
 MIN_KEPT_SHARE = 0.5
 
@@ -34,44 +39,58 @@ def _words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE))
 
 
-def line_verdict(line: Column) -> Column:
-    """Name of the first rule that a line fails, else null; a line without words passes."""
+def _line_parts(line: Column) -> Column:
+    """What the rules look at, so that each is computed once per line."""
     bare = F.regexp_replace(line, SPACE, "")
-    letters = F.length(bare)
-    words = F.size(_words(line))
-    marks = letters - F.length(F.regexp_replace(bare, r"[\p{Punct}&&[^'’-]]|\p{IsPunctuation}", ""))
-    separators = letters - F.length(F.regexp_replace(bare, SEPARATORS, ""))
+    return F.struct(
+        line.alias("line"),
+        F.length(bare).alias("letters"),
+        F.length(F.regexp_replace(bare, MARKS, "")).alias("unmarked"),
+        F.when(F.length(line) < SHORT_LINE, F.size(_words(line))).alias("words"),
+    )
+
+
+def line_verdict(part: Column) -> Column:
+    """Name of the first rule that a line fails, else null; a line without words passes.
+
+    `part` comes from _line_parts; `words` is null where a line is too long to be judged by its number of words.
+    """
+    line, letters = part["line"], part["letters"]
+    separators = F.length(line) - F.length(F.regexp_replace(line, SEPARATORS, ""))
+    navigation = line.rlike(f"{SEPARATORS}.*{SEPARATORS}") & (separators >= MIN_SEPARATORS) & (
+        F.size(_words(line)) <= WORDS_PER_SEPARATOR * separators
+    )
     low = F.lower(line)
     boilerplate = F.lit(False)
     for phrase in BOILERPLATE:
         boilerplate = boilerplate | low.contains(phrase)
     return (
         F.when(letters == 0, None)
-        .when((separators >= MIN_SEPARATORS) & (words <= WORDS_PER_SEPARATOR * separators), "navigation")
-        .when(marks > MAX_MARK_SHARE * letters, "punctuation")
-        .when((words < OPEN_LINE_WORDS) & ~F.rtrim(line).rlike(TERMINAL), "punctuation")
-        .when((words <= BOILERPLATE_WORDS) & boilerplate, "boilerplate")
+        .when(navigation, "navigation")
+        .when(letters - part["unmarked"] > MAX_MARK_SHARE * letters, "punctuation")
+        .when((part["words"] < OPEN_LINE_WORDS) & ~F.rtrim(line).rlike(TERMINAL), "punctuation")
+        .when((part["words"] <= BOILERPLATE_WORDS) & boilerplate, "boilerplate")
     )
 
 
-def _repeat_words(words: Column, grams: Column) -> Column:
-    """Words inside windows that occur twice or more, from sorted (hash, place) pairs of the windows."""
-    pairs = F.array_sort(F.transform(grams, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+def _is_repeated(pairs: Column) -> Callable[[Column, Column], Column]:
+    def repeated(pair: Column, at: Column) -> Column:
+        before = F.when(at > 0, F.get(pairs, at - 1)["h"] == pair["h"])
+        return F.coalesce(before, F.lit(False)) | F.coalesce(F.get(pairs, at + 1)["h"] == pair["h"], F.lit(False))
+
+    return repeated
 
-    def repeated(p: Column, at: Column) -> Column:
-        before = F.when(at > 0, F.get(pairs, at - 1)["h"] == p["h"])
-        after = F.get(pairs, at + 1)["h"] == p["h"]
-        return F.coalesce(before, F.lit(False)) | F.coalesce(after, F.lit(False))
 
-    starts = F.array_sort(F.transform(F.filter(pairs, repeated), lambda p: p["i"]))
-    covered = F.aggregate(
+def _covered(starts: Column) -> Column:
+    """Words inside windows that begin at the sorted `starts`."""
+    return F.aggregate(
         starts,
         F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
         lambda acc, s: F.struct(
             (acc["n"] + s + WINDOW - F.greatest(s, acc["end"])).alias("n"), (s + WINDOW).alias("end")
         ),
+        lambda acc: acc["n"].cast("long"),
     )
-    return covered["n"].cast("long")
 
 
 def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -90,8 +109,20 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
             ),
         ),
     )
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     parts = parts.withColumn("_repeats", F.size(F.array_distinct("_grams")) < F.size("_grams"))
+    # (hash, place) of every window, sorted: equal windows are neighbours. A column of its own, as lambdas look into it
+    parts = parts.withColumn(
+        "_pairs",
+        F.when(
+            F.col("_repeats"),
+            F.array_sort(F.transform("_grams", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
+        ),
+    )
+    parts = parts.withColumn(
+        "_starts",
+        F.sort_array(F.transform(F.filter("_pairs", _is_repeated(F.col("_pairs"))), lambda pair: pair["i"])),
+    )
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     return (
         parts.withColumn("n_words", F.size("_words").cast("long"))
         .withColumn("word_chars", F.length(F.array_join("_words", "")).cast("long"))
@@ -102,13 +133,13 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
         )
         .withColumn(
             "n_repeat_words",
-            F.when(F.col("_repeats"), _repeat_words(F.col("_words"), F.col("_grams"))).otherwise(F.lit(0).cast("long")),
+            F.coalesce(_covered(F.col("_starts")), F.lit(0).cast("long")),
         )
         .withColumn(
             "base_failed",
             (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")),
         )
-        .drop("_words", "_grams", "_repeats")
+        .drop("_words", "_grams", "_repeats", "_pairs", "_starts")
     )
 
 
@@ -118,8 +149,9 @@ def clean_lines(docs: DataFrame, text_col: str = "text") -> DataFrame:
     A text without characters in words keeps all it has (share 1). A null text counts as empty.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
+    parts = F.transform(F.split(text, "\n"), _line_parts)
     judged = docs.withColumn(
-        "_lines", F.transform(F.split(text, "\n"), lambda x: F.struct(x.alias("line"), line_verdict(x).alias("rule")))
+        "_lines", F.transform(parts, lambda x: F.struct(x["line"].alias("line"), line_verdict(x).alias("rule")))
     )
     kept = F.filter("_lines", lambda x: x["rule"].isNull())
     judged = judged.withColumn(
