@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import near_dedup, packing, quality_rules, sharding
+from tidemark.llm import (
+    chat_format, decontamination, html_extraction, license_scan, near_dedup, packing, quality_rules, secret_scan, sharding,
+    warc,
+)
 from tidemark.llm.workers import let_workers_import
 
 
@@ -22,6 +25,25 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages").select("page_id", "url", "html")
+    return html_extraction.extract_main_text(pages)
+
+
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan_licenses(_table(spark, folder, "documents"))
+
+
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive_pages(_table(spark, folder, "pages"), min_revisit_bytes=0)
+
+
+def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    ratios = secret_scan.train(secret_scan.labelled_samples(spark))
+    return secret_scan.span_digest(secret_scan.scan_secrets(docs, ratios))
+
+
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_table(spark, folder, "documents"), public_tokenizer())
 
@@ -34,6 +56,18 @@ def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    leaks = decontamination.find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return leaks.withColumn("coverage", F.round("coverage", 6))
+
+
+def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    convs = chat_format.conversations(_table(spark, folder, "conversations"))
+    return chat_format.format_preferences(chat_format.with_cut_answer(convs)).select(
+        "conv_id", "n_shared", "prompt", "chosen", "rejected", "chosen_mask", "rejected_mask"
+    )
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(_table(spark, folder, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -42,10 +76,11 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op5_packing": op5_packing,
-    "op6_sharding": op6_sharding,
-    "op7_near_dedup": op7_near_dedup,
-    "op10_quality_rules": op10_quality_rules,
+    f.__name__: f
+    for f in (
+        op1_html_extraction, op2_license_scan, op3_warc, op4_secret_scan, op5_packing, op6_sharding, op7_near_dedup,
+        op8_decontamination, op9_chat_format, op10_quality_rules,
+    )
 }
 
 ORACLE: dict[str, str] = {}

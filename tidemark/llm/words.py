@@ -63,9 +63,8 @@ def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[in
         at = stop
 
 
-def find_words(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """Maximal runs without white space, never across two texts."""
-    inside = ~_SPACE[data]
+def find_runs(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> Words:
+    """Maximal runs of bytes that are `inside`, never across two texts."""
     begins, ends = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     ends[:-1] &= ~inside[1:]
@@ -77,6 +76,11 @@ def find_words(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(data, np.searchsorted(start, offsets), start, end)
 
 
+def find_words(data: np.ndarray, offsets: np.ndarray) -> Words:
+    """Maximal runs without white space, never across two texts."""
+    return find_runs(data, offsets, ~_SPACE[data])
+
+
 def word_hashes(words: Words, lower: bool = True) -> np.ndarray:
     """A hash per word; A-Z count as a-z if `lower`."""
     lengths = words.end - words.start
