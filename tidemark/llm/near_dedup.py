@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,7 @@ _COLUMNS_AT_ONCE = 4096
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, text) -> (doc_id, n_shingles, digest of the set, band keys)."""
+    """(id, text, ...) -> (doc_id, n_shingles, digest of the set, band keys, ...)."""
     for batch in batches:
         for first, last, data, offsets in text_chunks(batch.column(1)):
             words = find_words(data, offsets)
@@ -40,8 +40,9 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.ListArray.from_arrays(
                         pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BANDS), pa.array(keys.reshape(-1))
                     ),
+                    *[c.slice(first, last - first) for c in batch.columns[2:]],
                 ],
-                ["doc_id", "n_shingles", "digest", "bands"],
+                ["doc_id", "n_shingles", "digest", "bands", *batch.schema.names[2:]],
             )
 
 
@@ -139,8 +140,10 @@ def _block_pairs(representatives: DataFrame) -> DataFrame:
     return small.unionByName(large)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row.
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row, and the whole numbers of the columns in `carry`.
 
     A document is the set of its distinct five-word shingles. Rows with equal sets (copies) become one representative,
     the least id. Representatives that share a band of their SuperMinHash signature meet in a bucket; all pairs of a
@@ -152,8 +155,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     and kept. Extra columns are ignored; an empty table gives an empty result.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    carried = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *carry)
+    extra = "".join(f", `{name}` long" for name in carry)
     sketches = stage_table(
-        source.mapInArrow(_sketches, "doc_id long, n_shingles long, digest binary, bands array<long>"), "sketches"
+        carried.mapInArrow(_sketches, f"doc_id long, n_shingles long, digest binary, bands array<long>{extra}"), "sketches"
     )
     representatives = (
         sketches.where("digest is not null and doc_id is not null")
@@ -178,11 +183,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups = representatives.join(components, F.col("rep") == F.col("node"), "left").select(
         "digest", F.coalesce("component", "rep").alias("component_id")
     )
-    out = sketches.select("doc_id", "n_shingles", "digest").join(groups, "digest", "left")
+    out = sketches.drop("bands").join(groups, "digest", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.col("component_id").isNull()).alias("kept"),
+        *carry,
     )
