@@ -145,9 +145,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     counted = base.select(F.explode("known").alias("token")).groupBy("token").count().collect()
     tokens, templates = ordered_templates({r["token"]: r["count"] for r in counted})
     prefix = sorted({r for _, _, ranks, need in templates for r in ranks[: len(ranks) - need + 1]})
-    candidate = F.lit(False)
-    for r in prefix:
-        candidate = candidate | F.col("_spaced").contains(f" {tokens[r - 1]} ")
+    candidate = F.col("_spaced").rlike(f" (?:{'|'.join(tokens[r - 1] for r in prefix)}) ")
     found = (
         _joined(_blocks(source.where(candidate), tokens, prefix), templates)
         .groupBy("doc_id", "text_hash")
