@@ -15,10 +15,10 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     Null and empty texts have no words and are rejected. All columns of the input are returned.
     """
-    judged = quality_rules.quality_rules(docs).where("kept")
-    return judged.withColumn("text", F.col("clean_text")).withColumn(
-        "n_chars", F.length("clean_text").cast("long")
-    ).select(*docs.columns)
+    judged = quality_rules.quality_rules(docs)
+    # rejected rows give no element; a filter would be pushed below the measures and compute them again inside itself
+    kept = judged.select(*docs.columns, F.explode(F.when(F.col("kept"), F.array("clean_text"))).alias("_clean"))
+    return kept.withColumn("text", F.col("_clean")).withColumn("n_chars", F.length("_clean").cast("long")).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
