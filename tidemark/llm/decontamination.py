@@ -92,8 +92,8 @@ def classify(words: Words, first: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 def _windows(
     data: np.ndarray, offsets: np.ndarray, widths: list[int], passes: np.ndarray | None
-) -> Iterator[tuple[int, int, int, int, np.ndarray, np.ndarray]]:
-    """(text, place, hash, kind of window, kinds of its tokens, their word hashes) of literal and template windows.
+) -> Iterator[tuple[int, int, int, int, int, np.ndarray, np.ndarray]]:
+    """(text, place, hash, width, kind of window, kinds of its tokens, their word hashes) of literal and template windows.
 
     `passes` are the filter's places; None lets all windows through.
     """
@@ -118,10 +118,10 @@ def _windows(
             if passes is not None:
                 use = use & passes[(found & np.uint64(FILTER_BITS - 1)).astype(np.int64)]
             for i in np.flatnonzero(use).tolist():
-                yield int(owner[i]), int(place[i]), int(found[i]), kind, kinds[i : i + width], hashes[i : i + width]
+                yield int(owner[i]), int(place[i]), int(found[i]), width, kind, kinds[i : i + width], hashes[i : i + width]
 
 
-_SCHEMA = "id long, place long, hash long, kind int, slots array<struct<type:int,value:long>>"
+_SCHEMA = "id long, place long, hash long, width int, kind int, slots array<struct<type:int,value:long>>"
 
 
 def _signed(x: int) -> int:
@@ -138,19 +138,19 @@ def _window_rows(widths: list[int], packed: bytes | None) -> Callable[[Iterator[
             ids = batch.column(0).to_pylist()
             for at, _, data, offsets in text_chunks(batch.column(1)):
                 rows: list[tuple] = []
-                for text, place, found, kind, kinds, values in _windows(data, offsets, widths, passes):
+                for text, place, found, width, kind, kinds, values in _windows(data, offsets, widths, passes):
                     slots = [
                         {"type": int(k), "value": _signed(int(v))}
                         for k, v in zip(kinds, values)
                         if k not in (PLAIN, FIRST)
                     ]
-                    rows.append((ids[at + text], place, _signed(found), kind, slots if kind else []))
+                    rows.append((ids[at + text], place, _signed(found), width, kind, slots if kind else []))
                 if rows:
                     c = list(zip(*rows))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c[0], pa.int64()), pa.array(c[1], pa.int64()), pa.array(c[2], pa.int64()),
-                         pa.array(c[3], pa.int32()), pa.array(c[4], slot_type)],
-                        ["id", "place", "hash", "kind", "slots"],
+                         pa.array(c[3], pa.int32()), pa.array(c[4], pa.int32()), pa.array(c[5], slot_type)],
+                        ["id", "place", "hash", "width", "kind", "slots"],
                     )
 
     return run
@@ -187,8 +187,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
         items.mapInArrow(_window_rows(sorted(widths), None), _SCHEMA)
         .withColumnsRenamed({"id": "item_id", "place": "item_place", "slots": "item_slots"})
         .join(counts, "item_id")
+        .where(F.col("width") == F.least("tokens", F.lit(WINDOW)))
         .withColumn("item_windows", F.greatest(F.col("tokens") - WINDOW + 1, F.lit(1)))
-        .drop("tokens")
+        .drop("tokens", "width")
         .dropDuplicates(["item_id", "item_place", "hash"]),
         "item-windows",
     )
