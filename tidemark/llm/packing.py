@@ -19,44 +19,68 @@ END_ID = 1
 LENGTH_STEP = 4
 #: Pieces of a length that are ranked together.
 RANKED_TOGETHER = 100_000
-_KNOWN_WORDS = 300_000
+_KNOWN_WORDS = 500_000
 #: Letters whose normal form, lower case and word borders do not depend on their neighbours; others go to the tokenizer.
 _PLAIN = re.compile("[\t\n\r !-~¡-±´-¸º»¿-įĲ-ɏ]*")
+#: Fixed value: the units of the tokenizer's own pattern, for plain lower-case texts.
+_UNIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 _encoders: dict[str, Callable[[list[str | None]], list[bytes]]] = {}
+_TEXTS_AT_ONCE = 256
 
 
 def _encoder(path: str) -> Callable[[list[str | None]], list[bytes]]:
-    """Texts -> their ids as little-endian 32-bit numbers, with a table of known words that a Python worker keeps.
+    """Texts -> their ids as little-endian 32-bit numbers, with tables of known words that a Python worker keeps.
 
-    The tokenizer of word ends splits at white space before anything else, so that equal words have equal ids wherever
-    they stand. Texts with unusual letters or the tokenizer's special strings are given to it whole.
+    The tokenizer drops white space and cuts the rest by a pattern into units (letters, a digit, marks) before anything
+    else, so that equal units have equal ids wherever they stand. New units go to the tokenizer in one text; the last id
+    of each unit is one of those that end a word. Texts with unusual letters or the tokenizer's special strings are given
+    to it whole.
     """
     if path in _encoders:
         return _encoders[path]
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
     tokenizer = Tokenizer.from_file(path)
-    known: dict[str, bytes] = {}
-
-    def whole(texts: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+    merger = Tokenizer.from_file(path)  # the same merges for units that are in lower case and cut already
+    merger.normalizer = normalizers.Sequence([])
+    merger.pre_tokenizer = pre_tokenizers.Sequence(
+        [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+    )
+    vocabulary = tokenizer.get_vocab(with_added_tokens=False)
+    ends_unit = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+    ends_unit[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+    words: dict[str, bytes] = {}
+    units: dict[str, bytes] = {}
+
+    def whole(text: str) -> bytes:
+        ids = tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return np.array(ids, dtype="<u4").tobytes()
+
+    def learn(new: list[str]) -> None:
+        parts = [(w,) if w.isalpha() else _UNIT.findall(w) for w in new]
+        unknown = list(set().union(*parts) - units.keys())
+        for at in range(0, len(unknown), 2000):
+            some = unknown[at : at + 2000]
+            ids = np.array(merger.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = (4 * (np.flatnonzero(ends_unit[ids]) + 1)).tolist()
+            if len(ends) != len(some):
+                raise ValueError("the tokenizer does not mark the ends of its units")
+            data = ids.tobytes()
+            units.update(zip(some, [data[a:b] for a, b in zip([0, *ends], ends)]))
+        words.update(zip(new, [units[p[0]] if len(p) == 1 else b"".join([units[u] for u in p]) for p in parts]))
 
     def encode(texts: list[str | None]) -> list[bytes]:
-        if len(known) > _KNOWN_WORDS:
-            known.clear()
-        out: list[bytes] = []
-        for text in texts:
-            text = text or ""
-            if "<|" in text or not _PLAIN.fullmatch(text):
-                out += whole([text])
-                continue
-            words = text.lower().split()
-            new = [w for w in dict.fromkeys(words) if w not in known]
-            if new:
-                known.update(zip(new, whole(new)))
-            out.append(b"".join([known[w] for w in words]))
-        return out
+        for table in (words, units):
+            if len(table) > _KNOWN_WORDS:
+                table.clear()
+        plain = [t.lower().split() if t and "<|" not in t and _PLAIN.fullmatch(t) else None for t in texts]
+        new = set().union(*[found for found in plain if found]) - words.keys()
+        if new:
+            learn(list(new))
+        return [
+            whole(text or "") if found is None else b"".join([words[w] for w in found])
+            for text, found in zip(texts, plain)
+        ]
 
     return _encoders.setdefault(path, encode)
 
@@ -66,8 +90,8 @@ def _pieces(tokenizer_path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterato
         encode = _encoder(tokenizer_path)
         end = np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, _TEXTS_AT_ONCE):
+                part = batch.slice(at, _TEXTS_AT_ONCE)
                 rows: list[tuple] = []
                 for doc_id, ids in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist())):
                     ids += end
