@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.components import connected_components
 from tidemark.llm.superminhash import band_keys, signatures
@@ -22,6 +22,8 @@ BANDS, ROWS_PER_BAND = 28, 6
 #: Members of a bucket that are held together; larger buckets are compared block by block.
 BLOCK_MEMBERS = 256
 _COLUMNS_AT_ONCE = 4096
+#: Bits of the filter that spares texts outside all buckets the second reading; a full filter spares none.
+FILTER_BITS = 1 << 23
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -46,16 +48,38 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _packed_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, text) -> (rep, its sorted shingles as bytes)."""
-    for batch in batches:
-        for first, last, data, offsets in text_chunks(batch.column(1)):
-            words = find_words(data, offsets)
-            sets = shingle_sets(words, word_hashes(words), SHINGLE_WORDS)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(first, last - first), pa.array([s.tobytes() for s in sets], pa.binary())],
-                ["rep", "shingles"],
-            )
+def _packed_sets(wanted: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(id, text, place) -> (rep, its sorted shingles as bytes) of rows whose place is set in the filter `wanted`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = batch.column(2).to_numpy()
+            passed = (wanted[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1)
+            batch = batch.filter(pa.array(passed.astype(bool)))
+            for first, last, data, offsets in text_chunks(batch.column(1)):
+                words = find_words(data, offsets)
+                sets = shingle_sets(words, word_hashes(words), SHINGLE_WORDS)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, last - first), pa.array([s.tobytes() for s in sets], pa.binary())],
+                    ["rep", "shingles"],
+                )
+
+    return run
+
+
+def _place(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+
+
+def _filter_of(keys: DataFrame, key: str) -> np.ndarray:
+    """Filter of FILTER_BITS bits with the places of all keys set; its size does not depend on their number."""
+    bits = keys.select(_place(key).alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits")
+    )
+    out = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
+    for r in bits.collect():
+        out[r["word"]] = r["bits"] % 2**64
+    return out
 
 
 def _find(parent: list[int], x: int) -> int:
@@ -110,30 +134,27 @@ def _verified(table: pa.Table) -> pa.Table:
 def _block_pairs(representatives: DataFrame) -> DataFrame:
     """(task, rep): the members of every bucket, once for each pair of blocks of the bucket that must be compared.
 
-    Buckets of one block that have equal members, as copies have in most bands, are compared once.
+    A bucket is a key, which the band is part of. Buckets of one block that have equal members, as copies have in most bands, are compared once.
     """
-    entries = representatives.select("rep", F.posexplode("bands").alias("band", "key")).select("band", "key", "rep")
-    sizes = entries.groupBy("band", "key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    members = entries.join(sizes, ["band", "key"])
+    entries = representatives.select("rep", F.explode("bands").alias("key"))
+    sizes = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    members = entries.join(sizes, "key")
     small = (
         members.where(F.col("members") <= BLOCK_MEMBERS)
-        .groupBy("band", "key")
+        .groupBy("key")
         .agg(F.sort_array(F.collect_list("rep")).alias("reps"))
-        .groupBy(F.xxhash64("reps").alias("a"), F.hash("reps").alias("b"))
+        .groupBy(F.xxhash64("reps").alias("bucket"), F.hash("reps").alias("i"))
         .agg(F.first("reps").alias("reps"))
-        .select(
-            F.struct(F.col("a").alias("bucket"), F.col("b").alias("band"), F.lit(0).alias("i"), F.lit(0).alias("j")).alias("task"),
-            F.explode("reps").alias("rep"),
-        )
+        .select(F.struct("bucket", "i", F.lit(-1).alias("j")).alias("task"), F.explode("reps").alias("rep"))
     )
     blocks = F.ceil(F.col("members") / BLOCK_MEMBERS).cast("int")
     large = members.where(F.col("members") > BLOCK_MEMBERS).select(
-        "band", "key", "rep", blocks.alias("blocks"), F.pmod(F.xxhash64("rep"), blocks.cast("long")).cast("int").alias("block")
+        "key", "rep", blocks.alias("blocks"), F.pmod(F.xxhash64("rep"), blocks.cast("long")).cast("int").alias("block")
     )
     # a task of two blocks also compares the pairs inside each of them
     large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("block != other").select(
         F.struct(
-            F.col("key").alias("bucket"), "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
+            F.col("key").alias("bucket"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
         ).alias("task"),
         "rep",
     )
@@ -171,10 +192,10 @@ def near_duplicates(
     )
     tasks = stage_table(_block_pairs(banded.select(F.col("doc_id").alias("rep"), "bands")), "buckets")
     wanted = tasks.select("rep").distinct()
+    second = source.where("doc_id is not null").withColumn("place", _place("doc_id"))
     sets = stage_table(
-        source.withColumnRenamed("doc_id", "rep")
+        second.mapInArrow(_packed_sets(_filter_of(wanted, "rep")), "rep long, shingles binary")
         .join(wanted, "rep", "left_semi")
-        .mapInArrow(_packed_sets, "rep long, shingles binary")
         .dropDuplicates(["rep", "shingles"]),
         "sets",
     )
