@@ -82,3 +82,24 @@ def test_regression_metrics(spark):
 def test_best_model_breaks_ties_by_name(spark):
     df = spark.createDataFrame([("b", 0.9), ("a", 0.9), ("c", 0.1), ("d", None)], "model string, roc_auc double")
     assert evaluation.best_model(df).first().model == "a"
+
+
+@pytest.mark.parametrize("decimals", [None, 5])
+@pytest.mark.parametrize("row", [(1, None), (0, float("nan")), (None, 0.5), (2, 0.5)])
+@pytest.mark.parametrize("measure", [evaluation.binary_metrics, evaluation.roc_points])
+def test_missing_scores_and_labels_stop(spark, decimals, row, measure):
+    df = spark.createDataFrame([(1, 0.9), (0, 0.1), row], "churned int, churn_probability double")
+    with pytest.raises(Exception, match="cannot rank"):
+        measure(df, decimals=decimals).collect()
+
+
+def test_scores_outside_the_bound_stop_or_are_ranked(spark):
+    df = spark.createDataFrame([(1, 1.5), (0, -2.0), (1, 0.3)], "churned int, churn_probability double")
+    with pytest.raises(Exception, match="cannot rank"):
+        evaluation.binary_metrics(df, decimals=5).collect()
+    assert evaluation.binary_metrics(df).first().roc_auc == 1.0
+
+
+def test_error_counts_rows_with_a_prediction_only(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (3.0, 2.0), (100.0, None)], "y double, p double")
+    assert evaluation.regression_metrics(df, "y", "p").first() == (0.5, 0.5)

@@ -43,6 +43,14 @@ def test_failed_load_keeps_the_former_tables(spark, star, tmp_path):
         jobs.load_job(spark, str(tmp_path / "bad"), db)
     assert jobs.open_tables(spark, db)["customers"].count() == 150
     assert {p.name for p in (tmp_path / "db" / "customers").iterdir()} == {"version=000001"}
+    raw_files(star, tmp_path / "broken")
+    for check in (tmp_path / "broken" / "churn_events.csv").glob(".*.crc"):
+        check.unlink()
+    for part in (tmp_path / "broken" / "churn_events.csv").glob("part-*"):
+        part.write_text(part.read_text().replace(",1,", ",1.5,"))
+    with pytest.raises(Exception, match="is no whole number"):
+        jobs.load_job(spark, str(tmp_path / "broken"), db)
+    assert all({p.name for p in (tmp_path / "db" / t).iterdir()} == {"version=000001"} for t in schemas.RAW_TABLES)
 
 
 def test_model_publish_and_report(spark, star, tmp_path):
@@ -54,7 +62,7 @@ def test_model_publish_and_report(spark, star, tmp_path):
     assert run.scored.count() == 150 and run.lifetime_error.count() == 1
     left = {p.name for p in (tmp_path / "models").iterdir()}
     assert left == {
-        "churn", "lifetime", "segments", "metadata", "background", "model_comparison.csv", "roc_points.csv",
+        "churn", "lifetime", "segments", "segment_order", "metadata", "background", "model_comparison.csv", "roc_points.csv",
         "drivers.csv", "feature_names.csv",
     }
     curves = spark.read.option("header", True).csv(str(tmp_path / "models" / "roc_points.csv"))
@@ -62,9 +70,15 @@ def test_model_publish_and_report(spark, star, tmp_path):
 
     saved = jobs.open_model(spark, str(tmp_path / "models"))
     profiles = features.withColumnRenamed("customer_id", "profile_id").where("profile_id < 5")
-    if run.best_name == "logistic_regression":
-        scores, reasons = jobs.profile_job(saved, profiles)
-        assert scores.count() == 5 and reasons.select("profile_id").distinct().count() == 5
+    scores, reasons = jobs.profile_job(saved, profiles)
+    assert scores.count() == 5
+    assert reasons.select("profile_id").distinct().count() == (5 if run.best_name == "logistic_regression" else 0)
+    again = jobs.score_job(saved, features)
+    columns = ["customer_id", "churn_probability", "risk_tier", "predicted_clv", "segment_cluster"]
+    assert sorted(map(tuple, again.select(columns).collect())) == sorted(map(tuple, run.scored.select(columns).collect()))
+    jobs.publish_job(again, str(tmp_path / "again"), dt.datetime(2001, 8, 2), saved.metadata["model_version"] + "-x")
+    kind = schemas.with_key_type(schemas.PREDICTIONS, schemas.T.LongType())
+    assert tables.read_table(spark, str(tmp_path / "again" / "ml_predictions"), kind).first().model_version == "v1.0-x"
 
     when = dt.datetime(2001, 8, 1, 12)
     _, snapshot_path = jobs.publish_job(run.scored, str(tmp_path / "out"), when)

@@ -89,7 +89,7 @@ def test_contributions_add_up_to_the_logit(logistic, parts):
     for r in scores:
         logit = np.log(r.churn_probability / (1 - r.churn_probability))
         assert base + totals[r.customer_id] == pytest.approx(logit, abs=1e-9)
-    ranking = explain.driver_ranking(long_form).collect()
+    ranking = explain.driver_ranking(long_form, explain.TOP_DRIVERS).collect()
     assert len(ranking) == 15 and ranking[0].feature == "num__monthly_charges"
 
 
@@ -110,7 +110,7 @@ def test_trees(spark, parts):
     boosted = models.fit_classifier(parts[0], "boosted_trees", trees=5)
     for model in (forest, boosted):
         assert evaluation.binary_metrics(models.with_probability(model, parts[1])).first().roc_auc > 0.6
-        drivers = explain.tree_drivers(model, parts[1]).collect()
+        drivers = explain.tree_drivers(model, parts[1], explain.TOP_DRIVERS).collect()
         assert len(drivers) == 15 and drivers[0].importance >= drivers[-1].importance
     with pytest.raises(TypeError):
         explain.linear_parts(forest)
@@ -162,3 +162,35 @@ def test_prediction_table_types(spark):
     assert row.scored_at == dt.datetime(2024, 5, 6, 7, 8, 9)
     assert [tuple(r) for r in scoring.tier_counts(scored).collect()] == [("Low", None), ("Medium", None), ("High", 1)]
     assert scoring.risk_total(scored.where("risk_tier = 'Low'")).first()[0] == 0.0
+
+
+def test_profiles_are_scored_by_a_tree_model(spark, parts):
+    forest = models.fit_classifier(parts[0], "random_forest", trees=3)
+    profiles = parts[1].withColumnRenamed("customer_id", "profile_id")
+    scored, reasons = scoring.score_profiles(forest, profiles, parts[1])
+    assert scored.where("churn_probability is null or risk_tier is null").count() == 0
+    assert scored.where("base_logit is not null").count() == 0 and reasons.collect() == []
+
+
+@pytest.mark.parametrize("name", ["random_forest", "boosted_trees"])
+def test_fits_do_not_depend_on_the_layout(spark, parts, name):
+    one, seven = (
+        models.with_probability(models.fit_classifier(parts[0].repartition(n), name, trees=4), parts[1])
+        .select("customer_id", "churn_probability")
+        for n in (1, 7)
+    )
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, seven.collect()))
+
+
+def test_rows_without_a_label_stop_a_fit(spark, parts):
+    unlabelled = parts[0].withColumn("churned", F.when(F.col("customer_id") > 5, F.col("churned")))
+    with pytest.raises(ValueError, match="no label"):
+        models.fit_classifier(unlabelled, "logistic_regression")
+
+
+def test_saved_numbering_of_segments_holds_for_other_batches(spark):
+    first = spark.createDataFrame([(0, 10.0), (1, 40.0), (2, 30.0), (3, 20.0)], "raw_cluster int, predicted_clv double")
+    order = segments.segment_order(first)
+    batch = spark.createDataFrame([(0, 99.0), (3, 1.0)], "raw_cluster int, predicted_clv double")
+    found = {r.predicted_clv: r.segment_cluster for r in segments.relabel_segments(batch, order=order).collect()}
+    assert found == {99.0: 3, 1.0: 2}

@@ -1,9 +1,10 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tidemark import schemas
 from tidemark.session import clear_stage, new_path, shared_folder, side_by_side, spread, stage_table
@@ -39,7 +40,7 @@ def test_csv_accepts_whole_numbers_with_a_zero_fraction(spark, tmp_path):
     assert rows.schema == schemas.SUPPORT_TICKETS
     assert [(r.closed_date, r.satisfaction_score) for r in rows.collect()] == [(dt.date(2024, 1, 3), 4), (None, None)]
     (tmp_path / "bad.csv").write_text(header + "1,CU-00001,2024-01-01,,billing,low,4.5\n")
-    with pytest.raises(Exception, match="satisfaction_score is no whole number: 4.50"):
+    with pytest.raises(Exception, match="satisfaction_score is no whole number: 4.5"):
         files.read_csv(spark, str(tmp_path / "bad.csv"), schemas.SUPPORT_TICKETS).collect()
 
 
@@ -131,13 +132,32 @@ def test_staging_uses_the_named_folder(spark):
     assert "Range" not in plan_of(df)
 
 
-def test_spread_only_adds_partitions(spark):
-    wide = spark.range(100).repartition(20)
-    assert spread(wide, 100, 1).rdd.getNumPartitions() == 20
-    one = spark.range(100).coalesce(1)
-    assert spread(one, 100, 1_000).rdd.getNumPartitions() == 1
-    assert spread(one, 100, 30).rdd.getNumPartitions() == 4
-    assert spread(one, 100, 1).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+def test_spread_depends_on_the_rows_only(spark):
+    rows = spark.range(100).selectExpr("id % 40 as a", "cast(id as double) as b")
+    for per_task, parts in ((1_000, 1), (30, 4), (9, 12)):
+        layouts = [
+            spread(rows.repartition(n), 100, per_task).select(F.spark_partition_id().alias("p"), "a", "b").collect()
+            for n in (1, 20)
+        ]
+        assert layouts[0] == layouts[1] and {r.p for r in layouts[0]} <= set(range(parts))
+        assert spread(rows, 100, per_task).rdd.getNumPartitions() == parts
+
+
+def test_csv_keeps_or_stops(spark, tmp_path):
+    schema = T.StructType([
+        T.StructField("id", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("amount", T.DecimalType(12, 2)),
+        T.StructField("text", T.StringType()),
+    ])
+    rows = [(1, 4, Decimal("65.90"), ""), (2, None, None, None), (3, -1, Decimal("0.05"), 'a "q", b'), (4, 0, Decimal("1.00"), "x\ny")]
+    files.write_csv(spark.createDataFrame(rows, schema), str(tmp_path / "t.csv"))
+    back = files.read_csv(spark, str(tmp_path / "t.csv"), schema, line_breaks=True)
+    assert back.schema == schema and sorted(map(tuple, back.collect())) == rows
+    for bad in ("9,4.001,1.00,a", "9,4,65.999,a", "9,4,1.00x,a", "9,99999999999,1.00,a", "x,4,1.00,a"):
+        (tmp_path / "bad.csv").write_text(f"id,n,amount,text\n{bad}\n")
+        with pytest.raises(Exception, match="is no "):
+            files.read_csv(spark, str(tmp_path / "bad.csv"), schema).collect()
+    (tmp_path / "ok.csv").write_text("id,n,amount,text\n9,4.0,7,a\n")
+    assert files.read_csv(spark, str(tmp_path / "ok.csv"), schema).first() == (9, 4, Decimal("7.00"), "a")
 
 
 def test_side_by_side_keeps_the_order(spark):

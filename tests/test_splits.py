@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import splits
+from tidemark.session import stage_table
 
 
 def expected_test_keys(keys, share, seed=42):
@@ -48,13 +49,29 @@ def test_split_is_stable_under_partitioning(spark):
 
 def test_rows_of_one_key_stay_together(spark):
     hot = spark.range(1000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("id"))
-    rows = splits.exact_split(hot, "id").groupBy("id").agg(
+    rows = splits.exact_split(hot, "id", whole_keys=True).groupBy("id").agg(
         F.min(F.col("is_test").cast("int")).alias("lo"), F.max(F.col("is_test").cast("int")).alias("hi"),
         F.count("*").alias("n"),
     ).collect()
     assert all(r.lo == r.hi for r in rows)
     assert sum(r.n for r in rows) == 1000
-    assert 200 - 334 < sum(r.n for r in rows if r.hi) <= 200
+    ranked = sorted(rows, key=lambda r: hashlib.md5(f"42:{r.id}".encode()).hexdigest())
+    taken = 0
+    for r in ranked:
+        if taken + r.n > 200:
+            break
+        taken += r.n
+    assert sum(r.n for r in rows if r.hi) == taken
+
+
+@pytest.mark.parametrize("labelled", [True, False])
+def test_hot_keys_are_divided_exactly(spark, labelled):
+    """600 rows, a third of them on one key, for different hot keys: always 120 test rows."""
+    for hot in range(6):
+        key = F.when(F.col("id") % 3 == 0, 10_000 + hot).otherwise(F.col("id"))
+        df = stage_table(spark.range(600).select(key.alias("id"), (F.col("id") % 4 == 0).cast("int").alias("y")), "hot")
+        split = splits.exact_split(df, "id", "y" if labelled else None)
+        assert split.groupBy().agg(F.count("*"), F.count_if("is_test")).first() == (600, 120)
 
 
 def test_empty_split(spark):

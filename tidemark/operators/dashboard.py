@@ -16,10 +16,10 @@ def kpi_row(snapshot: DataFrame) -> DataFrame:
     high = F.when(F.col("risk_tier") == "High", F.col("monthly_charges")).otherwise(0)
     return snapshot.agg(
         F.count("*").alias("customers"),
-        F.sum("monthly_charges").alias("mrr"),
+        F.coalesce(F.sum("monthly_charges"), F.lit(0)).alias("mrr"),
         F.avg(F.when(F.col("risk_tier") == "Low", 0).otherwise(1)).alias("share_not_low"),
         F.avg("churn_probability").alias("avg_churn_probability"),
-        F.sum(high).alias("revenue_at_risk"),
+        F.coalesce(F.sum(high), F.lit(0)).alias("revenue_at_risk"),
         F.avg("predicted_clv").alias("avg_predicted_clv"),
     )
 

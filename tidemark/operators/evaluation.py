@@ -12,10 +12,19 @@ PUBLISHED_DECIMALS = 5
 
 
 def _grouped(scored: DataFrame, label: str, score: str, decimals: int | None) -> tuple[DataFrame, bool]:
-    value = F.col(score).cast("double")
-    small = decimals is not None and decimals <= PUBLISHED_DECIMALS
-    if decimals is not None:
-        value = rules.half_even(value, decimals)
+    """Rows per score and class, and whether the number of scores has a proven bound.
+
+    A missing score or a label other than 0 and 1 stops the computation, and so does a score outside [0, 1] where the
+    bound on the number of scores rests on that range.
+    """
+    value, small = F.col(score).cast("double"), decimals is not None and decimals <= PUBLISHED_DECIMALS
+    wrong = value.isNull() | F.isnan(value) | ~F.coalesce(F.col(label).isin(0, 1), F.lit(False))
+    if small:
+        wrong = wrong | (value < 0) | (value > 1)
+    what = F.concat_ws(" ", F.lit("cannot rank score"), F.coalesce(value.cast("string"), F.lit("NULL")), F.lit("with label"),
+                       F.coalesce(F.col(label).cast("string"), F.lit("NULL")))
+    checked = F.when(wrong, F.raise_error(what).cast("double")).otherwise(value)
+    value = checked if decimals is None else rules.half_even(checked, decimals)
     positive = F.sum(F.col(label).cast("bigint"))
     counts = scored.groupBy(value.alias("score")).agg(
         positive.alias("positives"), (F.count(label) - positive).alias("negatives")
@@ -90,8 +99,9 @@ def roc_points(
 
 
 def regression_metrics(predicted: DataFrame, target: str, prediction: str) -> DataFrame:
-    """Mean absolute error and R squared, in one pass."""
+    """Mean absolute error and R squared over the rows that have target and prediction, in one pass."""
     y, yhat = F.col(target).cast("double"), F.col(prediction).cast("double")
+    y = F.when(yhat.isNotNull(), y)
     sums = predicted.agg(
         F.avg(F.abs(y - yhat)).alias("mae"),
         F.sum((y - yhat) * (y - yhat)).alias("sse"),

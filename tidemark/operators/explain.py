@@ -10,9 +10,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.models import feature_names
 
+#: What the usual chart of drivers shows.
 TOP_DRIVERS = 15
 
 
+def is_linear(model: PipelineModel) -> bool:
+    """Whether scores of the pipeline can be split into contributions."""
+    return isinstance(model.stages[-1], LogisticRegressionModel)
+
+
 def contributions(
     rows: DataFrame, key: str, values: Column, names: list[str], weights: list[float], centre: list[float]
 ) -> DataFrame:
@@ -21,15 +27,12 @@ def contributions(
     `values` is an array column in the order of `names`. The result has one row per input row and
     feature, so pass the rows to be explained and not a whole table.
     """
-    terms = [
-        F.struct(
-            F.lit(name).alias("feature"),
-            values.getItem(i).alias("value"),
-            (F.lit(float(weight)) * (values.getItem(i) - F.lit(float(middle)))).alias("contribution"),
-        )
-        for i, (name, weight, middle) in enumerate(zip(names, weights, centre))
-    ]
-    return rows.select(key, F.inline(F.array(*terms)))
+    fixed = [F.array(*[F.lit(x) for x in column]) for column in (names, map(float, weights), map(float, centre))]
+    zipped = F.arrays_zip(fixed[0].alias("feature"), values.alias("value"), fixed[1].alias("weight"), fixed[2].alias("centre"))
+    long_form = rows.select(key, F.inline(zipped)).toDF(key, "feature", "value", "weight", "centre")
+    return long_form.select(
+        key, "feature", "value", (F.col("weight") * (F.col("value") - F.col("centre"))).alias("contribution")
+    )
 
 
 def linear_parts(model: PipelineModel) -> tuple[list[str], list[float], float]:
@@ -55,19 +58,20 @@ def linear_contributions(
     return contributions(explained, key, F.col("_x"), names, weights, centre), base
 
 
-def driver_ranking(long_form: DataFrame, top: int = TOP_DRIVERS) -> DataFrame:
-    """Mean absolute contribution per feature, largest first."""
-    return (
+def driver_ranking(long_form: DataFrame, top: int | None = None) -> DataFrame:
+    """Mean absolute contribution per feature, largest first; all features without `top`."""
+    ranked = (
         long_form.groupBy("feature")
         .agg(F.avg(F.abs("contribution")).alias("mean_abs_contribution"))
         .orderBy(F.col("mean_abs_contribution").desc(), "feature")
-        .limit(top)
     )
+    return ranked if top is None else ranked.limit(top)
 
 
-def tree_drivers(model: PipelineModel, rows: DataFrame, top: int = TOP_DRIVERS) -> DataFrame:
-    """Importance per feature of a tree model, largest first."""
+def tree_drivers(model: PipelineModel, rows: DataFrame, top: int | None = None) -> DataFrame:
+    """Importance per feature of a tree model, largest first; all features without `top`."""
     weights = model.stages[-1].featureImportances.toArray()
     pairs = [(name, float(w)) for name, w in zip(feature_names(model), weights)]
     table = rows.sparkSession.createDataFrame(pairs, "feature string, importance double")
-    return table.orderBy(F.col("importance").desc(), "feature").limit(top)
+    ranked = table.orderBy(F.col("importance").desc(), "feature")
+    return ranked if top is None else ranked.limit(top)

@@ -21,7 +21,6 @@ GLM_NUMBERS = ("monthly_charges", "tenure_months", "senior_citizen", "ticket_cou
 CHI_SQUARE_VARIABLES = ("contract_type", "internet_service", "payment_method", "tech_support")
 WELCH_VARIABLES = ("monthly_charges", "tenure_months", "ticket_count")
 WALD_95 = 1.959963984540054
-MAX_LEVELS = 1000
 
 
 def chi_square(df: DataFrame, variables: tuple[str, ...] = CHI_SQUARE_VARIABLES, label: str = "churned") -> DataFrame:
@@ -123,11 +122,12 @@ class GlmFit:
     fit: DataFrame
 
 
-def _levels(df: DataFrame, factor: str) -> list[str]:
-    found = [r[0] for r in df.select(factor).distinct().limit(MAX_LEVELS + 1).collect()]
-    if len(found) > MAX_LEVELS:
-        raise ValueError(f"{factor} has more than {MAX_LEVELS} levels and is no factor")
-    return sorted(found)
+def _levels(df: DataFrame, factors: tuple[str, ...]) -> dict[str, list[str]]:
+    """Sorted levels of every factor, in one pass; the design matrix has a column for each, which is what bounds them."""
+    if not factors:
+        return {}
+    found = df.agg(*[F.sort_array(F.collect_set(f)).alias(f) for f in factors]).first()
+    return {f: list(found[f]) for f in factors}
 
 
 def _aliased(correlation: np.ndarray, tolerance: float = 1e-9) -> list[int]:
@@ -159,8 +159,9 @@ def glm_logit(
     used = df.select(*factors, *[F.col(c).cast("double").alias(c) for c in numbers], F.col(label).cast("double"))
     staged = stage_table(used.dropna(), "glm")
     names, columns = [], []
+    levels = _levels(staged, factors)
     for factor in factors:
-        for level in _levels(staged, factor)[1:]:
+        for level in levels[factor][1:]:
             names.append(f"{factor}{level}")
             columns.append(F.when(F.col(factor) == level, 1.0).otherwise(0.0))
     for number in numbers:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from tidemark.operators.evaluation import binary_metrics
 from tidemark.operators.features import CATEGORICAL, NUMERIC
 from tidemark.schemas import MODEL_COMPARISON
-from tidemark.session import shared_folder, side_by_side, spread
+from tidemark.session import shared_folder, side_by_side, spread, stage_table
 
 SEED = 42
 LABEL, WEIGHT = "churned", "class_weight"
@@ -127,11 +127,13 @@ def fit_classifier(
     # Boosting cuts its growing lineage in the checkpoint folder, so that has to be known.
     shared_folder(train.sparkSession)
     scheme = "positive_weight" if name == "boosted_trees" else "balanced_weight"
-    n_train = train.count()
+    n_train, n_labelled = train.agg(F.count("*"), F.count_if(F.col(LABEL).isin(0, 1))).first()
+    if n_train != n_labelled:
+        raise ValueError(f"{n_train - n_labelled} training rows have no label 0 or 1")
     # A forest grows all of its trees at once, so a row costs it far more.
     rows_per_task = 500 if name == "random_forest" else 20_000
-    rows = spread(train.select(*categorical, *numeric, LABEL), n_train, rows_per_task)
-    rows = with_class_weight(rows, scheme)
+    rows = with_class_weight(train.select(*categorical, *numeric, LABEL), scheme)
+    rows = spread(rows, n_train, rows_per_task)  # last, as a join above would drop the order
     return Pipeline(stages=[*encoder(categorical, numeric), classifier(name, n_train, trees, seed)]).fit(rows)
 
 
@@ -147,7 +149,8 @@ def compare_classifiers(
     """Fit every classifier: metrics on the test rows (best first), the models, the scored test rows."""
     fits = [partial(fit_classifier, train, name, trees=trees, seed=seed) for name in names]
     models = dict(zip(names, side_by_side(train.sparkSession, fits)))
-    scored = {name: with_probability(model, test) for name, model in models.items()}
+    # read twice, for the metrics and for the curve
+    scored = {name: stage_table(with_probability(model, test), "scored-test") for name, model in models.items()}
     rows = [Row(model=name, **binary_metrics(frame, LABEL).first().asDict()) for name, frame in scored.items()]
     table = train.sparkSession.createDataFrame(rows, MODEL_COMPARISON)
     return table.orderBy(F.col("roc_auc").desc_nulls_last(), "model"), models, scored

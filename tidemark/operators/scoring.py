@@ -8,10 +8,11 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions import rules
-from tidemark.operators.explain import linear_contributions
+from tidemark.operators.explain import is_linear, linear_contributions
 from tidemark.operators.models import with_probability
 
 MODEL_VERSION = "v1.0"
+# Columns of the published snapshot.
 SNAPSHOT_COLUMNS = [
     "customer_id", "contract_type", "internet_service", "payment_method", "monthly_charges", "tenure_months",
     "ticket_count", "churn_probability", "risk_tier", "predicted_clv", "segment_cluster",
@@ -68,10 +69,18 @@ def score_profiles(
     """What-if scoring of any frame of profiles: (probability and tier, contributions in long form).
 
     Here the tier comes from the unrounded probability. `base_logit` plus the contributions of a
-    profile is the logit of its probability.
+    profile is the logit of its probability. A tree model scores as well, but has no contributions: the second frame
+    is empty then and `base_logit` NULL.
     """
-    contributions, base = linear_contributions(model, profiles, background, key)
+    if is_linear(model):
+        contributions, base = linear_contributions(model, profiles, background, key)
+    else:
+        kind = profiles.schema[key].dataType.simpleString()
+        contributions = profiles.sparkSession.createDataFrame(
+            [], f"`{key}` {kind}, feature string, value double, contribution double"
+        )
+        base = None
     scored = with_probability(model, profiles).withColumns(
-        {"risk_tier": rules.risk_tier("churn_probability"), "base_logit": F.lit(base)}
+        {"risk_tier": rules.risk_tier("churn_probability"), "base_logit": F.lit(base).cast("double")}
     )
     return scored, contributions

@@ -25,7 +25,7 @@ def fit_segments(rows: DataFrame, k: int = CLUSTERS, restarts: int = 10, seed: i
     ])
     numbers = stage_table(rows.select(*SEGMENT_COLUMNS), "segments")
     scaler = prepare.fit(numbers)
-    points = spread(scaler.transform(numbers).select("_scaled"), numbers.count()).persist()
+    points = scaler.transform(spread(numbers, numbers.count())).select("_scaled").persist()
     try:
         points.count()  # filled once, before the runs share it
         kmeans = KMeans(k=k, featuresCol="_scaled", predictionCol="raw_cluster", maxIter=300, tol=1e-4)
@@ -41,15 +41,11 @@ def assign_cluster(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return model.transform(rows).select(*rows.columns, "raw_cluster")
 
 
-def relabel_segments(
+def segment_order(
     rows: DataFrame, raw: str = "raw_cluster", value: str = "predicted_clv", k: int = CLUSTERS
 ) -> DataFrame:
-    """Replace raw cluster numbers by 0, 1, ... from the largest mean value down, and name them.
-
-    The joined side has one row per cluster and so at most `k`. A row without one of the k clusters
-    stays without a number.
-    """
-    order = (
+    """(raw cluster, segment number): 0, 1, ... from the largest mean value down. Save it with the clusters."""
+    return (
         rows.where(F.col(raw).between(0, k - 1))
         .groupBy(raw)
         .agg(F.avg(value).alias("_mean"))
@@ -57,6 +53,21 @@ def relabel_segments(
             raw, (F.row_number().over(Window.orderBy(F.col("_mean").desc(), raw)) - 1).alias("segment_cluster")
         )
     )
+
+
+def relabel_segments(
+    rows: DataFrame,
+    raw: str = "raw_cluster",
+    value: str = "predicted_clv",
+    k: int = CLUSTERS,
+    order: DataFrame | None = None,
+) -> DataFrame:
+    """Replace raw cluster numbers by segment numbers and name them, in the order given or that of these rows.
+
+    The joined side has one row per cluster and so at most `k`. A row without one of the k clusters
+    stays without a number.
+    """
+    order = segment_order(rows, raw, value, k) if order is None else order
     return (
         rows.join(F.broadcast(order), raw, "left")
         .select(*[c for c in rows.columns if c != raw], "segment_cluster")

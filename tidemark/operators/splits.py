@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from tidemark.functions.hashing import key_hash
 
@@ -32,23 +34,11 @@ def _test_quota(per_label: DataFrame, test_size: float) -> DataFrame:
     )
 
 
-def exact_split(
-    df: DataFrame, key: str, label: str | None = None, test_size: float = 0.2, seed: int = 42
-) -> DataFrame:
-    """Add `is_test`; per 0/1 label the first rows in hash order form the test part, to the exact count.
-
-    No row is moved for it. Row counts per label and hash prefix tell in which prefix the quota
-    ends; only that prefix is looked at hash by hash, which gives one cut-off per label, and the
-    rows are then compared with at most two broadcast cut-offs. Rows that share a key share a
-    side: with a repeated key the test part may come out smaller by less than that key's rows.
-    """
-    # Without a label all rows get 0, as a computed value: a literal would undo the equi-joins.
-    labels = F.col(label).cast("int") if label else F.length("_hash") - 32
-    hashed = df.withColumn("_hash", key_hash(key, seed)).withColumn("_label", labels)
+def _cut_offs(hashed: DataFrame, test_size: float) -> list[Row]:
+    """Per label: `last_hash`, the last one that is taken whole, and the next hash with the rows still wanted of it."""
     light = hashed.select("_label", "_hash", F.substring("_hash", 1, PREFIX_DIGITS).alias("_prefix")).where(
         F.col("_label").isin(0, 1) & F.col("_hash").isNotNull()
     )
-
     per_prefix = light.groupBy("_label", "_prefix").agg(F.count("*").alias("n"))
     quota = _test_quota(per_prefix.groupBy("_label").agg(F.sum("n").alias("n")), test_size)
     # At most 16 ** PREFIX_DIGITS rows per label.
@@ -60,19 +50,66 @@ def exact_split(
         .select("_label", "_prefix", (F.col("quota") - F.col("reached") + F.col("n")).alias("wanted"))
     )
     in_order = Window.partitionBy("_label").orderBy("_hash").rowsBetween(Window.unboundedPreceding, 0)
-    cut_offs = (
+    before = F.col("reached") - F.col("n")
+    whole = F.col("reached") <= F.col("wanted")
+    return (
         light.join(F.broadcast(last_prefix), ["_label", "_prefix"])
         .groupBy("_label", "_prefix", "wanted", "_hash")
         .agg(F.count("*").alias("n"))
         .withColumn("reached", F.sum("n").over(in_order))
         .groupBy("_label", "_prefix")
-        .agg(F.max(F.when(F.col("reached") <= F.col("wanted"), F.col("_hash"))).alias("last_hash"))
+        .agg(
+            F.max(F.when(whole, F.col("_hash"))).alias("last_hash"),
+            F.min(F.when(~whole & (before < F.col("wanted")), F.struct("_hash", (F.col("wanted") - before).alias("take")))).alias("part"),
+        )
         # Without a whole hash to take, the bare prefix sorts before all of its hashes.
-        .select("_label", F.coalesce("last_hash", "_prefix").alias("_cut"))
+        .select("_label", F.coalesce("last_hash", "_prefix").alias("last_hash"), "part._hash", "part.take")
+        .collect()
     )
-    return hashed.join(F.broadcast(cut_offs), "_label", "left").select(
-        *df.columns, F.coalesce(F.col("_hash") <= F.col("_cut"), F.lit(False)).alias("is_test")
+
+
+def _first_rows(rows: DataFrame, cut: Row) -> DataFrame:
+    """Rows of one hash with `is_test` for the first `take` of them, counted per partition and shifted."""
+    numbered = rows.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
+    before = (
+        numbered.groupBy("_part")
+        .agg(F.count("*").alias("n"))
+        .select("_part", (F.sum("n").over(Window.orderBy("_part")) - F.col("n")).alias("_before"))
     )
+    place = F.row_number().over(Window.partitionBy("_part").orderBy("_at")) + F.col("_before")
+    return numbered.join(before, "_part").withColumn("is_test", place <= cut["take"])
+
+
+def exact_split(
+    df: DataFrame,
+    key: str,
+    label: str | None = None,
+    test_size: float = 0.2,
+    seed: int = 42,
+    whole_keys: bool = False,
+) -> DataFrame:
+    """Add `is_test`; per 0/1 label the first rows in hash order form the test part, to the exact count.
+
+    Row counts per label and hash prefix tell in which prefix the quota ends; only that prefix is looked at hash by
+    hash, which gives one cut-off per label, two rows in all, and the rows are then compared with them. A key that the
+    cut falls into is divided: the missing number of its rows, in the order of the stored rows, goes to the test part,
+    so give staged rows when keys repeat. With `whole_keys` all rows of a key share a side instead, and the test part
+    may come out smaller by less than that key's rows.
+    """
+    labels = F.col(label).cast("int") if label else F.lit(0)
+    hashed = df.withColumn("_hash", key_hash(key, seed)).withColumn("_label", labels)
+    below, divided = F.lit(False), []
+    for cut in _cut_offs(hashed, test_size):
+        of_label = F.col("_label") == cut["_label"]
+        below = below | (of_label & (F.col("_hash") <= cut["last_hash"]))
+        if cut["take"] is not None and not whole_keys:
+            divided.append((of_label & (F.col("_hash") == cut["_hash"]), cut))
+    is_divided = reduce(Column.__or__, [F.coalesce(rows, F.lit(False)) for rows, _ in divided], F.lit(False))
+    out = hashed.where(~is_divided) if divided else hashed
+    out = out.withColumn("is_test", F.coalesce(below, F.lit(False))).select(*df.columns, "is_test")
+    for rows, cut in divided:
+        out = out.unionByName(_first_rows(hashed.where(rows), cut).select(*df.columns, "is_test"))
+    return out
 
 
 def sample_rows(df: DataFrame, key: str, n: int = 500, seed: int = 42) -> DataFrame:

@@ -265,6 +265,15 @@ def _(t: StarTables) -> DataFrame:
     return splits.exact_split(labels, "customer_id", "churned")
 
 
+@query("stratified_split_hot_key")
+def _(t: StarTables) -> DataFrame:
+    """Sizes of the split where one key holds a third of the rows and the cut may fall into it."""
+    key = F.when(F.col("customer_id") % 3 == 0, -1).otherwise(F.col("customer_id")).alias("customer_id")
+    labels = stage_table(planted_rows(t).select(key, "churned"), "labels")
+    split = splits.exact_split(labels, "customer_id", "churned")
+    return split.groupBy("churned", F.col("is_test").cast("int").alias("is_test")).agg(F.count("*").alias("n_rows"))
+
+
 @query("random_split")
 def _(t: StarTables) -> DataFrame:
     ended = stage_table(feature_rows(t).where(F.col("churned") == 1).select("customer_id"), "ended")
@@ -342,12 +351,11 @@ def _(t: StarTables) -> DataFrame:
 
 
 def _scorecard_contributions(t: StarTables) -> DataFrame:
-    """Contributions of the fixed scorecard on the hash sample, against the mean of the sample."""
+    """Contributions of the fixed scorecard on all rows, against their mean."""
     terms = rules.scorecard_terms()
-    sample = splits.sample_rows(feature_rows(t), "customer_id", 500).select(
-        "customer_id", *[c.alias(f"x_{n}") for n, c in terms.items()]
+    sample = stage_table(
+        feature_rows(t).select("customer_id", *[c.alias(f"x_{n}") for n, c in terms.items()]), "scorecard"
     )
-    sample = stage_table(sample, "sample")
     centre = sample.agg(*[F.avg(f"x_{n}") for n in terms]).first()
     weights = {**rules.SCORECARD, **SCORECARD_WEIGHTS}
     values = F.array(*[F.col(f"x_{n}") for n in terms])
@@ -363,7 +371,7 @@ def _(t: StarTables) -> DataFrame:
 
 @query("scorecard_drivers")
 def _(t: StarTables) -> DataFrame:
-    return explain.driver_ranking(_scorecard_contributions(t))
+    return explain.driver_ranking(_scorecard_contributions(t), explain.TOP_DRIVERS)
 
 
 # --- value, segments, scores
@@ -558,22 +566,20 @@ def _(t: StarTables) -> DataFrame:
 def _(t: StarTables) -> DataFrame:
     model, rows, test = _logistic_model(t)
     profiles = rows.select(F.col("customer_id").alias("profile_id"), *features.CATEGORICAL, *features.NUMERIC)
-    scored, _contributions = scoring.score_profiles(model, profiles, splits.sample_rows(test, "customer_id"))
+    scored, _contributions = scoring.score_profiles(model, profiles, test)
     return scored.select("profile_id", "churn_probability", "risk_tier")
 
 
 @query("linear_contributions")
 def _(t: StarTables) -> DataFrame:
     model, _rows, test = _logistic_model(t)
-    sample = splits.sample_rows(test, "customer_id")
-    return explain.linear_contributions(model, sample, sample)[0]
+    return explain.linear_contributions(model, test, test)[0]
 
 
 @query("driver_ranking")
 def _(t: StarTables) -> DataFrame:
     model, _rows, test = _logistic_model(t)
-    sample = splits.sample_rows(test, "customer_id")
-    return explain.driver_ranking(explain.linear_contributions(model, sample, sample)[0])
+    return explain.driver_ranking(explain.linear_contributions(model, test, test)[0])
 
 
 @query("lifetime_regressor")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from tidemark.operators import checks, explain, inference, lifetime, models, scoring, segments, splits
 from tidemark.operators.evaluation import best_model, roc_points
 from tidemark.operators.features import CATEGORICAL, NUMERIC, feature_table, overall_churn_rate
-from tidemark.schemas import PREDICTIONS, RAW_TABLES
+from tidemark.schemas import PREDICTIONS, RAW_TABLES, SEGMENT_ORDER
 from tidemark.session import stage_table
 from tidemark.sources import files, tables
 
@@ -24,16 +24,13 @@ def load_job(spark: SparkSession, raw_folder: str, table_folder: str) -> DataFra
     are published before children, each in one step for its readers. Predictions about the former
     customers are replaced by an empty table.
     """
-    paths = {
-        name: tables.write_version(
-            files.read_csv(spark, f"{raw_folder}/{name}.csv", schema), f"{table_folder}/{name}"
-        )
-        for name, schema in RAW_TABLES.items()
-    }
-    written = {name: spark.read.schema(RAW_TABLES[name]).parquet(path) for name, path in paths.items()}
+    paths = {name: tables.next_version(spark, f"{table_folder}/{name}") for name in RAW_TABLES}
     try:
+        for name, schema in RAW_TABLES.items():
+            files.read_csv(spark, f"{raw_folder}/{name}.csv", schema).write.mode("errorifexists").parquet(paths[name])
+        written = {name: spark.read.schema(RAW_TABLES[name]).parquet(path) for name, path in paths.items()}
         checks.enforce(checks.load_report(written))
-    except checks.CheckFailed:
+    except BaseException:
         for path in paths.values():
             tables.drop_version(spark, path)
         raise
@@ -71,11 +68,14 @@ class ModelRun:
 
 @dataclass
 class SavedModel:
-    """The published churn model, its metadata, and the rows its explanations compare with."""
+    """The published models, their metadata, the order of the segments, and the rows that explanations compare with."""
 
     model: PipelineModel
     metadata: dict
     background: DataFrame
+    lifetime: PipelineModel
+    segments: PipelineModel
+    segment_order: DataFrame
 
 
 def split_features(features: DataFrame, seed: int = models.SEED) -> tuple[DataFrame, DataFrame]:
@@ -107,12 +107,11 @@ def model_job(
     files.write_metadata(
         spark, f"{model_folder}/metadata", best_name, CATEGORICAL, NUMERIC, scoring.MODEL_VERSION
     )
-    background = splits.sample_rows(test, "customer_id", seed=seed)
-    background.write.mode("overwrite").parquet(f"{model_folder}/background")
-    if best_name == "logistic_regression":
-        drivers = explain.driver_ranking(explain.linear_contributions(best, background, background)[0])
+    test.write.mode("overwrite").parquet(f"{model_folder}/background")
+    if explain.is_linear(best):
+        drivers = explain.driver_ranking(explain.linear_contributions(best, test, test)[0])
     else:
-        drivers = explain.tree_drivers(best, background)
+        drivers = explain.tree_drivers(best, test)
     curves = [roc_points(frame).select(F.lit(name).alias("model"), "*") for name, frame in scored_tests.items()]
     reports = {
         "model_comparison": comparison,
@@ -128,8 +127,10 @@ def model_job(
     valued = stage_table(lifetime.predicted_clv(lifetime.predict_lifetime(lifetime_model, features)), "valued")
     clusters = segments.fit_segments(valued, restarts=restarts, seed=seed)
     models.save_model(clusters, f"{model_folder}/segments")
-    segmented = segments.relabel_segments(segments.assign_cluster(clusters, valued))
-    scored = stage_table(scoring.score_customers(best, segmented), "scored")
+    assigned = stage_table(segments.assign_cluster(clusters, valued), "clusters")
+    segments.segment_order(assigned).write.mode("overwrite").parquet(f"{model_folder}/segment_order")
+    order = spark.read.schema(SEGMENT_ORDER).parquet(f"{model_folder}/segment_order")
+    scored = stage_table(scoring.score_customers(best, segments.relabel_segments(assigned, order=order)), "scored")
     return ModelRun(comparison, best_name, best, lifetime_error, scored)
 
 
@@ -138,23 +139,36 @@ def open_model(spark: SparkSession, model_folder: str) -> SavedModel:
         models.load_model(f"{model_folder}/churn"),
         files.read_metadata(spark, f"{model_folder}/metadata"),
         spark.read.parquet(f"{model_folder}/background"),
+        models.load_model(f"{model_folder}/lifetime"),
+        models.load_model(f"{model_folder}/segments"),
+        spark.read.schema(SEGMENT_ORDER).parquet(f"{model_folder}/segment_order"),
     )
 
 
+def score_job(saved: SavedModel, features: DataFrame) -> DataFrame:
+    """Score a batch of features with saved models only: value, segment by the saved numbering, probability, tier."""
+    valued = lifetime.predicted_clv(lifetime.predict_lifetime(saved.lifetime, features))
+    assigned = segments.assign_cluster(saved.segments, valued)
+    segmented = segments.relabel_segments(assigned, order=saved.segment_order)
+    return stage_table(scoring.score_customers(saved.model, segmented), "scored")
+
+
 def profile_job(saved: SavedModel, profiles: DataFrame, key: str = "profile_id") -> tuple[DataFrame, DataFrame]:
     """Score profiles with the published model: (probability and tier, contributions in long form)."""
     columns = [key, *saved.metadata["categorical"], *saved.metadata["numeric"]]
     return scoring.score_profiles(saved.model, profiles.select(columns), saved.background, key)
 
 
-def publish_job(scored: DataFrame, table_folder: str, scored_at: dt.datetime) -> tuple[str, str]:
+def publish_job(
+    scored: DataFrame, table_folder: str, scored_at: dt.datetime, model_version: str = scoring.MODEL_VERSION
+) -> tuple[str, str]:
     """Replace the tables of scored features and predictions, and write the snapshot as CSV.
 
     The snapshot gets a new folder per run. Returns the paths of predictions and snapshot.
     """
     tables.replace_table(scored, f"{table_folder}/features_scored")
     predictions = tables.replace_table(
-        scoring.prediction_table(scored, scored_at), f"{table_folder}/ml_predictions"
+        scoring.prediction_table(scored, scored_at, model_version), f"{table_folder}/ml_predictions"
     )
     path = f"{table_folder}/snapshot_{scored_at:%Y%m%d%H%M%S}.csv"
     files.write_csv(scoring.snapshot(scored), path)

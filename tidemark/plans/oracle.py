@@ -348,6 +348,24 @@ SELECT p.customer_id, p.churned,
   CASE WHEN row_number() OVER (PARTITION BY p.churned ORDER BY md5('42:' || CAST(p.customer_id AS VARCHAR))) <= quota
        THEN 1 ELSE 0 END AS is_test
 FROM planted p JOIN quotas q ON q.churned = p.churned""")
+twin("stratified_split_hot_key", """
+, classes AS (
+  SELECT churned, n, total - CAST(ceil(0.2e0 * total) AS BIGINT) AS n_train,
+    n * (total - CAST(ceil(0.2e0 * total) AS BIGINT)) / CAST(total AS DOUBLE) AS share
+  FROM (SELECT churned, count(*) AS n, (SELECT count(*) FROM planted) AS total FROM planted GROUP BY churned)
+),
+quotas AS (
+  SELECT churned, n - CAST(floor(share) AS BIGINT)
+    - CASE WHEN row_number() OVER (ORDER BY share - floor(share) DESC, churned)
+             <= n_train - (SELECT sum(CAST(floor(share) AS BIGINT)) FROM classes) THEN 1 ELSE 0 END AS quota
+  FROM classes
+),
+sides AS (
+  SELECT c.churned, 1 AS is_test, CAST(q.quota AS BIGINT) AS n_rows FROM classes c JOIN quotas q ON q.churned = c.churned
+  UNION ALL
+  SELECT c.churned, 0, CAST(c.n - q.quota AS BIGINT) FROM classes c JOIN quotas q ON q.churned = c.churned
+)
+SELECT churned, is_test, n_rows FROM sides WHERE n_rows > 0""")
 twin("random_split", """
 SELECT customer_id,
   CASE WHEN row_number() OVER (ORDER BY md5('42:' || CAST(customer_id AS VARCHAR)))
@@ -438,7 +456,7 @@ _WEIGHTS = {
 }
 _CONTRIBUTIONS = "\nUNION ALL\n".join(
     f"SELECT customer_id, '{name}' AS feature, x{i} AS value, {weight} * (x{i} - avg(x{i}) OVER ()) AS contribution "
-    f"FROM ({_SAMPLE.format(rows='terms')})"
+    "FROM terms"
     for i, (name, weight) in enumerate(_WEIGHTS.items(), start=1)
 )
 twin("scorecard_contributions", f"""

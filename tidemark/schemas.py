@@ -90,3 +90,5 @@ RAW_TABLES = {
 def with_key_type(schema: T.StructType, key: T.DataType, column: str = "customer_id") -> T.StructType:
     """Same schema with another type for the customer key (for example BIGINT keys)."""
     return T.StructType([T.StructField(f.name, key if f.name == column else f.dataType) for f in schema])
+
+SEGMENT_ORDER = T.StructType([T.StructField("raw_cluster", T.IntegerType()), T.StructField("segment_cluster", T.IntegerType())])

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from multiprocessing.pool import ThreadPool
 from typing import TypeVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.util import inheritable_thread_target
 
 Result = TypeVar("Result")
@@ -75,13 +76,12 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, n_rows: int, rows_per_task: int = 20_000) -> DataFrame:
-    """At least one task per so many rows, up to one per core, for work that is heavy per row.
+    """Rows in partitions whose number, content and order follow from the rows alone.
 
-    Files are cut by size, and a compact table of millions of rows may be a single partition.
-    Tables that have more partitions already stay as they are.
+    Model fits draw samples per partition, so the same rows have to meet the same draws on any cluster.
     """
-    wanted = min(n_rows // rows_per_task + 1, df.sparkSession.sparkContext.defaultParallelism)
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+    columns = [F.col(f"`{name}`") for name in df.columns if not isinstance(df.schema[name].dataType, VectorUDT)]
+    return df.repartition(n_rows // rows_per_task + 1, *columns).sortWithinPartitions(*columns)
 
 
 def side_by_side(spark: SparkSession, fits: list[Callable[[], Result]], workers: int = 4) -> list[Result]:

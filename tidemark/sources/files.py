@@ -7,32 +7,51 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tidemark.schemas import MODEL_METADATA
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header CSV with a declared schema; dates as yyyy-MM-dd, empty fields as NULL.
+#: Stands for a quoted empty field while a file is read, so that it is told apart from a missing one.
+_EMPTY = "\x01"
+
+
+def _exact_number(name: str, kind: T.DataType) -> Column:
+    """A number read as text, as its type; a value that the type cannot hold exactly stops the read."""
+    text = F.col(name)
+    value = text.try_cast("decimal(38,18)")
+    fits = value.try_cast(kind.simpleString())
+    what = kind.simpleString() if isinstance(kind, T.DecimalType) else "whole number"
+    wrong = F.raise_error(F.concat(F.lit(f"{name} is no {what}: "), text)).cast(kind)
+    return F.when(text.isNull(), F.lit(None).cast(kind)).when(value == fits, fits).otherwise(wrong)
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, line_breaks: bool = False) -> DataFrame:
+    """Header CSV with a declared schema; dates as yyyy-MM-dd, missing fields as NULL, quoted empty text as empty text.
 
     A value that does not fit its type, or a header that differs from the schema, stops the read
-    instead of turning into NULL or landing in the wrong column. Whole numbers
+    instead of turning into NULL, losing digits or landing in the wrong column. Whole numbers
     may be written with a zero fraction ("4.0"), as data frame libraries do for columns with gaps.
+    Quoted fields may hold line breaks only with `line_breaks`, as such files can't be read in parts.
     """
-    whole = {f.name: f.dataType for f in schema if isinstance(f.dataType, T.IntegerType)}
-    in_file = T.StructType([
-        T.StructField(f.name, T.DecimalType(12, 2) if f.name in whole else f.dataType) for f in schema
-    ])
+    exact = (T.IntegerType, T.LongType, T.DecimalType)
+    in_file = T.StructType(
+        [T.StructField(f.name, T.StringType() if isinstance(f.dataType, exact) else f.dataType) for f in schema]
+    )
     rows = (
         spark.read.schema(in_file)
         .option("header", True)
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
         .option("escape", '"')
+        .option("emptyValue", _EMPTY)
+        .option("multiLine", line_breaks)
         .csv(path)
     )
 
-    def number(name: str) -> Column:
-        value = F.col(name)
-        wrong = F.raise_error(F.concat(F.lit(f"{name} is no whole number: "), value.cast("string")))
-        return F.when(value.isNull() | (value == F.floor(value)), value.cast("int")).otherwise(wrong.cast("int"))
+    def column(f: T.StructField) -> Column:
+        if isinstance(f.dataType, exact):
+            return _exact_number(f.name, f.dataType).alias(f.name)
+        if isinstance(f.dataType, T.StringType):
+            return F.when(F.col(f.name) == _EMPTY, "").otherwise(F.col(f.name)).alias(f.name)
+        return F.col(f.name)
 
-    return rows.select([number(f.name).alias(f.name) if f.name in whole else f.name for f in schema])
+    return rows.select([column(f) for f in schema])
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

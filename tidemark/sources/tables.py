@@ -40,10 +40,14 @@ def _versions(spark: SparkSession, root: str) -> dict[int, bool]:
     return found
 
 
+def next_version(spark: SparkSession, root: str) -> str:
+    """Path of the version after the last one under `root`; a second writer of it fails, as it exists by then."""
+    return f"{root}/version={max(_versions(spark, root), default=0) + 1:06d}"
+
+
 def write_version(df: DataFrame, root: str) -> str:
     """Write the rows as the next version under `root` and return its path; readers do not see it yet."""
-    version = max(_versions(df.sparkSession, root), default=0) + 1
-    path = f"{root}/version={version:06d}"
+    path = next_version(df.sparkSession, root)
     df.write.mode("errorifexists").parquet(path)
     return path
 
