@@ -83,4 +83,49 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+_CHAT = """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+  FROM conversations
+),
+sides AS (
+  SELECT t.conv_id, t.role, t.pos, t.text AS chosen,
+    CASE WHEN t.pos = l.last
+      THEN array_to_string(string_split(t.text, ' ')[1:CAST(floor(len(string_split(t.text, ' ')) / 2) AS INTEGER)], ' ')
+      ELSE t.text END AS rejected
+  FROM turns t JOIN (
+    SELECT conv_id, max(CASE WHEN role = 'assistant' THEN pos END) AS last FROM turns GROUP BY conv_id
+  ) l ON l.conv_id IS NOT DISTINCT FROM t.conv_id
+),
+shared AS (
+  SELECT conv_id, coalesce(min(pos) FILTER (chosen <> rejected), count(*)) AS n_shared FROM sides GROUP BY conv_id
+),
+rendered AS (
+  SELECT s.conv_id, s.role, s.pos, n.n_shared,
+    '<|im_start|>' || s.role || chr(10) || s.chosen || '<|im_end|>' || chr(10) AS chosen,
+    '<|im_start|>' || s.role || chr(10) || s.rejected || '<|im_end|>' || chr(10) AS rejected
+  FROM sides s JOIN shared n ON n.conv_id IS NOT DISTINCT FROM s.conv_id
+),
+placed AS (
+  SELECT *,
+    coalesce(sum(length(chosen)) FILTER (pos >= n_shared) OVER before, 0) AS chosen_at,
+    coalesce(sum(length(rejected)) FILTER (pos >= n_shared) OVER before, 0) AS rejected_at
+  FROM rendered
+  WINDOW before AS (PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+)
+SELECT conv_id, CAST(max(n_shared) AS INTEGER) AS n_shared,
+  coalesce(string_agg(chosen, '' ORDER BY pos) FILTER (pos < n_shared), '') AS prompt,
+  coalesce(string_agg(chosen, '' ORDER BY pos) FILTER (pos >= n_shared), '') AS chosen,
+  coalesce(string_agg(rejected, '' ORDER BY pos) FILTER (pos >= n_shared), '') AS rejected,
+  coalesce(string_agg(
+    CAST(CAST(chosen_at + 13 + length(role) AS BIGINT) AS VARCHAR) || ':'
+      || CAST(CAST(chosen_at + length(chosen) - 1 AS BIGINT) AS VARCHAR), ',' ORDER BY pos)
+    FILTER (pos >= n_shared AND role = 'assistant'), '') AS chosen_mask,
+  coalesce(string_agg(
+    CAST(CAST(rejected_at + 13 + length(role) AS BIGINT) AS VARCHAR) || ':'
+      || CAST(CAST(rejected_at + length(rejected) - 1 AS BIGINT) AS VARCHAR), ',' ORDER BY pos)
+    FILTER (pos >= n_shared AND role = 'assistant'), '') AS rejected_mask
+FROM placed GROUP BY conv_id"""
+
+ORACLE: dict[str, str] = {"op9_chat_format": _CHAT}
