@@ -53,12 +53,10 @@ def test_transactions_are_totalled_before_the_join(star):
 
 
 def test_split_moves_no_rows(spark):
-    """The flagged rows come from a scan through one broadcast join."""
+    """The flagged rows come straight from a scan."""
     flagged = splits.exact_split(spark.read.parquet(f"{SMALL}/customer.parquet"), "c_custkey")
-    names = re.findall(r"([A-Z]\w+)", tree(plan_of(flagged)))
-    assert [n for n in names if n != "Project"][:5] == [
-        "AdaptiveSparkPlan", "BroadcastHashJoin", "LeftOuter", "BuildRight", "Scan",
-    ]
+    shape = tree(plan_of(flagged))
+    assert "Scan" in shape and "Join" not in shape and "Exchange" not in shape
 
 
 @pytest.mark.parametrize("name", [n for n in ORACLE if n not in ("binary_metrics_unrounded",)])

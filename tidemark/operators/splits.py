@@ -69,14 +69,17 @@ def _cut_offs(hashed: DataFrame, test_size: float) -> list[Row]:
 
 
 def _first_rows(rows: DataFrame, cut: Row) -> DataFrame:
-    """Rows of one hash with `is_test` for the first `take` of them, counted per partition and shifted."""
-    numbered = rows.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
+    """Rows of one hash with `is_test` for the first `take` of them, counted per partition and shifted.
+
+    The generated ids hold the partition in their upper bits and the row's number in it in the lower 33.
+    """
+    numbered = rows.withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_at", 33))
     before = (
         numbered.groupBy("_part")
         .agg(F.count("*").alias("n"))
         .select("_part", (F.sum("n").over(Window.orderBy("_part")) - F.col("n")).alias("_before"))
     )
-    place = F.row_number().over(Window.partitionBy("_part").orderBy("_at")) + F.col("_before")
+    place = F.col("_at").bitwiseAND((1 << 33) - 1) + 1 + F.col("_before")
     return numbered.join(before, "_part").withColumn("is_test", place <= cut["take"])
 
 
