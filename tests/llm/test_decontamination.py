@@ -45,6 +45,14 @@ def test_inconsistent_slots_are_no_leak(leaks):
     assert (1, 1) in found and (2, 1) not in found
 
 
+def test_literal_windows_count_beside_inconsistent_slots(leaks):
+    last = "Carol".join(ITEM.rsplit("Alice", 1))
+    found = leaks([(1, MIXED), (2, FILL + last + " " + FILL), (3, ITEM)], [(10, ITEM)])
+    assert set(found) == {(1, 10), (2, 10), (3, 10)}
+    assert found[2, 10]["matched_windows"] == 27 and found[2, 10]["item_windows"] == 32
+    assert found[1, 10]["changed"] and found[2, 10]["changed"] and not found[3, 10]["changed"]
+
+
 def test_partial_passages(leaks):
     words = ITEM.split()
     texts = [(1, FILL + " ".join(words[: len(words) * 3 // 4])), (2, FILL + " ".join(words[:10]) + " " + FILL)]

@@ -169,10 +169,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     """(doc_id, item_id, coverage, matched_windows, item_windows, changed) of documents that hold a benchmark item.
 
     Both sides become tokens; a literal window is WINDOW words in lower case, a template window has placeholders for
-    numbers, names, units and for a capitalised word that opens a sentence. Windows meet by a join on their hash. Per
-    alignment of a document and an item, each number, name and unit of the item must stand for one value of the
-    document all along; alignments that break this are dropped. A pair is a leak if the windows that remain cover
-    MIN_COVERAGE of the item's windows. `changed` is true if a slot has another value than in the item.
+    numbers, names, units and for a capitalised word that opens a sentence. Windows meet by a join on their hash. Literal
+    windows always count. Template windows count where, per alignment of a document and an item, each number, name and
+    unit of the item stands for one value of the document all along. A pair is a leak if the windows that count cover
+    MIN_COVERAGE of the item's windows. `changed` is true if a slot of a counted alignment has another value than in
+    the item.
 
     Null and empty texts and items hold no window and never match. Repeated rows and items count once; ids that are
     null are left out, as they name nothing. Extra columns are ignored; an empty table on either side gives an empty
@@ -216,12 +217,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     )
     aligned = met.groupBy("doc_id", "item_id", "shift").agg(
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
-        F.collect_set("item_place").alias("places"),
+        F.collect_set("item_place").alias("all_places"),
+        F.collect_set(F.when(F.col("kind") == 0, F.col("item_place"))).alias("literal_places"),
         F.max("item_windows").alias("item_windows"),
     )
     slots = F.array_distinct(F.transform("pairs", lambda x: F.struct(x["type"], x["item"])))
-    consistent = aligned.where(F.size(slots) == F.size("pairs"))
-    leaks = consistent.groupBy("doc_id", "item_id").agg(
+    consistent = F.size(slots) == F.size("pairs")
+    counted = aligned.withColumn("places", F.when(consistent, F.col("all_places")).otherwise(F.col("literal_places")))
+    leaks = counted.where(F.size("places") > 0).groupBy("doc_id", "item_id").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("matched_windows"),
         F.max("item_windows").alias("item_windows"),
         F.max(F.exists("pairs", lambda x: x["item"] != x["doc"])).alias("changed"),
