@@ -63,6 +63,29 @@ def test_lines(spark, line, rule):
     assert parts.select(quality_rules.line_verdict(F.col("p"))).first()[0] == rule
 
 
+@pytest.mark.parametrize(
+    "line, rule",
+    [
+        ("iVBORw0KGgo" * 60, "punctuation"), ("iVBORw0KGgo" * 60 + ".", None),
+        (" ".join("q" * 150 for _ in range(4)), "punctuation"), (" ".join("q" * 150 for _ in range(5)), None),
+        ("We use cookies " + " ".join("x" * 40 for _ in range(17)) + ".", "boilerplate"),
+        ("We use cookies " + " ".join("x" * 40 for _ in range(22)) + ".", "boilerplate"),
+        ("We use cookies " + " ".join("x" * 40 for _ in range(23)) + ".", None),
+        ("We use cookies " + " \t ".join("x" * 4 for _ in range(200)) + " \t ", None),
+    ],
+)
+def test_long_lines_meet_the_same_rules(spark, line, rule):
+    assert len(line) > 400
+    test_lines(spark, line, rule)
+
+
+def test_documents_of_long_lines_without_words_go(make_docs):
+    text = "\n".join(f"{k}" + "iVBORw0KGgo" * 60 for k in range(12))
+    short = "\n".join(f"{k}" + "iVBORw0KGgo" * 30 for k in range(12))
+    found = {r["doc_id"]: r for r in quality_rules.quality_rules(make_docs([(1, text), (2, short)])).collect()}
+    assert [(found[i]["n_removed"], found[i]["kept"]) for i in (1, 2)] == [(12, False)] * 2
+
+
 def test_lines_go_and_documents_that_lose_too_much(make_docs):
     good = "This line has quite a few words in it and it ends well."
     other = "Another sentence of some length follows here, with words of its own."

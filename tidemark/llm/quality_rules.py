@@ -28,8 +28,6 @@ MAX_MARK_SHARE = 0.25
 MIN_SEPARATORS, WORDS_PER_SEPARATOR = 3, 5
 #: A line of at most so many words with a boilerplate phrase goes.
 BOILERPLATE_WORDS = 25
-#: Only lines below so many characters can have few words; above the BOILERPLATE_WORDS and OPEN_LINE_WORDS rules are off.
-SHORT_LINE = 400
 #: A document is rejected if less than this share of its characters in words stays.
 MIN_KEPT_SHARE = 0.5
 
@@ -39,6 +37,12 @@ def _words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE))
 
 
+def _first_words(text: Column) -> Column:
+    """The words, with all after the first BOILERPLATE_WORDS in one: as many as the rules on few words look at."""
+    trimmed = F.btrim(text, F.lit(" \t\n\x0b\f\r"))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE, BOILERPLATE_WORDS + 1))
+
+
 def _line_parts(line: Column) -> Column:
     """What the rules look at, so that each is computed once per line."""
     bare = F.regexp_replace(line, SPACE, "")
@@ -46,14 +50,14 @@ def _line_parts(line: Column) -> Column:
         line.alias("line"),
         F.length(bare).alias("letters"),
         F.length(F.regexp_replace(bare, MARKS, "")).alias("unmarked"),
-        F.when(F.length(line) < SHORT_LINE, F.size(_words(line))).alias("words"),
+        F.size(_first_words(line)).alias("words"),
     )
 
 
 def line_verdict(part: Column) -> Column:
     """Name of the first rule that a line fails, else null; a line without words passes.
 
-    `part` comes from _line_parts; `words` is null where a line is too long to be judged by its number of words.
+    `part` comes from _line_parts; `words` is exact up to BOILERPLATE_WORDS and larger by one where there are more.
     """
     line, letters = part["line"], part["letters"]
     separators = F.length(line) - F.length(F.regexp_replace(line, SEPARATORS, ""))
