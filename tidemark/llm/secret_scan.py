@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -17,6 +18,13 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 KINDS = ("assign", "access", "hex", "markov")
 #: Mean log-likelihood ratio per character pair from which a run counts as random.
 MIN_RATIO = 1.0
+#: Inside a run that is not random as a whole, a segment counts if its ratios add up to so much, or if its part between
+#: `=`, `/`, `_` and `-` counts as random alone and has this share of letters (times and dates have fewer).
+PART_SUM, PART_LETTERS = 25.0, 0.25
+#: A segment has the greatest sum of ratios above PART_BIAS, ends where it falls by PART_DROP, and takes MIN_PART characters.
+PART_BIAS, PART_DROP, MIN_PART = 0.5, 20.0, 16
+#: Stands for the ratio of a pair that no segment may cross: at `=` and at base spans.
+BREAK = -1e6
 SMOOTHING = 0.1
 #: Labelled samples per class; a bound on the training set, not on the texts.
 SAMPLES = 3000
@@ -106,6 +114,97 @@ def mean_ratio(run: Column, ratios: list[float]) -> Column:
     return total / (F.length(run) - 1)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _pair_ratios(run: Column, ratios: list[float]) -> Column:
+    """Ratio of each character pair of a run of two or more, BREAK beside `=` and outside the alphabet."""
+    table = F.split(F.lit(",".join(f"{x:.6f}" for x in ratios)), ",").cast("array<double>")
+    broken = (0, ALPHABET.index("=") + 1)
+
+    def ratio(places: Column, i: Column) -> Column:
+        a, b = F.get(places, i - 1), F.get(places, i)
+        return F.when(a.isin(*broken) | b.isin(*broken), F.lit(BREAK)).otherwise(
+            F.get(table, (a - 1) * len(ALPHABET) + b - 1)
+        )
+
+    return _let(
+        F.transform(F.split(run, ""), _place),
+        lambda places: F.transform(F.sequence(F.lit(1), F.size(places) - 1), lambda i: ratio(places, i)),
+    )
+
+
+def _rising(pairs: Column) -> Column:
+    """(start, end, sum) of the segments, in characters, that a random part of MIN_PART characters must reach."""
+    none = F.array().cast("array<struct<start:int,end:int,sum:double>>")
+    state = F.struct(
+        F.lit(0.0).alias("total"), F.lit(0.0).alias("peak"), F.lit(0).alias("start"), F.lit(0).alias("end"), none.alias("out")
+    )
+
+    def step(acc: Column, i: Column) -> Column:
+        total = acc["total"] + F.coalesce(F.get(pairs, i), F.lit(BREAK)) - PART_BIAS
+        held = acc["peak"] + PART_BIAS * (acc["end"] - acc["start"])
+        high = acc["peak"] >= (MIN_RATIO - PART_BIAS) * (MIN_PART - 1)
+        found = F.array(F.struct(acc["start"].alias("start"), (acc["end"] + 1).alias("end"), held.alias("sum")))
+        return F.when(
+            (total <= 0) | (total <= acc["peak"] - PART_DROP),
+            F.struct(
+                F.lit(0.0).alias("total"), F.lit(0.0).alias("peak"), (i + 1).alias("start"), (i + 1).alias("end"),
+                F.when(high, F.concat(acc["out"], found)).otherwise(acc["out"]).alias("out"),
+            ),
+        ).otherwise(
+            F.struct(
+                total.alias("total"), F.greatest(total, acc["peak"]).alias("peak"), acc["start"].alias("start"),
+                F.when(total > acc["peak"], i + 1).otherwise(acc["end"]).alias("end"), acc["out"].alias("out"),
+            )
+        )
+
+    return F.aggregate(F.sequence(F.lit(0), F.size(pairs)), state, step, lambda acc: acc["out"])
+
+
+def _mixed(run: Column) -> Column:
+    return run.rlike("[0-9]") & run.rlike("[A-Za-z]")
+
+
+def random_parts(run: Column, ratios: list[float]) -> Column:
+    """(start, end) of random segments of a run, grown or cut to the `=`, `/`, `_` and `-` next to their ends.
+
+    Characters outside the alphabet, as a space, belong to no segment.
+    """
+
+    def ends(segment: Column) -> Column:
+        before = F.substring(run, F.lit(1), segment["start"])
+        held = F.substring(run, segment["start"] + 1, segment["end"] - segment["start"])
+        after = F.substring(run, segment["end"] + 1, F.length(run))
+        left, right = F.regexp_extract(before, "[^ =/_-]*$", 0), F.regexp_extract(after, "^[^ =/_-]*", 0)
+        # a few characters of a neighbour that is only touched go with the mark between
+        lead = F.when(left == "", F.regexp_extract(held, "^[=/_-]*", 0)).otherwise(
+            F.regexp_extract(held, "^(?:[^=/_-]{0,3}[=/_-]+)?", 0)
+        )
+        trail = F.when(right == "", F.regexp_extract(held, "[=/_-]*$", 0)).otherwise(
+            F.regexp_extract(held, "(?:[=/_-]+[^=/_-]{0,3})?$", 0)
+        )
+        grown = F.length(F.regexp_extract(after, "^[^ =/_-]*=*", 0))
+        return F.struct(
+            (segment["start"] + F.when(lead != "", F.length(lead)).otherwise(-F.length(left))).alias("start"),
+            (segment["end"] + F.when(trail != "", -F.length(trail)).otherwise(grown)).alias("end"),
+            (_mixed(held) & (segment["sum"] >= F.greatest(F.lit(PART_SUM), MIN_RATIO * (F.length(held) - 1)))).alias("high"),
+        )
+
+    def alone(part: Column) -> Column:
+        letters = F.length(F.regexp_replace(part, "[^A-Za-z]", ""))
+        return _mixed(part) & (letters >= PART_LETTERS * F.length(part)) & (mean_ratio(part, ratios) >= MIN_RATIO)
+
+    found = F.transform(_let(_pair_ratios(run, ratios), _rising), ends)
+    long_enough = F.filter(found, lambda x: x["end"] - x["start"] >= MIN_PART)
+    random = F.filter(
+        long_enough, lambda x: x["high"] | _let(F.substring(run, x["start"] + 1, x["end"] - x["start"]), alone)
+    )
+    return F.array_distinct(F.transform(random, lambda x: F.struct(x["start"], x["end"])))
+
+
 def _hits(rows: DataFrame, name: str, text: Column, pattern: str, present: Column) -> DataFrame:
     """Add arrays of a pattern's matches and of the pieces between them, null where there is none."""
     return rows.withColumn(f"_{name}_hits", F.when(present, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))).withColumn(
@@ -154,7 +253,7 @@ def scan_secrets(docs: DataFrame, ratios: list[float], text_col: str = "text") -
     """The rows with secret_spans: array of (start, kind, end) in code points, sorted by start and kind.
 
     Base kinds are matched from the left without overlap per kind; `markov` are runs that the models call random and
-    that touch no base span. Whole texts are read, row by row and without a shuffle; null and empty texts have no
+    that touch no base span, and random parts of the other runs, beside names, paths and base spans. Whole texts are read, row by row and without a shuffle; null and empty texts have no
     spans, repeated rows equal ones, other columns are carried along, an empty table gives an empty result.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -174,13 +273,37 @@ def scan_secrets(docs: DataFrame, ratios: list[float], text_col: str = "text") -
         F.concat(F.coalesce(long_enough, none), F.coalesce("_access", none), F.coalesce("_hex", none)),
     )
 
+    def touches(span: Column) -> Column:
+        return F.exists("_base", lambda b: (b["start"] < span["end"]) & (b["end"] > span["start"]))
+
+    def unmarked(run: Column, span: Column) -> Column:
+        """The run with spaces in place of its base spans."""
+        return F.array_join(
+            F.transform(
+                F.split(run, ""),
+                lambda c, k: F.when(
+                    F.exists("_base", lambda b: (b["start"] <= span["start"] + k) & (b["end"] > span["start"] + k)), " "
+                ).otherwise(c),
+            ),
+            "",
+        )
+
     def random(span: Column, i: Column) -> Column:
         run = F.get(F.col("_markov_hits"), i)
-        free = ~F.exists("_base", lambda b: (b["start"] < span["end"]) & (b["end"] > span["start"]))
-        return run.rlike("[0-9]") & run.rlike("[A-Za-z]") & free & (mean_ratio(run, ratios) >= MIN_RATIO)
+        left = F.when(touches(span), unmarked(run, span)).otherwise(run)
+        parts = F.transform(
+            _let(left, lambda r: random_parts(r, ratios)),
+            lambda p: F.struct(
+                (span["start"] + p["start"]).alias("start"), F.lit(KINDS.index("markov")).alias("kind"),
+                (span["start"] + p["end"]).alias("end"),
+            ),
+        )
+        whole = _mixed(run) & ~touches(span) & (mean_ratio(run, ratios) >= MIN_RATIO)
+        return F.when(whole, F.array(span)).when(_mixed(run), parts).otherwise(none)
 
     rows = rows.withColumn(
-        "secret_spans", F.array_sort(F.concat("_base", F.coalesce(F.filter("_markov", random), none)))
+        "secret_spans",
+        F.array_sort(F.concat("_base", F.coalesce(F.flatten(F.transform("_markov", random)), none))),
     )
     return rows.drop("_assigned", "_base", *[f"_{n}{s}" for n in KINDS for s in ("", "_hits", "_gaps")])
 
