@@ -53,6 +53,21 @@ def test_literal_windows_count_beside_inconsistent_slots(leaks):
     assert found[1, 10]["changed"] and found[2, 10]["changed"] and not found[3, 10]["changed"]
 
 
+def test_items_dense_in_numbers(leaks):
+    short = ("Compute 12 plus 30 minus 7 times 4", "Compute 15 plus 42 minus 9 times 6")
+    middle = ("Compute 12 plus 30 minus 7 times 4 plus 8 minus 5", "Compute 15 plus 42 minus 9 times 6 plus 3 minus 2")
+    sums = ("Add 1 2 3 4 5 6 7 8 9 10 then halve it", "Add 11 12 13 14 15 16 17 18 19 20 then halve it")
+    tail = ("Please sort the given list now 5 4 3 2 1 9 8 7 6 10 11 12", "Please sort the given list now 35 34 33 32 31 39 38 37 36 40 41 42")
+    few = ("Sum 5 4 3 2 with 1 9 8 7 and 16", "Sum 45 44 43 42 with 41 49 48 47 and 56")
+    tiny = ("What is 12 times 30", "What is 25 times 70")
+    pairs = [short, middle, sums, tail, few, tiny]
+    texts = [(i, f"{FILL}{b}. {FILL}") for i, (_, b) in enumerate(pairs)]
+    found = leaks(texts + [(20, FILL + "Add " + " ".join(str(k) for k in range(51, 80)))], [(i, a) for i, (a, _) in enumerate(pairs)])
+    # the first item's template is also the beginning of the second text
+    assert set(found) == {(i, i) for i in range(len(pairs))} | {(1, 0)}
+    assert all(r["coverage"] == 1.0 and r["changed"] for r in found.values())
+
+
 def test_partial_passages(leaks):
     words = ITEM.split()
     texts = [(1, FILL + " ".join(words[: len(words) * 3 // 4])), (2, FILL + " ".join(words[:10]) + " " + FILL)]

@@ -8,11 +8,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.words import Words, find_runs, text_chunks, window_hashes, word_hashes
+from tidemark.llm.words import Words, find_runs, span_hashes, text_chunks, window_hashes, word_hashes
 from tidemark.session import stage_table
 
-#: Tokens of a window; a shorter item is one window. At least half of a window must be plain words.
+#: Tokens of a window; a shorter item is one window. A template with fewer plain words than half of that is widened.
 WINDOW = 8
+#: Plain words of a widened template, and of one that is the whole item as the item holds no more.
+WIDE_PLAIN, MIN_ITEM_PLAIN = WINDOW // 2, 2
 #: Share of an item's windows that a document must hold.
 MIN_COVERAGE = 0.5
 #: Places of the filter that spares windows without a partner the join; its size does not depend on any table.
@@ -90,12 +92,29 @@ def classify(words: Words, first: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return kinds
 
 
+def _widen(start: np.ndarray, plain: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """End of each window that begins at `start` and is widened to the right, and start of the one widened to the left.
+
+    Windows are widened until they hold WIDE_PLAIN plain words; -1 where the text has too few. `plain` counts the plain
+    words before each token.
+    """
+    places = np.flatnonzero(np.diff(plain))
+    last, first = plain[start] + WIDE_PLAIN - 1, plain[start + WINDOW] - WIDE_PLAIN
+    if not len(places):
+        return np.full(len(start), -1), np.full(len(start), -1)
+    right, left = places[np.clip(last, 0, len(places) - 1)], places[np.clip(first, 0, len(places) - 1)]
+    right = np.where((last < len(places)) & (owner[right] == owner[start]), right + 1, -1)
+    return right, np.where((first >= 0) & (owner[left] == owner[start]), left, -1)
+
+
 def _windows(
     data: np.ndarray, offsets: np.ndarray, widths: list[int], passes: np.ndarray | None
-) -> Iterator[tuple[int, int, int, int, int, np.ndarray, np.ndarray]]:
-    """(text, place, hash, width, kind of window, kinds of its tokens, their word hashes) of literal and template windows.
+) -> Iterator[tuple[int, int, int, int, int, int, np.ndarray, np.ndarray]]:
+    """(text, place, place it stands for, hash, width, kind of window, kinds of its tokens, their word hashes).
 
-    `passes` are the filter's places; None lets all windows through.
+    Literal windows are of kind 0, templates of kind 1. A template with too few plain words is widened to the right, or
+    to the left where the text ends; in an item with too few for both, the whole item stands for it. `passes` are the
+    filter's places, for documents, which give both widened windows and all whole widths; None is for items.
     """
     words, first = find_tokens(data, offsets)
     hashes = word_hashes(words)
@@ -103,25 +122,47 @@ def _windows(
     codes = np.where(kinds == PLAIN, hashes, _CODES[kinds])
     plain = np.concatenate([[0], np.cumsum(kinds == PLAIN)])
     owner = np.repeat(np.arange(len(offsets) - 1), np.diff(words.first))
-    place = np.arange(len(hashes)) - words.first[:-1][owner]
+    begin = words.first[:-1][owner]
+
+    def rows(kind: int, start: np.ndarray, end: np.ndarray, stands: np.ndarray, found: np.ndarray, width: int) -> Iterator[tuple]:
+        if passes is not None:
+            use = passes[(found & np.uint64(FILTER_BITS - 1)).astype(np.int64)]
+            start, end, stands, found = start[use], end[use], stands[use], found[use]
+        for i, j, at, h in zip(start.tolist(), end.tolist(), stands.tolist(), found.tolist()):
+            yield int(owner[i]), int(i - begin[i]), int(at - begin[i]), h, width, kind, kinds[i:j], hashes[i:j]
+
     for width in widths:
         n = len(hashes) - width + 1
         if n <= 0:
             continue
         whole = owner[:n] == owner[width - 1 :]
-        for kind, source in enumerate((hashes, codes)):
-            found = window_hashes(source, width)
-            use = whole
-            if kind:
-                held = plain[width:] - plain[:-width]
-                use = whole & (2 * held >= width) & (held < width)
-            if passes is not None:
-                use = use & passes[(found & np.uint64(FILTER_BITS - 1)).astype(np.int64)]
-            for i in np.flatnonzero(use).tolist():
-                yield int(owner[i]), int(place[i]), int(found[i]), width, kind, kinds[i : i + width], hashes[i : i + width]
+        held = plain[width:] - plain[:-width]
+        if width <= WINDOW:
+            at = np.flatnonzero(whole)
+            yield from rows(0, at, at + width, at, window_hashes(hashes, width)[at], width)
+        template = 2 * held >= width
+        if passes is not None or width < WINDOW:
+            template |= held >= MIN_ITEM_PLAIN
+        at = np.flatnonzero(whole & template & (held < width))
+        yield from rows(1, at, at + width, at, window_hashes(codes, width)[at], width)
+        if width != WINDOW:
+            continue
+        at = np.flatnonzero(whole & (2 * held < width))
+        right, left = _widen(at, plain, owner)
+        use = right >= 0
+        yield from rows(1, at[use], right[use], at[use], span_hashes(codes, at[use], right[use]), width)
+        use = left >= 0 if passes is not None else (left >= 0) & ~use
+        yield from rows(1, left[use], at[use] + width, at[use], span_hashes(codes, left[use], at[use] + width), width)
+        if passes is None:
+            at = at[(left < 0) & (right < 0)]
+            start, end = begin[at], words.first[1:][owner[at]]
+            use = plain[end] - plain[start] >= MIN_ITEM_PLAIN
+            for i, j, k in zip(start[use].tolist(), end[use].tolist(), at[use].tolist()):
+                found = window_hashes(codes[i:j], j - i)
+                yield from rows(1, np.array([i]), np.array([j]), np.array([k]), found, width)
 
 
-_SCHEMA = "id long, place long, hash long, width int, kind int, slots array<struct<type:int,value:long>>"
+_SCHEMA = "id long, place long, stands long, hash long, width int, kind int, slots array<struct<type:int,value:long>>"
 
 
 def _signed(x: int) -> int:
@@ -138,30 +179,35 @@ def _window_rows(widths: list[int], packed: bytes | None) -> Callable[[Iterator[
             ids = batch.column(0).to_pylist()
             for at, _, data, offsets in text_chunks(batch.column(1)):
                 rows: list[tuple] = []
-                for text, place, found, width, kind, kinds, values in _windows(data, offsets, widths, passes):
+                for text, place, stands, found, width, kind, kinds, values in _windows(data, offsets, widths, passes):
                     slots = [
                         {"type": int(k), "value": _signed(int(v))}
                         for k, v in zip(kinds, values)
                         if k not in (PLAIN, FIRST)
                     ]
-                    rows.append((ids[at + text], place, _signed(found), width, kind, slots if kind else []))
+                    rows.append((ids[at + text], place, stands, _signed(found), width, kind, slots if kind else []))
                 if rows:
                     c = list(zip(*rows))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c[0], pa.int64()), pa.array(c[1], pa.int64()), pa.array(c[2], pa.int64()),
-                         pa.array(c[3], pa.int32()), pa.array(c[4], pa.int32()), pa.array(c[5], slot_type)],
-                        ["id", "place", "hash", "width", "kind", "slots"],
+                         pa.array(c[3], pa.int64()), pa.array(c[4], pa.int32()), pa.array(c[5], pa.int32()),
+                         pa.array(c[6], slot_type)],
+                        ["id", "place", "stands", "hash", "width", "kind", "slots"],
                     )
 
     return run
 
 
 def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tokens of each item, and whether its plain words are so few that the whole item may stand for a window."""
     for batch in batches:
         for at, stop, data, offsets in text_chunks(batch.column(1)):
-            counts = np.diff(find_tokens(data, offsets)[0].first)
+            words, first = find_tokens(data, offsets)
+            plain = np.concatenate([[0], np.cumsum(classify(words, first, word_hashes(words)) == PLAIN)])
+            held = plain[words.first[1:]] - plain[words.first[:-1]]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(at, stop - at), pa.array(counts, pa.int64())], ["item_id", "tokens"]
+                [batch.column(0).slice(at, stop - at), pa.array(np.diff(words.first), pa.int64()), pa.array(held < 2 * WIDE_PLAIN)],
+                ["item_id", "tokens", "sparse"],
             )
 
 
@@ -169,7 +215,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     """(doc_id, item_id, coverage, matched_windows, item_windows, changed) of documents that hold a benchmark item.
 
     Both sides become tokens; a literal window is WINDOW words in lower case, a template window has placeholders for
-    numbers, names, units and for a capitalised word that opens a sentence. Windows meet by a join on their hash. Literal
+    numbers, names, units and for a capitalised word that opens a sentence; one with few plain words is widened until it
+    holds WIDE_PLAIN of them, or to the whole item, and stands for its place. Windows meet by a join on their hash. Literal
     windows always count. Template windows count where, per alignment of a document and an item, each number, name and
     unit of the item stands for one value of the document all along. A pair is a leak if the windows that count cover
     MIN_COVERAGE of the item's windows. `changed` is true if a slot of a counted alignment has another value than in
@@ -182,15 +229,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null")
     items = items.distinct()
-    counts = stage_table(items.mapInArrow(_token_counts, "item_id long, tokens long").where("tokens > 0"), "items")
+    counts = stage_table(items.mapInArrow(_token_counts, "item_id long, tokens long, sparse boolean").where("tokens > 0"), "items")
     widths = [r[0] for r in counts.select(F.least("tokens", F.lit(WINDOW)).cast("int")).distinct().collect()]
+    sparse = counts.where(F.col("sparse") & (F.col("tokens") > WINDOW))
+    wide = [r[0] for r in sparse.select(F.col("tokens").cast("int")).distinct().collect()]
     item_windows = stage_table(
         items.mapInArrow(_window_rows(sorted(widths), None), _SCHEMA)
-        .withColumnsRenamed({"id": "item_id", "place": "item_place", "slots": "item_slots"})
+        .withColumnsRenamed({"id": "item_id", "place": "item_start", "stands": "item_place", "slots": "item_slots"})
         .join(counts, "item_id")
         .where(F.col("width") == F.least("tokens", F.lit(WINDOW)))
         .withColumn("item_windows", F.greatest(F.col("tokens") - WINDOW + 1, F.lit(1)))
-        .drop("tokens", "width")
+        .drop("tokens", "sparse", "width")
         .dropDuplicates(["item_id", "item_place", "hash"]),
         "item-windows",
     )
@@ -200,12 +249,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     doc_windows = (
         source.where("doc_id is not null")
-        .mapInArrow(_window_rows(sorted(widths), np.packbits(passes).tobytes()), _SCHEMA)
+        .mapInArrow(_window_rows(sorted(widths) + sorted(wide), np.packbits(passes).tobytes()), _SCHEMA)
         .withColumnsRenamed({"id": "doc_id"})
+        .drop("stands")
     )
     if item_windows.count() <= BROADCAST_WINDOWS:
         item_windows = F.broadcast(item_windows)
-    met = doc_windows.join(item_windows, ["hash", "kind"]).withColumn("shift", F.col("place") - F.col("item_place"))
+    met = doc_windows.join(item_windows, ["hash", "kind"]).withColumn("shift", F.col("place") - F.col("item_start"))
     met = met.withColumn(
         "pairs",
         F.transform(

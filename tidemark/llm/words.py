@@ -102,6 +102,16 @@ def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     return mix(total)
 
 
+def span_hashes(hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the words `start .. end - 1` of each span; spans may differ in width."""
+    sums = np.zeros(len(hashes) + 1, dtype=np.uint64)
+    np.cumsum(hashes * _powers(len(hashes)), out=sums[1:])
+    back = np.full(len(hashes) + 1, pow(int(_STEP), -1, 2**64), dtype=np.uint64)
+    back[:1] = 1
+    back = np.multiply.accumulate(back)
+    return mix((sums[end] - sums[start]) * back[start] + mix((end - start).astype(np.uint64)))
+
+
 def shingle_sets(words: Words, hashes: np.ndarray, width: int = 5) -> list[np.ndarray]:
     """Sorted distinct shingles per text; a text of fewer words is one shingle, one without words has none."""
     windows = window_hashes(hashes, width)
