@@ -36,15 +36,16 @@ def _best_pattern(values: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple
     return float(best[capacity]), pattern
 
 
-def _first_basis(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+def _first_basis(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
     """A feasible basis: again and again the longest size left, filled up by the knapsack, until a size is used up.
 
-    Each pattern uses up one size and holds none used up before, so that the patterns form a triangular matrix.
+    Each pattern uses up one size and holds none used up before, so that the patterns, in the order of the sizes' ends,
+    form a triangular matrix. (patterns, rolls of each, that order).
     """
     m = len(sizes)
     left = demand.astype(float)
     open_sizes = left > 0
-    patterns, rolls = np.zeros((m, m), dtype=np.int64), np.zeros(m)
+    patterns, rolls, order = np.zeros((m, m), dtype=np.int64), np.zeros(m), []
     while open_sizes.any():
         longest = int(np.flatnonzero(open_sizes)[-1])
         _, pattern = _best_pattern(np.where(open_sizes, sizes**1.02, 0), sizes, capacity - int(sizes[longest]))
@@ -56,7 +57,22 @@ def _first_basis(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[
         patterns[:, out], rolls[out] = pattern, most[out]
         left = np.maximum(left - most[out] * pattern, 0)
         open_sizes[out] = False
-    return patterns, rolls
+        order.append(out)
+    return patterns, rolls, order
+
+
+def _triangular_inverse(patterns: np.ndarray, order: list[int]) -> np.ndarray:
+    """Inverse of the first basis by substitution, a few vector steps per pattern.
+
+    No call of a linear algebra library: its threads would compete with those of the Spark driver.
+    """
+    inverse = np.eye(len(order))
+    for out in order:
+        inverse[out] /= patterns[out, out]
+        for k in np.flatnonzero(patterns[:, out]):
+            if k != out:
+                inverse[k] -= patterns[k, out] * inverse[out]
+    return inverse
 
 
 def _fractional(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,14 +81,15 @@ def _fractional(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[n
     It ends within GAP of the optimum: total rolls divided by the best price bound the optimum from below, and so
     does the total size. MAX_PIVOTS bounds the driver's time; an earlier end costs padding, nothing else.
     """
-    patterns, rolls = _first_basis(sizes, demand, capacity)
-    inverse = np.linalg.inv(patterns)
-    enough = (1 + GAP) * float(sizes @ demand) / capacity
+    patterns, rolls, order = _first_basis(sizes, demand, capacity)
+    inverse = _triangular_inverse(patterns, order)
+    enough = (1 + GAP) * float((sizes * demand).sum()) / capacity
     for _ in range(MAX_PIVOTS):
         value, pattern = _best_pattern(inverse.sum(axis=0), sizes, capacity)
         if value <= 1 + GAP or rolls.sum() <= enough:
             break
-        direction = inverse @ pattern
+        held = np.flatnonzero(pattern)
+        direction = (inverse[:, held] * pattern[held]).sum(axis=1)
         rising = direction > 1e-9
         ratios = np.full(len(sizes), np.inf)
         ratios[rising] = rolls[rising] / direction[rising]
