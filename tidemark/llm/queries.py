@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    chat_format, decontamination, html_extraction, license_scan, near_dedup, packing, quality_rules, secret_scan, sharding,
+    chat_format, decontamination, html_extraction, language_id, license_scan, near_dedup, packing, quality_rules, secret_scan, sharding,
     warc,
 )
 from tidemark.llm.workers import let_workers_import
@@ -75,11 +75,18 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").withColumn("held_out", language_id.held_out(F.col("doc_id")))
+    # an id that is null has no remainder, and none that is 1: its row is learned from, and not held out
+    profiles = language_id.learn_profiles(docs.where("not held_out").select("text", "lang"))
+    return language_id.identify(docs, profiles, carry=["doc_id", "held_out"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_html_extraction, op2_license_scan, op3_warc, op4_secret_scan, op5_packing, op6_sharding, op7_near_dedup,
-        op8_decontamination, op9_chat_format, op10_quality_rules,
+        op8_decontamination, op9_chat_format, op10_quality_rules, op13_language_id,
     )
 }
 
