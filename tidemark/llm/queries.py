@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    chat_format, decontamination, html_extraction, language_id, license_scan, near_dedup, packing, quality_rules, secret_scan, sharding,
+    chat_format, decontamination, hard_negatives, html_extraction, language_id, license_scan, near_dedup, packing, quality_rules, secret_scan, sharding,
     warc,
 )
 from tidemark.llm.workers import let_workers_import
@@ -75,6 +75,12 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = hard_negatives.scaled(_table(spark, folder, "embeddings"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(rows.withColumn("label", moved), "vec_id % 100 = 0")
+
+
 def op13_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").withColumn("held_out", language_id.held_out(F.col("doc_id")))
     # an id that is null has no remainder, and none that is 1: its row is learned from, and not held out
@@ -86,7 +92,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_html_extraction, op2_license_scan, op3_warc, op4_secret_scan, op5_packing, op6_sharding, op7_near_dedup,
-        op8_decontamination, op9_chat_format, op10_quality_rules, op13_language_id,
+        op8_decontamination, op9_chat_format, op10_quality_rules, op12_hard_negatives,
+        op13_language_id,
     )
 }
 
@@ -135,4 +142,29 @@ SELECT conv_id, CAST(max(n_shared) AS INTEGER) AS n_shared,
     FILTER (pos >= n_shared AND role = 'assistant'), '') AS rejected_mask
 FROM placed GROUP BY conv_id"""
 
-ORACLE: dict[str, str] = {"op9_chat_format": _CHAT}
+_NEGATIVES = """
+WITH fit AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS code
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF coalesce(isfinite(x), false)]) = len(embedding)
+),
+scores AS (
+  SELECT a.vec_id AS anchor_id, x.vec_id AS vec_id, a.label = x.label AS same,
+    CAST(list_inner_product(a.code, x.code) AS BIGINT) AS score
+  FROM fit a JOIN fit x ON a.vec_id % 100 = 0
+),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same AND vec_id <> anchor_id
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+  n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN scores n
+  ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 80 * p.positive_score <= 100 * n.score AND n.score <= p.positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) <= 5"""
+
+ORACLE: dict[str, str] = {"op9_chat_format": _CHAT, "op12_hard_negatives": _NEGATIVES}
