@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    chat_format, decontamination, hard_negatives, html_extraction, language_id, license_scan, near_dedup, packing, quality_rules, secret_scan, sharding,
-    warc,
+    chat_format, decontamination, hard_negatives, html_extraction, language_id, license_scan, near_dedup, packing, prefix_trie,
+    quality_rules, secret_scan, sharding, warc,
 )
 from tidemark.llm.workers import let_workers_import
 
@@ -75,6 +75,11 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns, convs = prefix_trie.splice(prefix_trie.number_turns(_table(spark, folder, "conversations")))
+    return prefix_trie.prefix_trie(turns, convs)
+
+
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     rows = hard_negatives.scaled(_table(spark, folder, "embeddings"))
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -92,8 +97,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_html_extraction, op2_license_scan, op3_warc, op4_secret_scan, op5_packing, op6_sharding, op7_near_dedup,
-        op8_decontamination, op9_chat_format, op10_quality_rules, op12_hard_negatives,
-        op13_language_id,
+        op8_decontamination, op9_chat_format, op10_quality_rules, op11_prefix_trie,
+        op12_hard_negatives, op13_language_id,
     )
 }
 
@@ -167,4 +172,65 @@ FROM positives p JOIN scores n
   AND 80 * p.positive_score <= 100 * n.score AND n.score <= p.positive_score
 QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) <= 5"""
 
-ORACLE: dict[str, str] = {"op9_chat_format": _CHAT, "op12_hard_negatives": _NEGATIVES}
+_TRIE = """
+WITH RECURSIVE turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (
+      PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+crc_step AS (
+  SELECT i AS byte, 0 AS k, CAST(i AS BIGINT) AS v FROM range(256) r(i)
+  UNION ALL
+  SELECT byte, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, CAST(3988292384 AS BIGINT)) ELSE v >> 1 END
+  FROM crc_step WHERE k < 8
+),
+digits AS (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS word FROM turns),
+crc AS (
+  SELECT conv_id, word, 1 AS k, CAST(4294967295 AS BIGINT) AS v FROM digits
+  UNION ALL
+  SELECT c.conv_id, c.word, c.k + 1, xor(c.v >> 8, t.v)
+  FROM crc c JOIN crc_step t ON t.k = 8 AND t.byte = xor(c.v, CAST(ascii(substr(c.word, c.k, 1)) AS BIGINT)) & 255
+  WHERE c.k <= length(c.word)
+),
+convs AS (
+  SELECT c.conv_id, c.conv_id - c.conv_id % 5 AS base, xor(c.v, CAST(4294967295 AS BIGINT)) % 9 AS h,
+    (SELECT count(*) FROM turns t WHERE t.conv_id = c.conv_id - c.conv_id % 5) AS n_base
+  FROM crc c WHERE c.k = length(c.word) + 1
+),
+rebuilt AS (
+  SELECT c.conv_id, t.pos, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.base AND t.pos < c.h
+  UNION ALL
+  SELECT c.conv_id, t.pos - c.h + least(c.h, c.n_base), t.role, t.text
+  FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos >= c.h
+),
+steps AS (
+  SELECT conv_id, pos + 1 AS depth, strlen(text) AS n_bytes,
+    string_agg(sha256(length(role) || ':' || role || text), '') OVER (
+      PARTITION BY conv_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS path,
+    pos + 1 = count(*) OVER (PARTITION BY conv_id) AS is_last
+  FROM rebuilt
+  UNION ALL
+  SELECT conv_id, 0, 0, '', conv_id NOT IN (SELECT conv_id FROM rebuilt) FROM convs
+),
+nodes AS (
+  SELECT path, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    (count(*) - 1) * any_value(n_bytes) AS saved,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (is_last), '')) AS ends_sha256
+  FROM steps GROUP BY path
+),
+kids AS (SELECT left(path, 64 * (depth - 1)) AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+sums AS (
+  SELECT left(n.path, 64 * a.up) AS path, sum(n.saved) AS saved, count(*) FILTER (k.n IS NULL) AS leaves
+  FROM (SELECT *, unnest(range(CAST(depth + 1 AS BIGINT))) AS up FROM nodes) a
+    JOIN nodes n ON n.path = a.path LEFT JOIN kids k ON k.path = n.path
+  GROUP BY 1
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs,
+  CAST(coalesce(k.n, 0) AS BIGINT) AS n_children, CAST(s.leaves AS BIGINT) AS n_leaves,
+  CAST(s.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s ON s.path = n.path
+  LEFT JOIN kids k ON k.path = n.path
+  LEFT JOIN nodes p ON n.depth > 0 AND p.path = left(n.path, 64 * (n.depth - 1))"""
+
+ORACLE: dict[str, str] = {"op9_chat_format": _CHAT, "op11_prefix_trie": _TRIE, "op12_hard_negatives": _NEGATIVES}
