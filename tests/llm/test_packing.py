@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import random
+import threading
+import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import packing
@@ -96,3 +100,31 @@ def test_column_generation_beats_first_fit():
     """Sizes for which longest-first wastes much: 6 rolls of (45, 30, 25) are exact."""
     rolls = sum(n for _, n in plan_rolls({45: 600, 30: 600, 25: 600}, 100))
     assert rolls <= 606
+
+
+def test_the_plan_needs_no_threads_of_its_own_in_a_driver(spark):
+    """On the length histogram of a whole table, while Spark keeps all cores busy."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    lengths = docs.select((F.length("text") % 2048 / 4).cast("int").alias("n")).groupBy("n").count().collect()
+    histogram = {r["n"] + 1: r["count"] for r in lengths}
+    busy = threading.Thread(target=lambda: spark.range(400_000_000).selectExpr("sum(hash(id))").collect())
+    busy.start()
+    began = time.perf_counter()
+    plan = plan_rolls(histogram, 513)
+    assert time.perf_counter() - began < 20
+    busy.join()
+    held = Counter()
+    for pattern, rolls in plan:
+        held.update({size: n * rolls for size, n in pattern.items()})
+    assert held == histogram
+
+
+def test_a_full_table_of_words_is_begun_anew(monkeypatch):
+    monkeypatch.setattr(packing, "_KNOWN_WORDS", 20)
+    monkeypatch.setattr(packing, "_KNOWN_UNITS", 20)
+    encoder = packing._Encoder(Path(public_tokenizer()).read_text(encoding="utf-8"))
+    for k in range(6):
+        text = " ".join(f"Wörd{k * 7 + i} it's" for i in range(12))
+        data = np.frombuffer(text.encode(), dtype=np.uint8)
+        ids, totals = encoder.plain(data, np.array([0, len(data)]))
+        assert totals.tolist() == [len(ids)] and (ids == token_ids(text)).all()
