@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import itertools
+import math
+import random
+import time
+
 import pytest
 
-from tidemark.llm.html_blocks import read_blocks
-from tidemark.llm.html_extraction import decode, default_weights, extract_main_text, fit, main_text
+from tidemark.llm.html_blocks import Block, read_blocks
+from tidemark.llm.html_extraction import (
+    _gradient, _scores, block_features, decode, default_weights, extract_main_text, fit, main_text,
+)
 from tidemark.llm.labelled_pages import CONTENT_MARK, labelled_pages
 
 LONG = "The committee met on Tuesday and agreed, after some debate, that the bridge should be rebuilt in stone."
@@ -68,7 +75,11 @@ def test_chain_carries_more_than_single_blocks():
         ('<div title="a > b">t</div>', ["t"]), ("<div title='x>t</div>", ["t"]), ("</p></div>t", ["t"]),
         ("<table><tr><td>a<td>b<tr><td>c</table>d", ["a", "b", "c", "d"]), ("<ul><li>a<ul><li>b</ul><li>c</ul>", ["a", "b", "c"]),
         ("<script>never closed <p>x", []), ("<P>A</P><Div>B</dIV>", ["A", "B"]), ("w<b>or</b>d", ["word"]), ("   ", []),
-        ("<head><title>t</title><body>b", ["b"]),
+        ("<head><title>t</title><body>b", ["b"]), ("<p>before</p><canvas/><p>after", ["before", "after"]),
+        ("<video src=x><p>after", ["after"]), ("<svg><svg>x</svg>y</svg>z", ["z"]), ("<title>t<p>rest", ["t", "rest"]),
+        ("<template><template>a</template>b</template>c", ["c"]), ("<svg>a</svg><svg/>b<svg>c</svg>d", ["bd"]),
+        ("<script src=x />a</script>b", ["b"]), ('<a title=\'">\' b>t</a>', ["t"]), ("a<!b", ["a<!b"]), ("a<p<!-- x", ["a<p"]),
+        ("<p x='a>b", ["b"]), ("<ul><li><ul></li>a</ul>b</ul>c", ["a", "b", "c"]), ("<head>x", ["x"]), ("<", ["<"]),
     ],
 )
 def test_blocks(page, texts):
@@ -81,6 +92,56 @@ def test_deep_and_long_pages_are_read():
     assert [b.text for b in read_blocks('<a href="' * 2000)][0].startswith("<a")
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<p" * 100_000, "<a " * 100_000, "<a " * 100_000 + ">", "<p x='" * 50_000 + ">", "<a \"<b '>" * 50_000, "<!-" * 100_000,
+        "<svg>" * 50_000 + "</svg>", "<svg " * 50_000, "<head>" * 50_000, "</script" * 50_000 + "<script>" * 50_000,
+        "<div>" * 50_000 + "</p>" * 50_000, "<ul><li><ul>" + "<nav>" * 50_000 + "</li>" * 50_000, "&" * 200_000,
+        "<a b=\"" + "<a b=\">\"" * 50_000 + "'", "<p id=" + " id" * 100_000 + ">x", "<a '\">" * 50_000 + "'",
+    ],
+)
+def test_odd_pages_take_time_in_proportion_to_their_length(page):
+    began = time.perf_counter()
+    read_blocks(page)
+    assert time.perf_counter() - began < 5
+
+
+def chain_score(blocks, labels, weights):
+    units, steps = _scores(blocks, weights)
+    return sum(u for u, y in zip(units, labels) if y) + sum(s[2 * a + b] for s, a, b in zip(steps, labels, labels[1:]))
+
+
+def random_chains(seed, lengths=range(1, 10)):
+    rng = random.Random(seed)
+    for n in lengths:
+        blocks = [Block("w" * rng.randint(1, 9), rng.choice(["p", "li"]), frozenset(rng.sample("abcd", 2)), 0, rng.randint(0, 1)) for _ in range(n)]
+        names = {f for b in blocks for f in block_features(b)} | {f"{k}:{x}{y}" for k in ("near", "far") for x in (0, 1) for y in (0, 1)}
+        yield blocks, {f: rng.uniform(-2, 2) for f in sorted(names)}, [rng.randint(0, 1) for _ in blocks]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_viterbi_equals_enumeration_of_all_chains(seed):
+    for blocks, weights, _ in random_chains(seed):
+        best = max(itertools.product((0, 1), repeat=len(blocks)), key=lambda y: chain_score(blocks, y, weights))
+        assert chain_score(blocks, decode(blocks, weights), weights) == pytest.approx(chain_score(blocks, best, weights))
+        assert tuple(decode(blocks, weights)) == best
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_gradient_equals_differences_of_the_likelihood(seed):
+    def likelihood(blocks, labels, weights):
+        total = math.log(sum(math.exp(chain_score(blocks, y, weights)) for y in itertools.product((0, 1), repeat=len(blocks))))
+        return chain_score(blocks, labels, weights) - total
+
+    for blocks, weights, labels in random_chains(seed, range(1, 6)):
+        slopes = _gradient(blocks, labels, weights)
+        for name in weights:
+            up, down = ({**weights, name: weights[name] + h} for h in (1e-5, -1e-5))
+            difference = (likelihood(blocks, labels, up) - likelihood(blocks, labels, down)) / 2e-5
+            assert slopes.get(name, 0.0) == pytest.approx(difference, abs=5e-4)
+
+
 def test_table(spark):
     page = PAGES["no article element"][0]
     rows = [(1, "u", page, "old", 5, 9), (1, "u", page, "old", 5, 9), (2, None, None, None, None, None), (None, "u", "", "x", 1, 2)]

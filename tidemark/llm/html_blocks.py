@@ -13,7 +13,8 @@ BLOCK_TAGS = frozenset(
     "p pre search section select summary table tbody td textarea tfoot th thead tr ul".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNREAD_TAGS = frozenset("script style head title template noscript svg math iframe object canvas audio video".split())
+RAW_TAGS = frozenset(("script", "style"))
+UNREAD_TAGS = RAW_TAGS | frozenset("head title template noscript svg math iframe object canvas audio video".split())
 CLOSED_BY = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
     "th": ("td", "th"), "option": ("option",), "tbody": ("thead", "tbody", "tr", "td", "th"),
@@ -37,10 +38,13 @@ HINTS = {
 }
 _HINT_OF = {word: kind for kind, words in HINTS.items() for word in words.split()}
 
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
-    re.DOTALL,
+#: A tag whose quoted values hold neither `<` nor `>`; the match never goes beyond the next `>`.
+_PLAIN_TAG = re.compile(
+    r"<(/?)([a-zA-Z][^\s/>]*+)([^\"'>]*+(?:\"[^\"<>]*+\"[^\"'>]*+|'[^'<>]*+'[^\"'>]*+)*+)>"
 )
+_TAG_START = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+_BODY = re.compile(r"<body\b", re.IGNORECASE)
+_QUOTE_OR_END = re.compile("[\"'>]")
 _HINT_ATTRIBUTES = re.compile(
     r"""(?:^|\s)(class|id|role|itemprop|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE
 )
@@ -81,6 +85,113 @@ def _features(tag: str, attributes: str, outer: frozenset[str]) -> frozenset[str
     return frozenset(found)
 
 
+class _Markup:
+    """Places of tags in a page. All searches together take time in proportion to the page's length.
+
+    A failed search is remembered: nothing is looked for twice behind the same place.
+    """
+
+    def __init__(self, page: str) -> None:
+        self.page = page
+        self.last = {c: page.rfind(c) for c in "\"'>"}
+        self._ends: dict[int, int] = {}
+        self._elements: dict[str, dict[int, int]] = {}
+        self._body: int | None = None
+
+    def _end(self, at: int) -> int:
+        """Place of the `>` that ends the tag whose attributes begin here, outside quotes; -1 if a quote stays open."""
+        seen = []
+        while at not in self._ends:
+            seen.append(at)
+            found = _QUOTE_OR_END.search(self.page, at)
+            if found is None or found[0] != ">" and found.start() >= self.last[found[0]]:
+                end = -1
+                break
+            if found[0] == ">":
+                end = found.start()
+                break
+            at = self.page.index(found[0], found.end()) + 1
+        else:
+            end = self._ends[at]
+        self._ends.update(dict.fromkeys(seen, end))
+        return end
+
+    def next(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """(start, end, slash, name, attributes) of the next markup from here; the name of no tag is empty."""
+        page = self.page
+        while (at := page.find("<", at)) >= 0:
+            if page.startswith("<!--", at):
+                end = page.find("-->", at + 4)
+                return at, end + 3 if end >= 0 else len(page), "", "", ""
+            if at > self.last[">"]:
+                at = page.find("<!--", at)  # without a `>`, only a comment can still begin
+                if at < 0:
+                    return None
+                continue
+            if page[at + 1] in "!?":
+                return at, page.index(">", at) + 1, "", "", ""
+            if found := _PLAIN_TAG.match(page, at):
+                return at, found.end(), found[1], found[2], found[3]
+            if found := _TAG_START.match(page, at):
+                end = self._end(found.end())
+                end = end if end >= 0 else page.index(">", at)
+                return at, end + 1, found[1], found[2], page[found.end() : end]
+            at += 1
+        return None
+
+    def element_end(self, tag: str, start: int, end: int) -> int:
+        """Place behind the element that starts here; behind its start tag if it is never closed.
+
+        Elements of one kind may be nested. Scripts and styles hold no markup and, unclosed, take the rest of the page.
+        """
+        if tag in RAW_TAGS:
+            stop = re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(self.page, end, self.last[">"] + 1)
+            return stop.end() if stop else len(self.page)
+        if tag not in self._elements:
+            self._elements[tag], held = {}, []
+            for found in re.compile(rf"<(/?){tag}\b([^>]*)>", re.IGNORECASE).finditer(self.page, 0, self.last[">"] + 1):
+                if not found[1]:
+                    if not found[2].endswith("/"):
+                        held.append(found.start())
+                elif held:
+                    self._elements[tag][held.pop()] = found.end()
+        return max(end, self._elements[tag].get(start, end))
+
+    def body_after(self, at: int) -> int:
+        """Place of the next start of a body, -1 if there is none."""
+        if self._body is None or 0 <= self._body < at:
+            found = _BODY.search(self.page, at)
+            self._body = found.start() if found else -1
+        return self._body
+
+
+class _Stack:
+    """Open elements, with the places of each kind, so that an end tag finds its element at once."""
+
+    def __init__(self) -> None:
+        self.items = [_Open("", frozenset(), 0)]
+        self._at: dict[str, list[int]] = {}
+        self._scopes = [0]
+
+    def push(self, item: _Open) -> None:
+        self._at.setdefault(item.tag, []).append(len(self.items))
+        if item.tag in SCOPES:
+            self._scopes.append(len(self.items))
+        self.items.append(item)
+
+    def cut(self, level: int) -> None:
+        while len(self.items) > level:
+            tag = self.items.pop().tag
+            self._at[tag].pop()
+            if tag in SCOPES:
+                self._scopes.pop()
+
+    def end(self, tag: str) -> None:
+        """Close the innermost element of this kind; a list item or cell only inside its list or table."""
+        if (places := self._at.get(tag)) and not (tag in CLOSED_BY and self._scopes[-1] > places[-1]):
+            self.cut(places[-1])
+
+
 def read_blocks(page: str) -> list[Block]:
     """Leaf blocks in page order, references decoded, white space runs one space, empty blocks left out.
 
@@ -88,7 +199,7 @@ def read_blocks(page: str) -> list[Block]:
     that starts no markup is text. Scripts, styles and the head are not read.
     """
     blocks: list[Block] = []
-    stack = [_Open("", frozenset(), 0)]
+    stack = _Stack()
     opened = 0
     segments: list[str] = []
     linked, link_level = 0, 0
@@ -99,8 +210,8 @@ def read_blocks(page: str) -> list[Block]:
             text = " ".join("".join(segments).split())
             segments.clear()
             if text:
-                top = stack[-1]
-                parent = stack[-2].number if len(stack) > 1 else 0
+                top = stack.items[-1]
+                parent = stack.items[-2].number if len(stack.items) > 1 else 0
                 blocks.append(Block(text, top.tag, top.around, linked, parent if top.tag in ("p", "li", "td") else top.number))
         linked = 0
 
@@ -114,44 +225,31 @@ def read_blocks(page: str) -> list[Block]:
 
     def close(tags: tuple[str, ...]) -> None:
         """Close open elements of these kinds, but none beyond the element that may hold them."""
-        while stack[-1].tag in tags:
-            stack.pop()
-
-    at, size = 0, len(page)
-    while at < size:
-        found = _MARKUP.search(page, at)
-        if found is None:
-            add(page[at:])
-            break
-        add(page[at : found.start()])
-        at = found.end()
-        end, name, attributes = (found[1], found[2], found[3]) if found[2] else (found[4], found[5], found[6])
-        if name is None:
+        while stack.items[-1].tag in tags:
+            stack.cut(len(stack.items) - 1)
+
+    markup, at = _Markup(page), 0
+    while found := markup.next(at):
+        start, end, slash, name, attributes = found
+        add(page[at:start])
+        at = end
+        if not name:
             continue
         tag = name.lower()
-        if tag in UNREAD_TAGS and not end:
-            if not attributes.endswith("/") or tag not in ("svg", "math"):
-                stop = re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(page, at)
-                if tag == "head" and stop is None:
-                    stop = re.compile(r"(?=<body\b)", re.IGNORECASE).search(page, at)
-                    at = stop.start() if stop else at
-                else:
-                    at = stop.end() if stop else size
-            continue
-        if tag == "br":
+        if tag in UNREAD_TAGS:
+            if not slash and not (attributes.endswith("/") and tag not in RAW_TAGS):
+                at = markup.element_end(tag, start, end)
+                if tag == "head" and at == end:
+                    at = max(end, markup.body_after(end))
+        elif tag == "br":
             segments.append(" ")
         elif tag == "a":
-            link_level = 0 if end else len(stack)
+            link_level = 0 if slash else len(stack.items)
         elif tag in BLOCK_TAGS:
             flush()
-            if end:
-                for level in range(len(stack) - 1, 0, -1):
-                    if stack[level].tag == tag:
-                        del stack[level:]
-                        break
-                    if tag in CLOSED_BY and stack[level].tag in SCOPES:
-                        break
-                if link_level > len(stack):
+            if slash:
+                stack.end(tag)
+                if link_level > len(stack.items):
                     link_level = 0
             else:
                 if tag not in ("button", "ins"):
@@ -159,6 +257,7 @@ def read_blocks(page: str) -> list[Block]:
                 close(CLOSED_BY.get(tag, ()))
                 if tag not in VOID_TAGS:
                     opened += 1
-                    stack.append(_Open(tag, _features(tag, attributes, stack[-1].around), opened))
+                    stack.push(_Open(tag, _features(tag, attributes, stack.items[-1].around), opened))
+    add(page[at:])
     flush()
     return blocks
