@@ -9,7 +9,7 @@ from tidemark import schemas
 from tidemark.operators import checks
 from tidemark.operators.features import feature_table
 from tidemark.plans import jobs, views
-from tidemark.sources import files, tables
+from tidemark.sources import files, table_set
 from tidemark.sources.star_tables import AS_OF, planted_label
 
 
@@ -23,11 +23,15 @@ def raw_files(star, folder, **changes):
         files.write_csv(df.select(columns), f"{folder}/{name}.csv")
 
 
+def published(spark, folder, **schema):
+    return table_set.read_tables(spark, str(folder), schema)[next(iter(schema))]
+
+
 def test_load_job(spark, star, tmp_path):
     raw_files(star, tmp_path / "raw")
     counts = {r.table_name: r.n_rows for r in jobs.load_job(spark, str(tmp_path / "raw"), str(tmp_path / "db")).collect()}
     assert counts["customers"] == 150 and set(counts) == set(schemas.RAW_TABLES)
-    assert tables.read_table(spark, str(tmp_path / "db" / "ml_predictions"), schemas.PREDICTIONS).count() == 0
+    assert published(spark, tmp_path / "db", ml_predictions=schemas.PREDICTIONS).count() == 0
     opened = jobs.open_tables(spark, str(tmp_path / "db"))
     assert opened["subscriptions"].schema == schemas.SUBSCRIPTIONS
     total = opened["transactions"].agg(F.sum("amount")).first()[0]
@@ -42,7 +46,8 @@ def test_failed_load_keeps_the_former_tables(spark, star, tmp_path):
     with pytest.raises(checks.CheckFailed, match="subscriptions.customer_id: reference"):
         jobs.load_job(spark, str(tmp_path / "bad"), db)
     assert jobs.open_tables(spark, db)["customers"].count() == 150
-    assert {p.name for p in (tmp_path / "db" / "customers").iterdir()} == {"version=000001"}
+    stored = {t: {p.name for p in (tmp_path / "db" / t).iterdir()} for t in schemas.RAW_TABLES}
+    assert all(len(folders) == 1 for folders in stored.values())
     raw_files(star, tmp_path / "broken")
     for check in (tmp_path / "broken" / "churn_events.csv").glob(".*.crc"):
         check.unlink()
@@ -50,7 +55,11 @@ def test_failed_load_keeps_the_former_tables(spark, star, tmp_path):
         part.write_text(part.read_text().replace(",1,", ",1.5,"))
     with pytest.raises(Exception, match="is no whole number"):
         jobs.load_job(spark, str(tmp_path / "broken"), db)
-    assert all({p.name for p in (tmp_path / "db" / t).iterdir()} == {"version=000001"} for t in schemas.RAW_TABLES)
+    assert stored == {t: {p.name for p in (tmp_path / "db" / t).iterdir()} for t in schemas.RAW_TABLES}
+    raw_files(star, tmp_path / "more", support_tickets=lambda df: df.limit(5))
+    jobs.load_job(spark, str(tmp_path / "more"), db)
+    assert jobs.open_tables(spark, db)["support_tickets"].count() == 5
+    assert jobs.open_tables(spark, db, set_number=1)["support_tickets"].count() > 5
 
 
 def test_model_publish_and_report(spark, star, tmp_path):
@@ -78,17 +87,20 @@ def test_model_publish_and_report(spark, star, tmp_path):
     assert sorted(map(tuple, again.select(columns).collect())) == sorted(map(tuple, run.scored.select(columns).collect()))
     jobs.publish_job(again, str(tmp_path / "again"), dt.datetime(2001, 8, 2), saved.metadata["model_version"] + "-x")
     kind = schemas.with_key_type(schemas.PREDICTIONS, schemas.T.LongType())
-    assert tables.read_table(spark, str(tmp_path / "again" / "ml_predictions"), kind).first().model_version == "v1.0-x"
+    assert published(spark, tmp_path / "again", ml_predictions=kind).first().model_version == "v1.0-x"
 
     when = dt.datetime(2001, 8, 1, 12)
     _, snapshot_path = jobs.publish_job(run.scored, str(tmp_path / "out"), when)
     kept = schemas.with_key_type(schemas.FEATURES_SCORED, schemas.T.LongType())
-    kept = tables.read_table(spark, str(tmp_path / "out" / "features_scored"), kept)
+    kept = published(spark, tmp_path / "out", features_scored=kept)
     assert kept.where("predicted_clv IS NULL OR segment_label IS NULL OR churned IS NULL").count() == 0
     comparison = files.read_csv(spark, str(tmp_path / "models" / "model_comparison.csv"), schemas.MODEL_COMPARISON)
     assert sorted(map(tuple, comparison.collect())) == sorted(map(tuple, table))
     text_key = schemas.with_key_type(schemas.PREDICTIONS, schemas.T.LongType())
-    predictions = tables.read_table(spark, str(tmp_path / "out" / "ml_predictions"), text_key)
+    predictions = published(spark, tmp_path / "out", ml_predictions=text_key)
+    with pytest.raises(table_set.SetConflict):  # the customers that were scored have been replaced since
+        jobs.publish_job(run.scored, str(tmp_path / "out"), when, before=table_set.TableSet())
+    assert published(spark, tmp_path / "out", ml_predictions=text_key).count() == 150
     assert predictions.count() == 150 and predictions.first().scored_at == when
     snapshot = files.read_csv(spark, snapshot_path, schemas.with_key_type(schemas.SNAPSHOT, schemas.T.LongType()))
     assert snapshot.where("segment_label IS NULL").count() == 0

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Keys, required columns and references of the domain tables.
 PRIMARY_KEYS = {
@@ -89,19 +89,74 @@ def null_report(tables: dict[str, DataFrame]) -> DataFrame:
     return _union([null_check(df, name, REQUIRED_COLUMNS[name]) for name, df in tables.items()])
 
 
+def table_checks(df: DataFrame, table: str, key: str, required: tuple[str, ...] | list[str]) -> DataFrame:
+    """Rows, surplus rows per key and NULLs of a table in one scan and one shuffle of its keys.
+
+    NULLs are counted along with the rows of each key, so a key with very many rows crosses the shuffle once per task.
+    """
+    found = df.groupBy(key).agg(
+        F.count("*").alias("_n"), *[F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(required)]
+    )
+
+    def total(column: Column) -> Column:
+        return F.coalesce(F.sum(column), F.lit(0)).cast("bigint")
+
+    checked = [("primary_key", key, total(F.col("_n") - 1))]
+    checked += [("not_null", c, total(F.col(f"_null_{i}"))) for i, c in enumerate(required)]
+    rows = [
+        F.struct(F.lit(check).alias("check_name"), F.lit(column).alias("column_name"), bad.alias("n_bad"))
+        for check, column, bad in checked
+    ]
+    return found.agg(total(F.col("_n")).alias("n_rows"), F.array(*rows).alias("_found")).select(
+        F.lit(table).alias("table_name"), F.inline("_found"), "n_rows"
+    )
+
+
+def _references_to(parent: str, tables: dict[str, DataFrame], wanted: list[tuple[str, str]]) -> DataFrame:
+    """All references to one parent, whose keys are read once; every child is reduced to its keys first."""
+    keys = []
+    for child, column in wanted:
+        tag = [F.lit(child).alias("table_name"), F.lit(column).alias("column_name")]
+        rows = tables[child].groupBy(F.col(column).alias("_key")).agg(F.count("*").alias("n"))
+        nothing = rows.sparkSession.range(1).select(*tag, F.lit(None).alias("_key"), F.lit(0).cast("bigint").alias("n"))
+        keys += [rows.select(*tag, "_key", "n"), nothing]  # a child without rows is reported as well
+    known = tables[parent].select(F.col(wanted[0][1]).alias("_key")).distinct()
+    # left, not anti: the join also tells how many rows a child has
+    flagged = _union(keys).join(known.withColumn("_known", F.lit(1)), "_key", "left")
+    return flagged.groupBy("table_name", "column_name").agg(
+        F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("n_bad"),
+        F.sum("n").alias("n_rows"),
+    ).select("table_name", F.lit("reference").alias("check_name"), "column_name", "n_bad", "n_rows")
+
+
 def reference_report(tables: dict[str, DataFrame], declared: bool = True) -> DataFrame:
-    """Reference checks of the load, with `declared` also those that only the schema states."""
-    wanted = LOADED_REFERENCES + (DECLARED_REFERENCES if declared else ())
-    return _union([
-        reference_check(tables[child], child, column, tables[parent])
-        for child, column, parent in wanted
-        if child in tables
-    ])
+    """Reference checks of the load, with `declared` also those that only the schema states.
+
+    Parents are read once each, however many tables refer to them.
+    """
+    return _reference_rows(tables, declared).drop("n_rows")
+
+
+def _reference_rows(tables: dict[str, DataFrame], declared: bool) -> DataFrame:
+    wanted: dict[tuple[str, str], list[tuple[str, str]]] = {}
+    for child, column, parent in LOADED_REFERENCES + (DECLARED_REFERENCES if declared else ()):
+        if child in tables:
+            wanted.setdefault((parent, column), []).append((child, column))
+    return _union([_references_to(parent, tables, children) for (parent, _), children in wanted.items()])
 
 
 def load_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """Everything the load insists on."""
-    return _union([key_report(tables), null_report(tables), reference_report(tables, declared=False)])
+    """Everything the load insists on, with the rows of each table: no table is scanned more than twice.
+
+    One scan counts rows, NULLs and surplus keys, the other the references, as child or as parent.
+    """
+    own = [table_checks(df, name, PRIMARY_KEYS[name], REQUIRED_COLUMNS[name]) for name, df in tables.items()]
+    return _union([*own, _reference_rows(tables, declared=False)])
+
+
+def counted_rows(report: DataFrame) -> DataFrame:
+    """Rows per table, from a `load_report`."""
+    return report.where(F.col("check_name") == "primary_key").select("table_name", "n_rows")
 
 
 class CheckFailed(ValueError):

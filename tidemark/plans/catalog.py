@@ -21,7 +21,7 @@ from tidemark.operators import (
 )
 from tidemark.plans import jobs, views
 from tidemark.session import new_path, stage_table
-from tidemark.sources import files, tables
+from tidemark.sources import files, table_set, tables
 from tidemark.sources.star_tables import AS_OF, SCORECARD_WEIGHTS, StarTables, planted_label
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,6 +132,31 @@ def _(t: StarTables) -> DataFrame:
     )
 
 
+@query("table_set_replace")
+def _(t: StarTables) -> DataFrame:
+    """Totals of five tables that are published together twice, read from the first set and from the second."""
+    root = new_path(t.spark, "database")
+    raw = t.all_tables()
+    first = table_set.replace_tables(t.spark, root, raw)
+    schema_of = {name: df.schema for name, df in raw.items()}
+    opened = table_set.read_tables(t.spark, root, schema_of, first)
+    ended = opened["subscriptions"].where("is_active = 0").select("customer_id").distinct()
+    second = table_set.replace_tables(
+        t.spark, root, {name: opened[name].join(ended, "customer_id", "left_semi") for name in ("customers", "transactions")}
+    )
+    amounts = {"subscriptions": "monthly_charges", "transactions": "amount"}
+    parts = [
+        df.agg(
+            F.count("*").alias("n_rows"),
+            F.coalesce(F.sum(amounts[name]), F.lit(0)).cast("double").alias("amount") if name in amounts
+            else F.lit(0.0).alias("amount"),
+        ).select(F.lit(of.number).alias("set_number"), F.lit(name).alias("table_name"), "*")
+        for of in (first, second)
+        for name, df in table_set.read_tables(t.spark, root, schema_of, of).items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("named_views")
 def _(t: StarTables) -> DataFrame:
     names = views.register_views(t.all_tables(), prediction_rows(t), AS_OF)
@@ -158,6 +183,12 @@ def _(t: StarTables) -> DataFrame:
     return checks.reference_report({**t.all_tables(), "predictions": prediction_rows(t)})
 
 
+@query("load_checks")
+def _(t: StarTables) -> DataFrame:
+    """Everything the load insists on, in one report with the rows of each table."""
+    return checks.load_report(t.all_tables())
+
+
 @query("row_counts")
 def _(t: StarTables) -> DataFrame:
     return checks.row_counts(t.all_tables())

@@ -14,36 +14,36 @@ from tidemark.operators.evaluation import best_model, roc_points
 from tidemark.operators.features import CATEGORICAL, NUMERIC, feature_table, overall_churn_rate
 from tidemark.schemas import PREDICTIONS, RAW_TABLES, SEGMENT_ORDER
 from tidemark.session import stage_table
-from tidemark.sources import files, tables
+from tidemark.sources import files, table_set
+
+
+#: Tables that follow from the raw ones; a load empties them.
+DERIVED_TABLES = {"ml_predictions": PREDICTIONS}
 
 
 def load_job(spark: SparkSession, raw_folder: str, table_folder: str) -> DataFrame:
     """Read the five CSV tables, stop on any failed check, replace the stored tables; returns row counts.
 
-    The CSV is parsed once, into unpublished versions of the tables; the checks read those. Parents
-    are published before children, each in one step for its readers. Predictions about the former
-    customers are replaced by an empty table.
+    The CSV is parsed once, into folders that no reader sees; the checks read those, each at most twice. All tables are
+    published in one step, together with an empty table of predictions, as the former ones are about former customers.
+    A reader sees either the former tables or the new ones. A failed load, and one that another load overtook, leaves
+    nothing behind.
     """
-    paths = {name: tables.next_version(spark, f"{table_folder}/{name}") for name in RAW_TABLES}
-    try:
-        for name, schema in RAW_TABLES.items():
-            files.read_csv(spark, f"{raw_folder}/{name}.csv", schema).write.mode("errorifexists").parquet(paths[name])
-        written = {name: spark.read.schema(RAW_TABLES[name]).parquet(path) for name, path in paths.items()}
-        checks.enforce(checks.load_report(written))
-    except BaseException:
-        for path in paths.values():
-            tables.drop_version(spark, path)
-        raise
-    for path in paths.values():
-        tables.publish_version(spark, path)
-    tables.replace_table(spark.createDataFrame([], PREDICTIONS), f"{table_folder}/ml_predictions")
-    return checks.row_counts(open_tables(spark, table_folder))
-
-
-def open_tables(spark: SparkSession, table_folder: str) -> dict[str, DataFrame]:
-    return {
-        name: tables.read_table(spark, f"{table_folder}/{name}", schema) for name, schema in RAW_TABLES.items()
-    }
+    with table_set.replacing(spark, table_folder) as writer:
+        written = {
+            name: writer.write(name, files.read_csv(spark, f"{raw_folder}/{name}.csv", schema))
+            for name, schema in RAW_TABLES.items()
+        }
+        report = stage_table(checks.load_report(written), "checks")
+        checks.enforce(report)
+        for name, schema in DERIVED_TABLES.items():
+            writer.write(name, spark.createDataFrame([], schema))
+    return checks.counted_rows(report)
+
+
+def open_tables(spark: SparkSession, table_folder: str, set_number: int | None = None) -> dict[str, DataFrame]:
+    """The raw tables of the newest set, or of the one with that number."""
+    return table_set.read_tables(spark, table_folder, RAW_TABLES, table_set.read_set(spark, table_folder, set_number))
 
 
 def features_job(opened: dict[str, DataFrame], path: str) -> DataFrame:
@@ -160,19 +160,26 @@ def profile_job(saved: SavedModel, profiles: DataFrame, key: str = "profile_id")
 
 
 def publish_job(
-    scored: DataFrame, table_folder: str, scored_at: dt.datetime, model_version: str = scoring.MODEL_VERSION
+    scored: DataFrame,
+    table_folder: str,
+    scored_at: dt.datetime,
+    model_version: str = scoring.MODEL_VERSION,
+    before: table_set.TableSet | None = None,
 ) -> tuple[str, str]:
-    """Replace the tables of scored features and predictions, and write the snapshot as CSV.
+    """Replace the tables of scored features and predictions in one step, and write the snapshot as CSV.
 
-    The snapshot gets a new folder per run. Returns the paths of predictions and snapshot.
+    The tables belong to the set that a load publishes. `before` is the set whose customers were scored; a load since
+    then makes this fail (`SetConflict`), as the scores are about former customers. The snapshot gets a new folder per
+    run. Returns the paths of predictions and snapshot.
     """
-    tables.replace_table(scored, f"{table_folder}/features_scored")
-    predictions = tables.replace_table(
-        scoring.prediction_table(scored, scored_at, model_version), f"{table_folder}/ml_predictions"
-    )
+    spark = scored.sparkSession
+    published = table_set.replace_tables(spark, table_folder, {
+        "features_scored": scored,
+        "ml_predictions": scoring.prediction_table(scored, scored_at, model_version),
+    }, before)
     path = f"{table_folder}/snapshot_{scored_at:%Y%m%d%H%M%S}.csv"
     files.write_csv(scoring.snapshot(scored), path)
-    return predictions, path
+    return f"{table_folder}/{published.folders['ml_predictions']}", path
 
 
 def report_lines(features: DataFrame) -> list[str]:

@@ -179,6 +179,17 @@ twin("table_replace", f"""
 SELECT contract_type, count(*) AS n_rows, {num("sum(monthly_charges)", "monthly_charges")}
 FROM subscriptions WHERE is_active = 1 GROUP BY contract_type""")
 
+_ENDED = "WHERE customer_id IN (SELECT customer_id FROM subscriptions WHERE is_active = 0)"
+twin("table_set_replace", "\nUNION ALL\n".join(
+    f"SELECT {number} AS set_number, '{table}' AS table_name, count(*) AS n_rows, "
+    f"{num(f'coalesce(sum({amount}), 0)', 'amount')} FROM {table} {_ENDED if number == 2 and table in ('customers', 'transactions') else ''}"
+    for number in (1, 2)
+    for table, amount in {
+        "customers": "0", "subscriptions": "monthly_charges", "transactions": "amount", "support_tickets": "0",
+        "churn_events": "0",
+    }.items()
+))
+
 # --- data checks
 
 _KEYS = {
@@ -193,18 +204,36 @@ twin("pk_check", "\nUNION ALL\n".join(
     f"count(*) - count(DISTINCT {key}) AS n_bad FROM {table}"
     for table, key in _KEYS.items()
 ))
+_REQUIRED = {
+    "customers": ("customer_id", "signup_date"),
+    "subscriptions": ("customer_id", "monthly_charges", "tenure_months"),
+    "transactions": ("customer_id", "subscription_id", "amount"),
+    "support_tickets": ("customer_id", "opened_date"),
+    "churn_events": ("customer_id", "churn_date"),
+}
 twin("null_check", "\nUNION ALL\n".join(
     f"SELECT '{table}' AS table_name, 'not_null' AS check_name, '{column}' AS column_name, "
     f"count(*) - count({column}) AS n_bad FROM {table}"
-    for table, columns in {
-        "customers": ("customer_id", "signup_date"),
-        "subscriptions": ("customer_id", "monthly_charges", "tenure_months"),
-        "transactions": ("customer_id", "subscription_id", "amount"),
-        "support_tickets": ("customer_id", "opened_date"),
-        "churn_events": ("customer_id", "churn_date"),
-    }.items()
+    for table, columns in _REQUIRED.items()
     for column in columns
 ))
+twin("load_checks", "\nUNION ALL\n".join([
+    *[
+        f"SELECT '{table}' AS table_name, 'primary_key' AS check_name, '{key}' AS column_name, "
+        f"count(*) - count(DISTINCT {key}) AS n_bad, count(*) AS n_rows FROM {table}"
+        for table, key in _KEYS.items()
+    ],
+    *[
+        f"SELECT '{table}', 'not_null', '{column}', count(*) FILTER ({column} IS NULL), count(*) FROM {table}"
+        for table, columns in _REQUIRED.items()
+        for column in columns
+    ],
+    *[
+        f"SELECT '{child}', 'reference', 'customer_id', "
+        f"count(*) FILTER (customer_id IS NULL OR customer_id NOT IN (SELECT customer_id FROM customers)), count(*) FROM {child}"
+        for child in ("subscriptions", "transactions", "churn_events")
+    ],
+]))
 twin("fk_check", "\nUNION ALL\n".join(
     f"SELECT '{name}' AS table_name, 'reference' AS check_name, '{column}' AS column_name, "
     f"count(*) AS n_bad FROM {child} c WHERE NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{column} = c.{column})"

@@ -18,7 +18,7 @@ def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
     df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
 
 
-def _open(spark: SparkSession, path: str, *below: str) -> tuple[JavaObject, JavaObject]:
+def open_path(spark: SparkSession, path: str, *below: str) -> tuple[JavaObject, JavaObject]:
     """Hadoop path and its file system."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     target = hadoop.Path(path)
@@ -29,14 +29,14 @@ def _open(spark: SparkSession, path: str, *below: str) -> tuple[JavaObject, Java
 
 def _versions(spark: SparkSession, root: str) -> dict[int, bool]:
     """Version number -> published, for every version folder under `root`."""
-    folder, files = _open(spark, root)
+    folder, files = open_path(spark, root)
     if not files.exists(folder):
         return {}
     found = {}
     for status in files.listStatus(folder):
         name = status.getPath().getName()
         if status.isDirectory() and name.startswith("version="):
-            found[int(name.split("=", 1)[1])] = files.exists(_open(spark, root, name, MARKER)[0])
+            found[int(name.split("=", 1)[1])] = files.exists(open_path(spark, root, name, MARKER)[0])
     return found
 
 
@@ -54,13 +54,13 @@ def write_version(df: DataFrame, root: str) -> str:
 
 def publish_version(spark: SparkSession, path: str) -> None:
     """Make a written version the current one, by one small file."""
-    marker, files = _open(spark, path, MARKER)
+    marker, files = open_path(spark, path, MARKER)
     files.create(marker).close()
 
 
 def drop_version(spark: SparkSession, path: str) -> None:
     """Delete a version that will not be published."""
-    folder, files = _open(spark, path)
+    folder, files = open_path(spark, path)
     files.delete(folder, True)
 
 
