@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -67,21 +68,21 @@ def test_model_publish_and_report(spark, star, tmp_path):
     run = jobs.model_job(features, str(tmp_path / "models"), ("logistic_regression", "random_forest"), trees=5, restarts=2)
     table = run.comparison.collect()
     assert run.best_name == table[0].model and len(table) == 2
-    assert files.read_metadata(spark, str(tmp_path / "models" / "metadata"))["best_model"] == run.best_name
+    assert files.read_metadata(spark, f"{run.folder}/metadata")["best_model"] == run.best_name
     assert run.scored.count() == 150 and run.lifetime_error.count() == 1
-    left = {p.name for p in (tmp_path / "models").iterdir()}
+    left = {p.name for p in Path(run.folder).iterdir()}
     assert left == {
         "churn", "lifetime", "segments", "segment_order", "metadata", "background", "model_comparison.csv", "roc_points.csv",
         "drivers.csv", "feature_names.csv",
     }
-    curves = spark.read.option("header", True).csv(str(tmp_path / "models" / "roc_points.csv"))
+    curves = spark.read.option("header", True).csv(f"{run.folder}/roc_points.csv")
     assert {r.model for r in curves.select("model").distinct().collect()} == {"logistic_regression", "random_forest"}
 
     saved = jobs.open_model(spark, str(tmp_path / "models"))
     profiles = features.withColumnRenamed("customer_id", "profile_id").where("profile_id < 5")
     scores, reasons = jobs.profile_job(saved, profiles)
     assert scores.count() == 5
-    assert reasons.select("profile_id").distinct().count() == (5 if run.best_name == "logistic_regression" else 0)
+    assert reasons.select("profile_id").distinct().count() == 5
     again = jobs.score_job(saved, features)
     columns = ["customer_id", "churn_probability", "risk_tier", "predicted_clv", "segment_cluster"]
     assert sorted(map(tuple, again.select(columns).collect())) == sorted(map(tuple, run.scored.select(columns).collect()))
@@ -94,7 +95,7 @@ def test_model_publish_and_report(spark, star, tmp_path):
     kept = schemas.with_key_type(schemas.FEATURES_SCORED, schemas.T.LongType())
     kept = published(spark, tmp_path / "out", features_scored=kept)
     assert kept.where("predicted_clv IS NULL OR segment_label IS NULL OR churned IS NULL").count() == 0
-    comparison = files.read_csv(spark, str(tmp_path / "models" / "model_comparison.csv"), schemas.MODEL_COMPARISON)
+    comparison = files.read_csv(spark, f"{run.folder}/model_comparison.csv", schemas.MODEL_COMPARISON)
     assert sorted(map(tuple, comparison.collect())) == sorted(map(tuple, table))
     text_key = schemas.with_key_type(schemas.PREDICTIONS, schemas.T.LongType())
     predictions = published(spark, tmp_path / "out", ml_predictions=text_key)
@@ -115,6 +116,29 @@ def test_model_publish_and_report(spark, star, tmp_path):
     assert "  tech_supportNo internet service: NA (SE NA, z NA, p NA)" in lines
 
 
+def test_versions_of_models_are_kept(spark, star, tmp_path):
+    features = planted_label(feature_table(star.customers, star.subscriptions, star.support_tickets))
+    folder = str(tmp_path / "models")
+    with pytest.raises(FileNotFoundError, match="no model version"):
+        jobs.open_model(spark, folder)
+
+    def run(version, label):
+        rows = features.withColumn("churned", F.expr(label))
+        return jobs.model_job(rows, folder, ("logistic_regression",), trees=2, restarts=1, model_version=version)
+
+    first, second = run("a", "churned"), run("b", "1 - churned")
+    listed = {r.model_version: r.is_current for r in jobs.model_versions(spark, folder).collect()}
+    assert listed == {"a": 0, "b": 1}
+    columns = ["customer_id", "churn_probability", "segment_cluster"]
+    for version, found in (("a", first), ("b", second), (None, second)):
+        again = jobs.score_job(jobs.open_model(spark, folder, version), found.scored.select(features.columns))
+        assert sorted(map(tuple, again.select(columns).collect())) == sorted(map(tuple, found.scored.select(columns).collect()))
+    with pytest.raises(ValueError, match="no label"):
+        run("c", "cast(null as int)")
+    assert {r.model_version for r in jobs.model_versions(spark, folder).collect()} == {"a", "b"}
+    assert not (tmp_path / "models" / "version=c").exists()
+
+
 def test_features_job(spark, star, tmp_path):
     rate = jobs.features_job(star.all_tables(), str(tmp_path / "features.csv")).first()
     assert rate.n_rows == 150

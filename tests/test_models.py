@@ -169,7 +169,53 @@ def test_profiles_are_scored_by_a_tree_model(spark, parts):
     profiles = parts[1].withColumnRenamed("customer_id", "profile_id")
     scored, reasons = scoring.score_profiles(forest, profiles, parts[1])
     assert scored.where("churn_probability is null or risk_tier is null").count() == 0
-    assert scored.where("base_logit is not null").count() == 0 and reasons.collect() == []
+    assert scored.where("base_logit is not null or score_scale <> 'probability'").count() == 0
+    assert reasons.select("profile_id").distinct().count() == profiles.count()
+
+
+def walked(tree, x, value):
+    """Contributions of one tree by walking its nodes through the JVM."""
+    node, out = tree._call_java("rootNode"), {}
+    while node.subtreeDepth() > 0:
+        split = node.split()
+        slot = split.featureIndex()
+        if hasattr(split, "threshold") and "Continuous" in split.getClass().getName():
+            left = x[slot] <= split.threshold()
+        else:
+            left = x[slot] in list(split.leftCategories())
+        below = node.leftChild() if left else node.rightChild()
+        out[slot] = out.get(slot, 0.0) + value(below) - value(node)
+        node = below
+    return out
+
+
+@pytest.mark.parametrize("name", ["random_forest", "boosted_trees"])
+def test_tree_contributions_add_up_and_equal_a_walk_through_the_trees(spark, parts, name):
+    model = models.fit_classifier(parts[0], name, trees=6)
+    rows = parts[1].limit(12)
+    long_form, base, scale = explain.tree_contributions(model, rows)
+    found = {}
+    for r in long_form.collect():
+        found.setdefault(r.customer_id, {})[r.feature] = r.contribution
+    names, last = models.feature_names(model), model.stages[-1]
+
+    def share(node):
+        stats = list(node.impurityStats().stats())
+        return stats[1] / sum(stats) / last.getNumTrees
+
+    encoded = model.transform(rows).select("customer_id", "features", "probability").collect()
+    assert len(found) == len(encoded) == 12
+    for r in encoded:
+        x, p = r.features.toArray(), r.probability[1]
+        expected = dict.fromkeys(names, 0.0)
+        for tree, weight in zip(last.trees, last.treeWeights):
+            value = share if name == "random_forest" else lambda node, w=weight: 2 * w * node.prediction()
+            for slot, change in walked(tree, x, value).items():
+                expected[names[slot]] += change
+        assert found[r.customer_id] == pytest.approx(expected, abs=1e-9)
+        score = p if scale == explain.PROBABILITY else np.log(p / (1 - p))
+        assert base + sum(expected.values()) == pytest.approx(score, abs=1e-6)
+    assert scale == (explain.PROBABILITY if name == "random_forest" else explain.LOGIT)
 
 
 @pytest.mark.parametrize("name", ["random_forest", "boosted_trees"])

@@ -74,6 +74,20 @@ def test_hot_keys_are_divided_exactly(spark, labelled):
         assert split.groupBy().agg(F.count("*"), F.count_if("is_test")).first() == (600, 120)
 
 
+def test_rows_of_a_divided_key_do_not_depend_on_their_places(spark):
+    """Half of the rows on one key, a third of those equal: the same test rows from 1 and from 7 partitions."""
+    key = F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id"))
+    content = F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id"))
+    df = spark.range(900).select(key.alias("id"), content.alias("v"), F.lit(1).alias("y"))
+    for seed in range(4):
+        sides = []
+        for n in (1, 7):
+            rows = stage_table(df.repartition(n, F.rand(seed)), "layout")
+            split = splits.exact_split(rows, "id", "y", seed=seed)
+            sides.append(sorted(split.where("is_test").collect(), key=str))
+        assert sides[0] == sides[1] and len(sides[0]) == 180
+
+
 def test_empty_split(spark):
     assert splits.exact_split(spark.range(0), "id").count() == 0
 

@@ -1,21 +1,28 @@
-"""Why a score is what it is: contributions of a linear model, and rankings of the drivers."""
+"""Why a score is what it is: additive contributions of linear and tree models, and rankings of the drivers."""
 
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.classification import (
+    GBTClassificationModel, LogisticRegressionModel, RandomForestClassificationModel,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.operators.models import feature_names
+from tidemark.session import new_path
 
 #: What the usual chart of drivers shows.
 TOP_DRIVERS = 15
 
 
+#: What base and contributions add up to: the logit of the probability, or the probability itself.
+LOGIT, PROBABILITY = "logit", "probability"
+
+
 def is_linear(model: PipelineModel) -> bool:
-    """Whether scores of the pipeline can be split into contributions."""
+    """Whether the pipeline ends in a logistic regression."""
     return isinstance(model.stages[-1], LogisticRegressionModel)
 
 
@@ -39,7 +46,7 @@ def linear_parts(model: PipelineModel) -> tuple[list[str], list[float], float]:
     """Feature names, weights and intercept of a pipeline that ends in a logistic regression."""
     last = model.stages[-1]
     if not isinstance(last, LogisticRegressionModel):
-        raise TypeError("contributions need a linear model; rank trees by tree_drivers")
+        raise TypeError("not a linear model; use additive_contributions")
     return feature_names(model), [float(w) for w in last.coefficients.toArray()], float(last.intercept)
 
 
@@ -58,6 +65,100 @@ def linear_contributions(
     return contributions(explained, key, F.col("_x"), names, weights, centre), base
 
 
+def _tree_nodes(model: PipelineModel) -> tuple[DataFrame, float, str]:
+    """(inner nodes of all trees, base, scale) of a pipeline that ends in a forest or in boosted trees.
+
+    A node's value is the score of the training rows that reach it, on the scale of the sum: for boosting the logit,
+    which is twice the weighted sum of the trees, for a forest the mean probability. An inner node tells by how much the
+    value changes on either side of its split. Nodes are read from the saved form of the model.
+    """
+    last = model.stages[-1]
+    if isinstance(last, GBTClassificationModel):
+        scale, value = LOGIT, F.col("nodeData.prediction")
+        weights = [2.0 * w for w in last.treeWeights]
+    elif isinstance(last, RandomForestClassificationModel):
+        stats = F.col("nodeData.impurityStats")
+        scale, value = PROBABILITY, F.get(stats, F.lit(1)) / F.aggregate(stats, F.lit(0.0), lambda a, x: a + x)
+        weights = [1.0 / last.getNumTrees] * last.getNumTrees
+    else:
+        raise TypeError(f"no contributions for {type(last).__name__}")
+    spark = SparkSession.getActiveSession()
+    path = new_path(spark, "trees")
+    last.write().overwrite().save(path)
+    weight = F.get(F.array(*[F.lit(w) for w in weights]), F.col("treeID"))
+    nodes = spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"), F.col("nodeData.id").alias("node"), (weight * value).alias("value"),
+        "nodeData.leftChild", "nodeData.rightChild", "nodeData.split.*",
+    )
+    base = nodes.where("node = 0").agg(F.sum("value")).first()[0]
+    values = nodes.select("tree", F.col("node").alias("child"), F.col("value").alias("child_value"))
+    inner = nodes.where("leftChild >= 0")
+    for side in ("left", "right"):
+        child = values.withColumnsRenamed({"child": f"{side}Child", "child_value": f"{side}_value"})
+        inner = inner.join(child, ["tree", f"{side}Child"])
+    return (
+        inner.select(
+            "tree", "node", F.col("featureIndex").alias("slot"),
+            F.col("leftCategoriesOrThreshold").alias("cut"), (F.col("numCategories") >= 0).alias("by_category"),
+            F.struct(F.col("leftChild").alias("node"), (F.col("left_value") - F.col("value")).alias("change")).alias("left"),
+            F.struct(F.col("rightChild").alias("node"), (F.col("right_value") - F.col("value")).alias("change")).alias("right"),
+        ),
+        base,
+        scale,
+    )
+
+
+def tree_contributions(
+    model: PipelineModel, rows: DataFrame, key: str = "customer_id"
+) -> tuple[DataFrame, float, str]:
+    """(contributions of every feature in long form, base, scale) of a forest or boosted trees.
+
+    Every split on a row's way through a tree is credited to its feature with the change of the node's value, so that
+    base plus all contributions is the row's score on that scale; the base is the mean of the training rows. A row walks
+    all trees at once, one level per join with the table of inner nodes, whose size is bounded by trees and depth. Pass
+    the rows to be explained and not a whole table; rows with a key that occurs twice would be added up.
+    """
+    inner, base, scale = _tree_nodes(model)
+    last = model.stages[-1]
+    encoded = model.transform(rows).select(key, vector_to_array("features").alias("_x"))
+    nothing = F.array().cast("array<struct<slot:int,change:double>>")
+    walk = encoded.select(
+        key, "_x", F.explode(F.sequence(F.lit(0), F.lit(last.getNumTrees - 1))).alias("tree"), F.lit(0).alias("node"),
+        nothing.alias("path"),
+    )
+    value = F.get("_x", F.col("slot"))
+    side = F.when(
+        F.when(F.col("by_category"), F.array_contains("cut", value)).otherwise(value <= F.get("cut", F.lit(0))), F.col("left")
+    ).otherwise(F.col("right"))
+    for _ in range(last.getOrDefault("maxDepth")):
+        met = walk.join(F.broadcast(inner), ["tree", "node"], "left").withColumn("_side", side)
+        step = F.array(F.struct("slot", F.col("_side.change").alias("change")))
+        walk = met.select(
+            key, "_x", "tree",
+            F.when(F.col("slot").isNull(), F.lit(-1)).otherwise(F.col("_side.node")).alias("node"),
+            F.when(F.col("slot").isNull(), F.col("path")).otherwise(F.concat("path", step)).alias("path"),
+        )
+    sums = (
+        walk.select(F.col(key).alias("_key"), F.inline("path")).groupBy("_key", "slot").agg(F.sum("change").alias("_change"))
+    )
+    names = F.array(*[F.lit(n) for n in feature_names(model)])
+    every = encoded.select(key, F.posexplode("_x").alias("_slot", "value"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slot") == F.col("slot"))
+    long_form = every.join(sums, same, "left").select(
+        key, F.get(names, F.col("_slot")).alias("feature"), "value", F.coalesce("_change", F.lit(0.0)).alias("contribution")
+    )
+    return long_form, base, scale
+
+
+def additive_contributions(
+    model: PipelineModel, rows: DataFrame, background: DataFrame, key: str = "customer_id"
+) -> tuple[DataFrame, float, str]:
+    """(contributions, base, scale) of any classifier; a linear one is compared with the mean of `background`."""
+    if is_linear(model):
+        return *linear_contributions(model, rows, background, key), LOGIT
+    return tree_contributions(model, rows, key)
+
+
 def driver_ranking(long_form: DataFrame, top: int | None = None) -> DataFrame:
     """Mean absolute contribution per feature, largest first; all features without `top`."""
     ranked = (

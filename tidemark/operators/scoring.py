@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions import rules
-from tidemark.operators.explain import is_linear, linear_contributions
+from tidemark.operators.explain import LOGIT, additive_contributions
 from tidemark.operators.models import with_probability
 
 MODEL_VERSION = "v1.0"
@@ -68,19 +68,15 @@ def score_profiles(
 ) -> tuple[DataFrame, DataFrame]:
     """What-if scoring of any frame of profiles: (probability and tier, contributions in long form).
 
-    Here the tier comes from the unrounded probability. `base_logit` plus the contributions of a
-    profile is the logit of its probability. A tree model scores as well, but has no contributions: the second frame
-    is empty then and `base_logit` NULL.
+    Here the tier comes from the unrounded probability. `base_value` plus the contributions of a profile is its score on
+    the scale named in `score_scale`: the logit of the probability, or for a forest the probability. `base_logit` is the
+    base where the scale is the logit, else NULL.
     """
-    if is_linear(model):
-        contributions, base = linear_contributions(model, profiles, background, key)
-    else:
-        kind = profiles.schema[key].dataType.simpleString()
-        contributions = profiles.sparkSession.createDataFrame(
-            [], f"`{key}` {kind}, feature string, value double, contribution double"
-        )
-        base = None
-    scored = with_probability(model, profiles).withColumns(
-        {"risk_tier": rules.risk_tier("churn_probability"), "base_logit": F.lit(base).cast("double")}
-    )
+    contributions, base, scale = additive_contributions(model, profiles, background, key)
+    scored = with_probability(model, profiles).withColumns({
+        "risk_tier": rules.risk_tier("churn_probability"),
+        "base_logit": F.lit(base if scale == LOGIT else None).cast("double"),
+        "base_value": F.lit(base).cast("double"),
+        "score_scale": F.lit(scale),
+    })
     return scored, contributions

@@ -34,13 +34,11 @@ def _test_quota(per_label: DataFrame, test_size: float) -> DataFrame:
     )
 
 
-def _cut_offs(hashed: DataFrame, test_size: float) -> list[Row]:
-    """Per label: `last_hash`, the last one that is taken whole, and the next hash with the rows still wanted of it."""
-    light = hashed.select("_label", "_hash", F.substring("_hash", 1, PREFIX_DIGITS).alias("_prefix")).where(
-        F.col("_label").isin(0, 1) & F.col("_hash").isNotNull()
-    )
-    per_prefix = light.groupBy("_label", "_prefix").agg(F.count("*").alias("n"))
-    quota = _test_quota(per_prefix.groupBy("_label").agg(F.sum("n").alias("n")), test_size)
+def _cut_offs(light: DataFrame, per_prefix: DataFrame, quota: DataFrame) -> list[Row]:
+    """Per label: `last_hash`, the last one that is taken whole, and the next hash with the rows still wanted of it.
+
+    `light` has label, hash and prefix of the rows, `per_prefix` their counts and `quota` the rows wanted per label.
+    """
     # At most 16 ** PREFIX_DIGITS rows per label.
     upto = Window.partitionBy("_label").orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
     last_prefix = (
@@ -68,8 +66,16 @@ def _cut_offs(hashed: DataFrame, test_size: float) -> list[Row]:
     )
 
 
-def _first_rows(rows: DataFrame, cut: Row) -> DataFrame:
-    """Rows of one hash with `is_test` for the first `take` of them, counted per partition and shifted.
+def _counted(hashed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(label, hash and prefix of the rows that a split deals out, their counts per label and prefix)."""
+    light = hashed.select("_label", "_hash", F.substring("_hash", 1, PREFIX_DIGITS).alias("_prefix")).where(
+        F.col("_label").isin(0, 1) & F.col("_hash").isNotNull()
+    )
+    return light, light.groupBy("_label", "_prefix").agg(F.count("*").alias("n"))
+
+
+def _first_rows(rows: DataFrame, take: int) -> DataFrame:
+    """Equal rows with `is_test` for the first `take` of them, counted per partition and shifted.
 
     The generated ids hold the partition in their upper bits and the row's number in it in the lower 33.
     """
@@ -80,7 +86,7 @@ def _first_rows(rows: DataFrame, cut: Row) -> DataFrame:
         .select("_part", (F.sum("n").over(Window.orderBy("_part")) - F.col("n")).alias("_before"))
     )
     place = F.col("_at").bitwiseAND((1 << 33) - 1) + 1 + F.col("_before")
-    return numbered.join(before, "_part").withColumn("is_test", place <= cut["take"])
+    return numbered.join(before, "_part").withColumn("is_test", place <= take)
 
 
 def exact_split(
@@ -93,26 +99,41 @@ def exact_split(
 ) -> DataFrame:
     """Add `is_test`; per 0/1 label the first rows in hash order form the test part, to the exact count.
 
+    Which rows go to the test part follows from their content and the seed alone.
+
     Row counts per label and hash prefix tell in which prefix the quota ends; only that prefix is looked at hash by
     hash, which gives one cut-off per label, two rows in all, and the rows are then compared with them. A key that the
-    cut falls into is divided: the missing number of its rows, in the order of the stored rows, goes to the test part,
-    so give staged rows when keys repeat. With `whole_keys` all rows of a key share a side instead, and the test part
+    cut falls into is divided the same way, in the order of a hash of the whole row, and what is left of equal rows by
+    counting them, so give staged rows when keys repeat. With `whole_keys` all rows of a key share a side instead, and the test part
     may come out smaller by less than that key's rows.
     """
     labels = F.col(label).cast("int") if label else F.lit(0)
     hashed = df.withColumn("_hash", key_hash(key, seed)).withColumn("_label", labels)
+    light, per_prefix = _counted(hashed)
+    quota = _test_quota(per_prefix.groupBy("_label").agg(F.sum("n").alias("n")), test_size)
+    out, divided = _cut(hashed, _cut_offs(light, per_prefix, quota), not whole_keys)
+    parts = [out.select(*df.columns, "is_test")]
+    row_hash = F.md5(F.concat(F.lit(f"{seed}:"), F.to_json(F.struct(*df.columns))))
+    for rows, take in divided:
+        by_row = rows.withColumn("_hash", row_hash).withColumn("_label", F.lit(0))
+        wanted = df.sparkSession.range(1).select(F.lit(0).alias("_label"), F.lit(take).cast("bigint").alias("quota"))
+        in_row_order, equal = _cut(by_row, _cut_offs(*_counted(by_row), wanted), True)
+        parts.append(in_row_order.select(*df.columns, "is_test"))
+        parts += [_first_rows(same, left).select(*df.columns, "is_test") for same, left in equal]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _cut(hashed: DataFrame, cuts: list[Row], divide: bool) -> tuple[DataFrame, list[tuple[DataFrame, int]]]:
+    """(rows with `is_test` as the cut-offs say, and for each hash that is divided its rows and how many are wanted)."""
     below, divided = F.lit(False), []
-    for cut in _cut_offs(hashed, test_size):
+    for cut in cuts:
         of_label = F.col("_label") == cut["_label"]
         below = below | (of_label & (F.col("_hash") <= cut["last_hash"]))
-        if cut["take"] is not None and not whole_keys:
-            divided.append((of_label & (F.col("_hash") == cut["_hash"]), cut))
+        if cut["take"] is not None and divide:
+            divided.append((of_label & (F.col("_hash") == cut["_hash"]), cut["take"]))
     is_divided = reduce(Column.__or__, [F.coalesce(rows, F.lit(False)) for rows, _ in divided], F.lit(False))
-    out = hashed.where(~is_divided) if divided else hashed
-    out = out.withColumn("is_test", F.coalesce(below, F.lit(False))).select(*df.columns, "is_test")
-    for rows, cut in divided:
-        out = out.unionByName(_first_rows(hashed.where(rows), cut).select(*df.columns, "is_test"))
-    return out
+    whole = hashed.where(~is_divided) if divided else hashed
+    return whole.withColumn("is_test", F.coalesce(below, F.lit(False))), [(hashed.where(rows), take) for rows, take in divided]
 
 
 def sample_rows(df: DataFrame, key: str, n: int = 500, seed: int = 42) -> DataFrame:

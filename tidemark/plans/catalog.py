@@ -553,24 +553,150 @@ def _(t: StarTables) -> DataFrame:
     return dashboard.filter_domains(snapshot_rows(t))
 
 
-# --- fitted models: no SQL twin
+# --- regression tables
 
 
-@query("glm_summary")
+def _mixed(t: StarTables) -> inference.GlmFit:
+    """One factor and one number: a few Newton steps in SQL give the same table."""
+    return inference.glm_logit(planted_rows(t), ("contract_type",), ("tenure_months",))
+
+
+@query("glm_summary", digits=4)
+def _(t: StarTables) -> DataFrame:
+    return _mixed(t).coefficients.select("position", "term", "estimate", "std_error", "z", "log10_p")
+
+
+@query("odds_ratios", digits=3)
+def _(t: StarTables) -> DataFrame:
+    return inference.odds_ratios(_mixed(t).coefficients)
+
+
+@query("mcfadden_r2", digits=4)
+def _(t: StarTables) -> DataFrame:
+    fit = _mixed(t).fit
+    return fit.crossJoin(inference.mcfadden_r2(fit))
+
+
+@query("glm_all_drivers")
 def _(t: StarTables) -> DataFrame:
     return inference.glm_logit(planted_rows(t)).coefficients
 
 
-@query("odds_ratios")
+@query("odds_ratios_all_drivers")
 def _(t: StarTables) -> DataFrame:
     return inference.odds_ratios(inference.glm_logit(planted_rows(t)).coefficients)
 
 
-@query("mcfadden_r2")
+@query("mcfadden_r2_all_drivers")
 def _(t: StarTables) -> DataFrame:
     return inference.mcfadden_r2(inference.glm_logit(planted_rows(t)).fit)
 
 
+# --- fitted models on planted rules, whose right fit is known
+
+
+def _ruled(t: StarTables, rule: str = "contract_type = 'Month-to-month'") -> DataFrame:
+    """Features with a label that one column decides."""
+    return stage_table(feature_rows(t).withColumn("churned", F.expr(f"cast({rule} as int)")), "ruled")
+
+
+@query("train_compare_rule", digits=4)
+def _(t: StarTables) -> DataFrame:
+    """Metrics of all three classifiers on held-out rows; each has to find the rule."""
+    return models.compare_classifiers(*jobs.split_features(_ruled(t)), trees=40)[0]
+
+
+@query("score_customers_rule")
+def _(t: StarTables) -> DataFrame:
+    """Tier and class of all customers by a saved and reopened model."""
+    rows = _ruled(t)
+    path = new_path(t.spark, "model")
+    models.save_model(models.fit_classifier(jobs.split_features(rows)[0], "logistic_regression"), path)
+    scored = scoring.score_customers(models.load_model(path), rows)
+    return scored.select("customer_id", "risk_tier", rules.at_least_half("churn_probability").alias("predicted"))
+
+
+def _explained(t: StarTables, name: str) -> DataFrame:
+    """Tier and class of profiles, how far base and contributions miss the score, and the strongest driver."""
+    rows = _ruled(t)
+    train, test = jobs.split_features(rows)
+    model = models.fit_classifier(train, name, trees=20)
+    profiles = rows.select(F.col("customer_id").alias("profile_id"), *features.CATEGORICAL, *features.NUMERIC)
+    scored, reasons = scoring.score_profiles(model, profiles, test)
+    reasons = stage_table(reasons, "reasons")
+    top = explain.driver_ranking(reasons, 1).select(F.col("feature").alias("top_driver"))
+    p = F.col("churn_probability")
+    score = F.when(F.col("score_scale") == explain.LOGIT, F.log(p / (1 - p))).otherwise(p)
+    sums = reasons.groupBy("profile_id").agg(F.sum("contribution").alias("parts"), F.count("*").alias("n_parts"))
+    return scored.join(sums, "profile_id").crossJoin(F.broadcast(top)).select(
+        F.lit(name).alias("model"), "profile_id", rules.at_least_half("churn_probability").alias("predicted"), "score_scale",
+        (F.abs(F.col("base_value") + F.col("parts") - score) < 1e-6).alias("adds_up"), "n_parts", "top_driver",
+    )
+
+
+@query("score_profiles_rule")
+def _(t: StarTables) -> DataFrame:
+    return _explained(t, "logistic_regression")
+
+
+@query("tree_contributions_boosted")
+def _(t: StarTables) -> DataFrame:
+    return _explained(t, "boosted_trees")
+
+
+@query("tree_contributions_forest")
+def _(t: StarTables) -> DataFrame:
+    return _explained(t, "random_forest")
+
+
+@query("lifetime_rule")
+def _(t: StarTables) -> DataFrame:
+    """Predicted tenure and value of all customers where the contract decides the tenure, and the held-out error."""
+    months = F.expr("case contract_type when 'Two year' then 48 when 'One year' then 24 else 9 end")
+    rows = stage_table(feature_rows(t).withColumn("tenure_months", months), "lifetime-rule")
+    model, error = lifetime.fit_lifetime_model(rows, trees=20)
+    valued = lifetime.predicted_clv(lifetime.predict_lifetime(model, rows))
+    return valued.select("customer_id", "predicted_total_tenure_months", "predicted_clv").crossJoin(F.broadcast(error))
+
+
+@query("kmeans_bands")
+def _(t: StarTables) -> DataFrame:
+    """Segments of customers that lie in four bands."""
+    band, key = F.col("customer_id") % 4, F.col("customer_id")
+    rows = feature_rows(t).select(
+        "customer_id", "churned",
+        (10 + 20 * band + key % 3).cast("int").alias("tenure_months"),
+        ((2000 + 2500 * band + key % 5) / 100).cast("decimal(10,2)").alias("monthly_charges"),
+        band.alias("ticket_count"),
+        (1000 * (band + 1) * (band + 1) + key % 11).cast("double").alias("predicted_clv"),
+    )
+    rows = stage_table(rows, "bands")
+    found = segments.relabel_segments(segments.assign_cluster(segments.fit_segments(rows), rows))
+    return segments.segment_profile(found)
+
+
+@query("model_versions")
+def _(t: StarTables) -> DataFrame:
+    """Two versions trained on different rules: metadata, and the tiers that either gives all customers."""
+    folder = new_path(t.spark, "models")
+    for version, rule in (("v1.0", "contract_type = 'Month-to-month'"), ("v2.0", "internet_service = 'Fiber optic'")):
+        jobs.model_job(_ruled(t, rule), folder, ("logistic_regression",), trees=5, restarts=1, model_version=version)
+    everyone = stage_table(feature_rows(t), "features")
+    tiers = [
+        jobs.score_job(jobs.open_model(t.spark, folder, version), everyone)
+        .groupBy("risk_tier").agg(F.count("*").alias("customers"))
+        .select(F.lit(version).alias("model_version"), "*")
+        for version in ("v1.0", "v2.0")
+    ]
+    described = jobs.model_versions(t.spark, folder).select(
+        "model_version", "best_model", "is_current", F.array_join(F.concat("categorical", "numeric"), ",").alias("columns")
+    )
+    return described.join(reduce(DataFrame.unionByName, tiers), "model_version")
+
+
+# --- fitted models without an SQL twin
+
+
 @query("statistics_report")
 def _(t: StarTables) -> DataFrame:
     path = new_path(t.spark, "report")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from tidemark.operators import checks, explain, inference, lifetime, models, scoring, segments, splits
 from tidemark.operators.evaluation import best_model, roc_points
 from tidemark.operators.features import CATEGORICAL, NUMERIC, feature_table, overall_churn_rate
-from tidemark.schemas import PREDICTIONS, RAW_TABLES, SEGMENT_ORDER
+from tidemark.schemas import MODEL_METADATA, PREDICTIONS, RAW_TABLES, SEGMENT_ORDER
 from tidemark.session import stage_table
 from tidemark.sources import files, table_set
 
@@ -64,6 +64,8 @@ class ModelRun:
     best: PipelineModel
     lifetime_error: DataFrame
     scored: DataFrame
+    model_version: str
+    folder: str
 
 
 @dataclass
@@ -91,27 +93,36 @@ def model_job(
     trees: int = 300,
     restarts: int = 10,
     seed: int = models.SEED,
+    model_version: str = scoring.MODEL_VERSION,
 ) -> ModelRun:
     """Compare classifiers, keep the best, add lifetime, value and segment, and score every customer.
 
-    The folder receives the three models, the metadata, and as CSV the comparison, the ROC points,
-    the drivers of the best model and the feature names.
+    A version is a folder of its own with the three models, the metadata, the rows that explanations compare with, and
+    as CSV the comparison, the ROC points, the drivers of the best model and the feature names. It is published when all
+    of it is there, as the current one; earlier versions stay and can be opened by name. A version that is trained again
+    replaces its former run.
     """
+    spark = features.sparkSession
+    with table_set.replacing(spark, model_folder) as writer:
+        folder = writer.place(f"version={model_version}")
+        run = _train(features, folder, names, trees, restarts, seed, model_version)
+        writer.notes["current"] = model_version
+    return run
+
+
+def _train(
+    features: DataFrame, folder: str, names: tuple[str, ...], trees: int, restarts: int, seed: int, model_version: str
+) -> ModelRun:
     spark = features.sparkSession
     features = stage_table(features, "features")
     train, test = split_features(features, seed)
     comparison, fitted, scored_tests = models.compare_classifiers(train, test, names, trees, seed)
     best_name = best_model(comparison).first()["model"]
     best = fitted[best_name]
-    models.save_model(best, f"{model_folder}/churn")
-    files.write_metadata(
-        spark, f"{model_folder}/metadata", best_name, CATEGORICAL, NUMERIC, scoring.MODEL_VERSION
-    )
-    test.write.mode("overwrite").parquet(f"{model_folder}/background")
-    if explain.is_linear(best):
-        drivers = explain.driver_ranking(explain.linear_contributions(best, test, test)[0])
-    else:
-        drivers = explain.tree_drivers(best, test)
+    models.save_model(best, f"{folder}/churn")
+    files.write_metadata(spark, f"{folder}/metadata", best_name, CATEGORICAL, NUMERIC, model_version)
+    test.write.parquet(f"{folder}/background")
+    drivers = explain.driver_ranking(explain.additive_contributions(best, test, test)[0])
     curves = [roc_points(frame).select(F.lit(name).alias("model"), "*") for name, frame in scored_tests.items()]
     reports = {
         "model_comparison": comparison,
@@ -120,28 +131,51 @@ def model_job(
         "feature_names": models.feature_name_table(spark, best),
     }
     for name, table in reports.items():
-        files.write_csv(table, f"{model_folder}/{name}.csv", mode="overwrite")
+        files.write_csv(table, f"{folder}/{name}.csv")
 
     lifetime_model, lifetime_error = lifetime.fit_lifetime_model(features, trees, seed)
-    models.save_model(lifetime_model, f"{model_folder}/lifetime")
+    models.save_model(lifetime_model, f"{folder}/lifetime")
     valued = stage_table(lifetime.predicted_clv(lifetime.predict_lifetime(lifetime_model, features)), "valued")
     clusters = segments.fit_segments(valued, restarts=restarts, seed=seed)
-    models.save_model(clusters, f"{model_folder}/segments")
+    models.save_model(clusters, f"{folder}/segments")
     assigned = stage_table(segments.assign_cluster(clusters, valued), "clusters")
-    segments.segment_order(assigned).write.mode("overwrite").parquet(f"{model_folder}/segment_order")
-    order = spark.read.schema(SEGMENT_ORDER).parquet(f"{model_folder}/segment_order")
+    segments.segment_order(assigned).write.parquet(f"{folder}/segment_order")
+    order = spark.read.schema(SEGMENT_ORDER).parquet(f"{folder}/segment_order")
     scored = stage_table(scoring.score_customers(best, segments.relabel_segments(assigned, order=order)), "scored")
-    return ModelRun(comparison, best_name, best, lifetime_error, scored)
+    return ModelRun(comparison, best_name, best, lifetime_error, scored, model_version, folder)
+
+
+def version_folder(spark: SparkSession, model_folder: str, model_version: str | None = None) -> str:
+    """Folder of a version, of the current one without a name."""
+    published = table_set.read_set(spark, model_folder)
+    name = model_version or published.notes.get("current")
+    if f"version={name}" not in published.folders:
+        raise FileNotFoundError(f"no model version {name} under {model_folder}")
+    return f"{model_folder}/{published.folders[f'version={name}']}"
+
+
+def model_versions(spark: SparkSession, model_folder: str) -> DataFrame:
+    """Metadata of every version, and which of them is current."""
+    published = table_set.read_set(spark, model_folder)
+    parts = [
+        spark.read.schema(MODEL_METADATA).json(f"{model_folder}/{folder}/metadata").withColumn(
+            "is_current", F.lit(int(name == f"version={published.notes.get('current')}"))
+        )
+        for name, folder in sorted(published.folders.items())
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
-def open_model(spark: SparkSession, model_folder: str) -> SavedModel:
+def open_model(spark: SparkSession, model_folder: str, model_version: str | None = None) -> SavedModel:
+    """The models of a version, of the current one without a name."""
+    folder = version_folder(spark, model_folder, model_version)
     return SavedModel(
-        models.load_model(f"{model_folder}/churn"),
-        files.read_metadata(spark, f"{model_folder}/metadata"),
-        spark.read.parquet(f"{model_folder}/background"),
-        models.load_model(f"{model_folder}/lifetime"),
-        models.load_model(f"{model_folder}/segments"),
-        spark.read.schema(SEGMENT_ORDER).parquet(f"{model_folder}/segment_order"),
+        models.load_model(f"{folder}/churn"),
+        files.read_metadata(spark, f"{folder}/metadata"),
+        spark.read.parquet(f"{folder}/background"),
+        models.load_model(f"{folder}/lifetime"),
+        models.load_model(f"{folder}/segments"),
+        spark.read.schema(SEGMENT_ORDER).parquet(f"{folder}/segment_order"),
     )
 
 

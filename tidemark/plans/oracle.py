@@ -630,6 +630,123 @@ deviances AS (
 SELECT {num("without", "null_deviance", 4)}, n - 1 AS null_df, {num("with_terms", "residual_deviance", 4)},
   n - p AS residual_df, {num("with_terms + 2 * p", "aic", 4)}, {num("1 - with_terms / without", "mcfadden_r2", 4)}
 FROM deviances""")
+def _newton(steps: int) -> str:
+    """Newton's method for a logit model of one factor and one number, from the counts of their combinations.
+
+    With an intercept a per level and one slope b the matrix of second derivatives has a border of one row.
+    """
+    parts = ["""
+, cells AS (
+  SELECT contract_type AS level, CAST(tenure_months AS DOUBLE) AS x, CAST(count(*) AS DOUBLE) AS n,
+    CAST(sum(churned) AS DOUBLE) AS ones
+  FROM planted GROUP BY ALL
+),
+at0 AS (SELECT DISTINCT level, 0e0 AS a, 0e0 AS b FROM cells)"""]
+    for k in range(steps):
+        parts.append(f"""
+sums{k} AS (
+  SELECT level, any_value(a) AS a, any_value(b) AS b, sum(n * p * (1 - p)) AS w, sum(n * p * (1 - p) * x) AS t,
+    sum(n * p * (1 - p) * x * x) AS q, sum(ones - n * p) AS g, sum((ones - n * p) * x) AS h
+  FROM (SELECT c.*, s.a, s.b, 1 / (1 + exp(-(s.a + s.b * c.x))) AS p FROM cells c JOIN at{k} s USING (level))
+  GROUP BY level
+),
+step{k} AS (SELECT (sum(h) - sum(t * g / w)) / (sum(q) - sum(t * t / w)) AS slope FROM sums{k}),
+at{k + 1} AS (SELECT level, a + (g - t * slope) / w AS a, b + slope AS b FROM sums{k}, step{k})""")
+    last = steps - 1
+    parts.append(f"""
+ordered AS (
+  SELECT *, row_number() OVER (ORDER BY level) - 1 AS place, sum(q) OVER () - sum(t * t / w) OVER () AS d FROM sums{last}
+),
+coefficients AS (
+  SELECT CAST(o.place AS INTEGER) AS position,
+    CASE o.place WHEN 0 THEN '(Intercept)' ELSE 'contract_type' || o.level END AS term,
+    o.a - CASE o.place WHEN 0 THEN 0e0 ELSE f.a END AS estimate,
+    sqrt(CASE o.place WHEN 0 THEN 1 / o.w + (o.t / o.w) ** 2 / o.d
+         ELSE 1 / o.w + 1 / f.w + (o.t / o.w - f.t / f.w) ** 2 / o.d END) AS std_error
+  FROM ordered o JOIN ordered f ON f.place = 0
+  UNION ALL
+  SELECT CAST(max(place) + 1 AS INTEGER), 'tenure_months', any_value(b), sqrt(1 / any_value(d)) FROM ordered
+)""")
+    return ",".join(parts)
+
+
+_TAILS = """tails AS (
+  SELECT position, sum(CASE WHEN i IN (0, 40000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+    * exp(-abs(estimate / std_error) * i * 0.0005e0 - (i * 0.0005e0) ** 2 / 2)) * 0.0005e0 / 3 AS integral
+  FROM coefficients, (SELECT unnest(range(40001)) AS i) GROUP BY position
+)"""
+_LOG10_P = "(ln(2 * integral) - (estimate / std_error) ** 2 / 2 - ln(2 * pi()) / 2) / ln(10e0)"
+_MIXED = _newton(9)
+twin("glm_summary", f"""{_MIXED},
+{_TAILS}
+SELECT position, term, {num("estimate", "estimate", 4)}, {num("std_error", "std_error", 4)},
+  {num("estimate / std_error", "z", 4)}, {num(_LOG10_P, "log10_p", 4)}
+FROM coefficients JOIN tails USING (position)""")
+twin("odds_ratios", f"""{_MIXED}
+SELECT position, term, {num("exp(estimate)", "odds_ratio", 3)},
+  {num("exp(estimate - 1.959963984540054e0 * std_error)", "lower", 3)},
+  {num("exp(estimate + 1.959963984540054e0 * std_error)", "upper", 3)}
+FROM coefficients""")
+twin("mcfadden_r2", f"""{_MIXED},
+deviances AS (
+  SELECT -2 * (sum(ones) * ln(sum(ones) / sum(n)) + sum(n - ones) * ln(1 - sum(ones) / sum(n))) AS without,
+    -2 * sum(ones * ln(p) + (n - ones) * ln(1 - p)) AS with_terms, CAST(sum(n) AS BIGINT) AS n,
+    count(DISTINCT level) + 1 AS terms
+  FROM (SELECT c.*, 1 / (1 + exp(-(s.a + s.b * c.x))) AS p FROM cells c JOIN at9 s USING (level))
+)
+SELECT {num("without", "null_deviance", 4)}, n - 1 AS null_df, {num("with_terms", "residual_deviance", 4)},
+  n - terms AS residual_df, {num("with_terms + 2 * terms", "aic", 4)}, {num("1 - with_terms / without", "mcfadden_r2", 4)}
+FROM deviances""")
+
+# --- fitted models on planted rules: the right fit follows from the rule
+
+_RULE = "CASE WHEN contract_type = 'Month-to-month' THEN 1 ELSE 0 END"
+_RULED = f"SELECT * REPLACE ({_RULE} AS churned) FROM features"
+twin("train_compare_rule", f"""
+, ruled AS ({_RULED}),
+found AS (
+  SELECT CAST(count(*) FILTER (churned = 1 AND predicted = 1) AS DOUBLE) AS tp,
+    CAST(count(*) FILTER (churned = 0 AND predicted = 1) AS DOUBLE) AS fp,
+    CAST(count(*) FILTER (churned = 1) AS DOUBLE) AS p, CAST(count(*) FILTER (churned = 0) AS DOUBLE) AS n,
+    sum(CASE WHEN churned = 1 THEN rank END) AS ranks
+  FROM (SELECT *, rank() OVER (ORDER BY predicted) + (count(*) OVER (PARTITION BY predicted) - 1) / 2e0 AS rank
+        FROM (SELECT churned, {_RULE} AS predicted FROM ruled))
+)
+SELECT model, {num("(ranks - p * (p + 1) / 2) / (p * n)", "roc_auc", 4)}, {num("tp / (tp + fp)", "precision", 4)},
+  {num("tp / p", "recall", 4)}, {num("2 * tp / (tp + fp + p)", "f1", 4)}
+FROM found, (VALUES ('logistic_regression'), ('random_forest'), ('boosted_trees')) m(model)""")
+twin("score_customers_rule", f"""
+SELECT customer_id, CASE churned WHEN 1 THEN 'High' ELSE 'Low' END AS risk_tier, churned AS predicted FROM ({_RULED})""")
+_SLOTS = f"""CAST((SELECT {' + '.join(f'count(DISTINCT {c})' for c in CATEGORICAL)} + {len(NUMERIC)} FROM features) AS BIGINT)"""
+for _name, _model, _scale in (
+    ("score_profiles_rule", "logistic_regression", "logit"),
+    ("tree_contributions_boosted", "boosted_trees", "logit"),
+    ("tree_contributions_forest", "random_forest", "probability"),
+):
+    twin(_name, f"""
+SELECT '{_model}' AS model, customer_id AS profile_id, churned AS predicted, '{_scale}' AS score_scale, 1 AS adds_up,
+  {_SLOTS} AS n_parts, 'cat__contract_type_Month-to-month' AS top_driver
+FROM ({_RULED})""")
+twin("lifetime_rule", f"""
+SELECT customer_id, {num("total", "predicted_total_tenure_months")},
+  {num("round_even(total * CAST(monthly_charges AS DOUBLE), 2)", "predicted_clv")}, 0e0 AS mae, 1e0 AS r2
+FROM (SELECT *, CASE contract_type WHEN 'Two year' THEN 48e0 WHEN 'One year' THEN 24e0 ELSE 9e0 END AS total FROM features)""")
+twin("kmeans_bands", f"""
+SELECT CASE band WHEN 3 THEN 'High-Value Loyal' WHEN 2 THEN 'Growing / Mid-Value' WHEN 1 THEN 'Price-Sensitive'
+    ELSE 'Low-Value / New' END AS segment_label, count(*) AS customers,
+  {num("round_even(avg(10 + 20 * band + customer_id % 3), 2)", "avg_tenure_months")},
+  {num("round_even(avg((2000 + 2500 * band + customer_id % 5) / 100e0), 2)", "avg_monthly_charges")},
+  {num("round_even(avg(1000 * (band + 1) * (band + 1) + customer_id % 11), 2)", "avg_predicted_clv")},
+  {num("round_even(avg(CAST(churned AS DOUBLE)), 2)", "avg_churned")}
+FROM (SELECT *, customer_id % 4 AS band FROM features) GROUP BY band""")
+twin("model_versions", f"""
+SELECT v.model_version, 'logistic_regression' AS best_model, v.is_current,
+  '{','.join([*CATEGORICAL, *NUMERIC])}' AS columns,
+  CASE WHEN (v.model_version = 'v1.0' AND contract_type = 'Month-to-month')
+         OR (v.model_version = 'v2.0' AND internet_service = 'Fiber optic') THEN 'High' ELSE 'Low' END AS risk_tier,
+  count(*) AS customers
+FROM features, (VALUES ('v1.0', 0), ('v2.0', 1)) v(model_version, is_current) GROUP BY ALL""")
+
 twin("churn_rate_pct", f"""
 SELECT contract_type, {num("round(avg(churned) * 100, 1)", "churn_rate_pct")} FROM planted GROUP BY contract_type""")
 

@@ -1,7 +1,7 @@
 """Sets of tables that change together: one manifest names the folder of every table, and readers open one manifest.
 
 root/
-  _sets/set=000007.json     {"tables": {"customers": "customers/part-of=3f2c…", …}, "of": 6}
+  _sets/set=000007.json     {"tables": {"customers": "customers/part-of=3f2c…", …}, "notes": {}}
   customers/part-of=3f2c…   Parquet files, written before the manifest that names them
 """
 
@@ -28,10 +28,11 @@ class SetConflict(RuntimeError):
 
 @dataclass(frozen=True)
 class TableSet:
-    """A published set: its number, and the folder of each table below the root. Number 0 is the set of no tables."""
+    """A published set: its number, the folder of each table below the root, and notes. Number 0 has no tables."""
 
     number: int = 0
     folders: dict[str, str] = field(default_factory=dict)
+    notes: dict[str, str] = field(default_factory=dict)
 
 
 def _manifest(number: int) -> str:
@@ -62,7 +63,8 @@ def read_set(spark: SparkSession, root: str, number: int | None = None) -> Table
         text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
-    return TableSet(number, json.loads(text)["tables"])
+    found = json.loads(text)
+    return TableSet(number, found["tables"], found["notes"])
 
 
 def read_tables(
@@ -125,19 +127,25 @@ class SetWriter:
         self.spark, self.root = spark, root.rstrip("/")
         self.before = read_set(spark, root) if before is None else before
         self.folders: dict[str, str] = {}
+        self.notes = dict(self.before.notes)
 
-    def write(self, name: str, df: DataFrame) -> DataFrame:
-        """Write a table of the next set, which no reader sees yet, and read it back."""
+    def place(self, name: str) -> str:
+        """Path of a folder that the next set will name, for the caller to fill."""
         if name in self.folders:
             raise ValueError(f"{name} is written already")
         self.folders[name] = f"{name}/part-of={uuid.uuid4().hex}"
-        df.write.mode("errorifexists").parquet(f"{self.root}/{self.folders[name]}")
-        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{self.folders[name]}")
+        return f"{self.root}/{self.folders[name]}"
+
+    def write(self, name: str, df: DataFrame) -> DataFrame:
+        """Write a table of the next set, which no reader sees yet, and read it back."""
+        path = self.place(name)
+        df.write.mode("errorifexists").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def publish(self) -> TableSet:
         """Make the next set: what was written, and the former folders of all other tables."""
-        after = TableSet(self.before.number + 1, {**self.before.folders, **self.folders})
-        text = json.dumps({"tables": after.folders, "of": self.before.number}, indent=1, sort_keys=True)
+        after = TableSet(self.before.number + 1, {**self.before.folders, **self.folders}, self.notes)
+        text = json.dumps({"tables": after.folders, "notes": after.notes}, indent=1, sort_keys=True)
         if not _create_once(self.spark, self.root, _manifest(after.number), text):
             raise SetConflict(f"set {after.number} under {self.root} was published by another writer")
         return after
