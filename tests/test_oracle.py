@@ -53,3 +53,27 @@ def test_entry(spark):
         "customer_id", "contract_type", "tenure_months", "is_active", "lifetime_revenue", "total_refunds",
     ]
     assert df.count() == 150
+
+
+@pytest.mark.parametrize(
+    "name", ["null_check", "load_checks", "cohort_lifetime", "mrr_by_month", "feature_table", "customer_clv", "calendar_columns"]
+)
+def test_customers_without_orders(spark, tmp_path, name):
+    """A ninth of the customers has no order and so no dates; they stay, and the checks report them."""
+    for table in TABLES:
+        if table == "orders":
+            spark.read.parquet(f"{SMALL}/orders.parquet").where("o_custkey % 9 <> 4").write.parquet(str(tmp_path / "orders.parquet"))
+        else:
+            (tmp_path / f"{table}.parquet").symlink_to(f"{SMALL}/{table}.parquet")
+    duck = duckdb.connect()
+    for table in TABLES:
+        files = "orders.parquet/*.parquet" if table == "orders" else f"{table}.parquet"
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{files}'")
+    cursor = duck.execute(contract.oracle_sql()[name])
+    names = [column[0] for column in cursor.description]
+    order = sorted(names)
+    want = ordered([tuple(dict(zip(names, row))[c] for c in order) for row in cursor.fetchall()])
+    df = contract.queries()[name](spark, str(tmp_path))
+    assert ordered([tuple(r[c] for c in order) for r in df.collect()]) == want
+    if name == "null_check":
+        assert df.where("table_name = 'customers' and column_name = 'signup_date'").first()["n_bad"] > 0

@@ -50,14 +50,14 @@ customers AS (
     CAST(c_custkey // 8 % 2 AS INTEGER) AS partner,
     CASE WHEN c_custkey % 10 < 3 THEN 1 ELSE 0 END AS dependents,
     first_day AS signup_date, '' AS city, n_name AS state, r_name AS country
-  FROM customer JOIN life ON o_custkey = c_custkey
+  FROM customer LEFT JOIN life ON o_custkey = c_custkey
   LEFT JOIN nation ON n_nationkey = c_nationkey
   LEFT JOIN region ON r_regionkey = n_regionkey
 ),
 dated AS (
   SELECT *, CASE WHEN last_day < DATE '2000-10-01' THEN last_day END AS end_day,
     CASE WHEN last_day < DATE '2000-10-01' THEN last_day ELSE DATE '2001-08-01' END AS until_day
-  FROM customer JOIN life ON o_custkey = c_custkey
+  FROM customer LEFT JOIN life ON o_custkey = c_custkey
 ),
 subscriptions AS (
   SELECT c_custkey AS subscription_id, c_custkey AS customer_id,

@@ -55,7 +55,10 @@ STAR_SCHEMAS = {
 
 
 class StarTables:
-    """Domain tables over one folder of star-schema Parquet files; every property is lazy."""
+    """Domain tables over one folder of star-schema Parquet files; every property is lazy.
+
+    A customer without orders has a subscription and no dates: signup_date and start_date are NULL.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
@@ -80,7 +83,7 @@ class StarTables:
         return (
             self._read("customer")
             .join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-            .join(self._life, F.col("c_custkey") == F.col("o_custkey"))
+            .join(self._life, F.col("c_custkey") == F.col("o_custkey"), "left")
             .select(
                 key.alias("customer_id"),
                 _pick(F.floor(key / 4), ("Male", "Female")).alias("gender"),
@@ -105,7 +108,7 @@ class StarTables:
         until = F.coalesce(end, F.lit(AS_OF))
         return (
             self._read("customer")
-            .join(self._life, F.col("c_custkey") == F.col("o_custkey"))
+            .join(self._life, F.col("c_custkey") == F.col("o_custkey"), "left")
             .select(
                 key.alias("subscription_id"),
                 key.alias("customer_id"),
