@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
+import random
 import re
 import string
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -116,3 +119,27 @@ def test_redaction(make_docs, ratios):
 def test_empty_tables(spark, make_docs, ratios):
     assert secret_scan.scan_secrets(make_docs([]), ratios).collect() == []
     assert set(secret_scan.train(spark.createDataFrame([], "text string, label int"))) == {0.0}
+
+
+@pytest.mark.parametrize("kind", ["digests on lines", "joined digests", "one long run", "assigned"])
+def test_work_grows_with_the_text_and_its_spans(spark, ratios, kind):
+    """A third of a megabyte in one text, up to some thousand spans; the base spans are those of `re`."""
+    rng = random.Random(5)
+    text = {
+        "digests on lines": "\n".join(f"{rng.getrandbits(128):032x}" for _ in range(9000)),
+        "joined digests": "_".join(f"{rng.getrandbits(128):032x}" for _ in range(9000)),
+        "one long run": base64.b64encode(rng.randbytes(225_000)).decode(),
+        "assigned": "\n".join(f"password = '{rng.getrandbits(80):020x}' é" for _ in range(7000)),
+    }[kind]
+    began = time.perf_counter()
+    rows = secret_scan.scan_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string"), ratios)
+    found = secret_scan.redact(rows.withColumn("found", F.col("secret_spans"))).first()
+    assert time.perf_counter() - began < 40
+    spans = [(s["start"], s["end"]) for s in found["found"] if s["kind"] == 2]
+    assert spans == [m.span() for m in re.finditer("[0-9a-f]{16,}", text)]
+    if kind == "assigned":
+        assert found["text"] == "\n".join(["[secret]' é"] * 7000)
+    elif kind == "digests on lines":
+        assert found["text"] == "\n".join(["[secret]"] * 9000)
+    else:
+        assert len(found["text"]) < len(text) / 3

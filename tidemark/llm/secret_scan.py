@@ -14,6 +14,17 @@ HEX = "[0-9a-f]{16,}"
 MIN_ASSIGNED = 12
 #: What the models judge: runs of so many characters that hold a digit and a letter.
 CANDIDATE = "[A-Za-z0-9+/_=-]{20,}"
+#: Takes the place of each character of a base span while the models look at what is left; pieces of runs beside it may
+#: be as short as a part.
+BLANK = "\x01"
+_BESIDE_BLANK = "(?<=\x01)[A-Za-z0-9+/_=-]{16,}|[A-Za-z0-9+/_=-]{16,}+(?=\x01)"
+#: The characters of the two base kinds that consist of one class, one by one: the first of a match, or one behind it.
+_ACCESS_CHARS = "(?:(?=AKIA[A-Z0-9]{14})|(?!\\A)\\G)[A-Z0-9]"
+_HEX_CHARS = "(?:(?=[0-9a-f]{16})|(?!\\A)\\G)[0-9a-f]"
+#: Values that are added up together, so that the work for a list grows with its length.
+_BLOCK = 512
+#: Characters of a text that are rebuilt together.
+_CHUNK = 1024
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 KINDS = ("assign", "access", "hex", "markov")
 #: Mean log-likelihood ratio per character pair from which a run counts as random.
@@ -99,41 +110,87 @@ def train(samples: DataFrame) -> list[float]:
     return [log_share(1, a, b) - log_share(0, a, b) for a in range(size) for b in range(size)]
 
 
-def mean_ratio(run: Column, ratios: list[float]) -> Column:
-    """Mean ratio over the character pairs of a run of the alphabet."""
-    table = F.split(F.lit(",".join(f"{x:.6f}" for x in ratios)), ",").cast("array<double>")
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running(values: Column, start: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """For each value the sum, or what `add` makes, of those before it; block by block, so that no long list is copied often."""
+
+    def scan(part: Column, first: Column) -> Column:
+        state = F.struct(first.alias("at"), F.slice(F.array(first), 1, 0).alias("out"))
+        return F.aggregate(
+            part, state, lambda acc, v: F.struct(add(acc["at"], v).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+        )
+
+    def of(held: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(held), F.lit(1)), F.lit(_BLOCK))
+
+        def shifted(blocks: Column) -> Column:
+            offsets = scan(F.transform(blocks, lambda block: block["at"]), start)["out"]
+            return F.flatten(F.zip_with(blocks, offsets, lambda block, o: F.transform(block["out"], lambda v: add(o, v))))
+
+        return _let(F.transform(starts, lambda i: scan(F.slice(held, i, _BLOCK), start)), shifted)
+
+    return _let(
+        F.transform(values, lambda v: v), lambda held: F.when(F.size(held) > 0, of(held)).otherwise(F.slice(F.array(start), 1, 0))
+    )
+
+
+def _below(sorted_values: Column, limit: Column) -> Column:
+    """How many of the sorted values are less than the limit, by halving."""
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(sorted_values) + 1.0)).cast("int"))
+    state = F.struct(F.lit(0).alias("low"), F.size(sorted_values).alias("high"))
+
+    def step(acc: Column, _: Column) -> Column:
+        middle = F.floor((acc["low"] + acc["high"]) / 2).cast("int")
+        less = (acc["low"] < acc["high"]) & (F.get(sorted_values, middle) < limit)
+        return F.struct(
+            F.when(less, middle + 1).otherwise(acc["low"]).alias("low"),
+            F.when(less | (acc["low"] >= acc["high"]), acc["high"]).otherwise(middle).alias("high"),
+        )
+
+    return F.aggregate(steps, state, step, lambda acc: acc["low"])
+
+
+def _table(ratios: list[float]) -> Column:
+    return F.split(F.lit(",".join(f"{x:.6f}" for x in ratios)), ",").cast("array<double>")
+
+
+def _places(run: Column) -> Column:
+    """Number of each character in the alphabet, from 1; 0 outside it."""
+    return F.transform(F.split(run, ""), _place)
+
+
+def _mean(places: Column, ratios: list[float]) -> Column:
+    """Mean ratio over the character pairs of a run of the alphabet, given by its characters' numbers."""
+    table = _table(ratios)
     total = F.aggregate(
-        F.sequence(F.lit(1), F.length(run) - 1),
+        F.sequence(F.lit(1), F.size(places) - 1),
         F.lit(0.0),
-        lambda acc, i: acc
-        + F.get(
-            table,
-            (_place(F.substring(run, i, 1)) - 1) * len(ALPHABET) + _place(F.substring(run, i + 1, 1)) - 1,
-        ),
+        lambda acc, i: acc + F.get(table, (F.get(places, i - 1) - 1) * len(ALPHABET) + F.get(places, i) - 1),
     )
-    return total / (F.length(run) - 1)
+    return total / (F.size(places) - 1)
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def mean_ratio(run: Column, ratios: list[float]) -> Column:
+    """Mean ratio over the character pairs of a run of the alphabet."""
+    return _let(_places(run), lambda places: _mean(places, ratios))
 
 
-def _pair_ratios(run: Column, ratios: list[float]) -> Column:
+def _pair_ratios(places: Column, ratios: list[float]) -> Column:
     """Ratio of each character pair of a run of two or more, BREAK beside `=` and outside the alphabet."""
-    table = F.split(F.lit(",".join(f"{x:.6f}" for x in ratios)), ",").cast("array<double>")
+    table = _table(ratios)
     broken = (0, ALPHABET.index("=") + 1)
 
-    def ratio(places: Column, i: Column) -> Column:
+    def ratio(i: Column) -> Column:
         a, b = F.get(places, i - 1), F.get(places, i)
         return F.when(a.isin(*broken) | b.isin(*broken), F.lit(BREAK)).otherwise(
             F.get(table, (a - 1) * len(ALPHABET) + b - 1)
         )
 
-    return _let(
-        F.transform(F.split(run, ""), _place),
-        lambda places: F.transform(F.sequence(F.lit(1), F.size(places) - 1), lambda i: ratio(places, i)),
-    )
+    return F.transform(F.sequence(F.lit(1), F.size(places) - 1), ratio)
 
 
 def _rising(pairs: Column) -> Column:
@@ -171,38 +228,60 @@ def _mixed(run: Column) -> Column:
 def random_parts(run: Column, ratios: list[float]) -> Column:
     """(start, end) of random segments of a run, grown or cut to the `=`, `/`, `_` and `-` next to their ends.
 
-    Characters outside the alphabet, as a space, belong to no segment.
+    Characters outside the alphabet, as a space, belong to no segment. Marks and other places are looked up in sorted
+    lists, so that the work grows with the run and not with its square.
     """
+    marks = " =/_-"
+
+    def found(chars: Column, places: Column) -> Column:
+        at = F.sequence(F.lit(0), F.size(chars) - 1)
+        # where a segment's first or last word ends: behind a mark, or at one
+        borders = F.filter(at, lambda i: F.instr(F.lit(marks), F.get(chars, i)) > 0)
+        unequal = F.filter(at, lambda i: F.get(chars, i) != "=")
+
+        def ends(segment: Column, borders: Column, unequal: Column) -> Column:
+            n_before = _below(borders, segment["start"])
+            left = segment["start"] - F.when(n_before > 0, F.get(borders, n_before - 1) + 1).otherwise(0)
+            stop = F.coalesce(F.get(borders, _below(borders, segment["end"])), F.size(chars))
+            right = stop - segment["end"]
+            held = F.array_join(F.slice(chars, segment["start"] + 1, segment["end"] - segment["start"]), "")
+            # a few characters of a neighbour that is only touched go with the mark between
+            lead = F.when(left == 0, F.regexp_extract(held, "^[=/_-]*", 0)).otherwise(
+                F.regexp_extract(held, "^(?:[^=/_-]{0,3}[=/_-]+)?", 0)
+            )
+            trail = F.when(right == 0, F.regexp_extract(held, "(?<![=/_-])[=/_-]*+$", 0)).otherwise(
+                F.regexp_extract(held, "(?<![=/_-])(?:[=/_-]++[^=/_-]{0,3})?$", 0)
+            )
+            grown = F.coalesce(F.get(unequal, _below(unequal, stop)), F.size(chars)) - segment["end"]
+            return F.struct(
+                (segment["start"] + F.when(lead != "", F.length(lead)).otherwise(-left)).alias("start"),
+                (segment["end"] + F.when(trail != "", -F.length(trail)).otherwise(grown)).alias("end"),
+                (_mixed(held) & (segment["sum"] >= F.greatest(F.lit(PART_SUM), MIN_RATIO * (F.length(held) - 1)))).alias("high"),
+            )
 
-    def ends(segment: Column) -> Column:
-        before = F.substring(run, F.lit(1), segment["start"])
-        held = F.substring(run, segment["start"] + 1, segment["end"] - segment["start"])
-        after = F.substring(run, segment["end"] + 1, F.length(run))
-        left, right = F.regexp_extract(before, "[^ =/_-]*$", 0), F.regexp_extract(after, "^[^ =/_-]*", 0)
-        # a few characters of a neighbour that is only touched go with the mark between
-        lead = F.when(left == "", F.regexp_extract(held, "^[=/_-]*", 0)).otherwise(
-            F.regexp_extract(held, "^(?:[^=/_-]{0,3}[=/_-]+)?", 0)
-        )
-        trail = F.when(right == "", F.regexp_extract(held, "[=/_-]*$", 0)).otherwise(
-            F.regexp_extract(held, "(?:[=/_-]+[^=/_-]{0,3})?$", 0)
-        )
-        grown = F.length(F.regexp_extract(after, "^[^ =/_-]*=*", 0))
-        return F.struct(
-            (segment["start"] + F.when(lead != "", F.length(lead)).otherwise(-F.length(left))).alias("start"),
-            (segment["end"] + F.when(trail != "", -F.length(trail)).otherwise(grown)).alias("end"),
-            (_mixed(held) & (segment["sum"] >= F.greatest(F.lit(PART_SUM), MIN_RATIO * (F.length(held) - 1)))).alias("high"),
-        )
+        def alone(part: Column, start: Column, size: Column) -> Column:
+            letters = F.length(F.regexp_replace(part, "[^A-Za-z]", ""))
+            dense = _mixed(part) & (letters >= PART_LETTERS * F.length(part))
+            return F.when(dense, _let(F.slice(places, start, size), lambda own: _mean(own, ratios)) >= MIN_RATIO).otherwise(False)
+
+        def is_random(x: Column) -> Column:
+            start, size = x["start"] + 1, x["end"] - x["start"]
+            return x["high"] | _let(F.array_join(F.slice(chars, start, size), ""), lambda part: alone(part, start, size))
+
+        nothing = F.array().cast("array<struct<start:int,end:int,high:boolean>>")
 
-    def alone(part: Column) -> Column:
-        letters = F.length(F.regexp_replace(part, "[^A-Za-z]", ""))
-        return _mixed(part) & (letters >= PART_LETTERS * F.length(part)) & (mean_ratio(part, ratios) >= MIN_RATIO)
+        def grow(rising: Column) -> Column:
+            looked_up = _let(borders, lambda b: _let(unequal, lambda u: F.transform(rising, lambda x: ends(x, b, u))))
+            return F.when(F.size(rising) > 0, looked_up).otherwise(nothing)
 
-    found = F.transform(_let(_pair_ratios(run, ratios), _rising), ends)
-    long_enough = F.filter(found, lambda x: x["end"] - x["start"] >= MIN_PART)
-    random = F.filter(
-        long_enough, lambda x: x["high"] | _let(F.substring(run, x["start"] + 1, x["end"] - x["start"]), alone)
+        grown = _let(_let(_pair_ratios(places, ratios), _rising), grow)
+        long_enough = F.filter(grown, lambda x: x["end"] - x["start"] >= MIN_PART)
+        return F.array_distinct(F.transform(F.filter(long_enough, is_random), lambda x: F.struct(x["start"], x["end"])))
+
+    return _let(
+        F.transform(F.split(run, ""), lambda c: c),
+        lambda chars: _let(F.transform(chars, _place), lambda places: found(chars, places)),
     )
-    return F.array_distinct(F.transform(random, lambda x: F.struct(x["start"], x["end"])))
 
 
 def _hits(rows: DataFrame, name: str, text: Column, pattern: str, present: Column) -> DataFrame:
@@ -215,27 +294,41 @@ def _hits(rows: DataFrame, name: str, text: Column, pattern: str, present: Colum
 def _spans(name: str) -> Column:
     """Places of the matches in code points: lengths of gaps and matches, added up."""
     hits, gaps = F.col(f"_{name}_hits"), F.col(f"_{name}_gaps")
-    kind = KINDS.index(name)
-    empty = F.lit(None).cast("array<struct<start:int,kind:int,end:int>>")
-    found = F.aggregate(
-        F.sequence(F.lit(0), F.size(hits) - 1),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,kind:int,end:int>>").alias("out")),
-        lambda acc, i: F.struct(
-            (acc["at"] + F.length(F.get(gaps, i)) + F.length(F.get(hits, i))).alias("at"),
-            F.concat(
-                acc["out"],
-                F.array(
-                    F.struct(
-                        (acc["at"] + F.length(F.get(gaps, i))).alias("start"),
-                        F.lit(kind).alias("kind"),
-                        (acc["at"] + F.length(F.get(gaps, i)) + F.length(F.get(hits, i))).alias("end"),
-                    )
-                ),
-            ).alias("out"),
+    steps = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda gap, hit: F.length(gap) + F.length(hit))
+    starts = _running(steps, F.lit(0), lambda a, b: a + b)
+    before = F.zip_with(starts, F.slice(gaps, 1, F.size(hits)), lambda at, gap: at + F.length(gap))
+    found = F.zip_with(
+        before,
+        hits,
+        lambda start, hit: F.struct(
+            start.alias("start"), F.lit(KINDS.index(name)).alias("kind"), (start + F.length(hit)).alias("end")
         ),
-        lambda acc: acc["out"],
     )
-    return F.when(F.size(hits) > 0, found).otherwise(empty)
+    return F.when(F.size(hits) > 0, found).otherwise(F.lit(None).cast("array<struct<start:int,kind:int,end:int>>"))
+
+
+def _merged(spans: Column) -> Column:
+    """Sorted spans as (start, end) of those that overlap together."""
+
+    def of(held: Column, reached: Column) -> Column:
+        first = F.filter(F.sequence(F.lit(0), F.size(held) - 1), lambda i: F.get(held, i)["start"] >= F.get(reached, i))
+        whole = F.greatest(F.get(reached, F.size(held) - 1), F.get(held, F.size(held) - 1)["end"])
+        return _let(
+            first,
+            lambda f: F.transform(
+                f,
+                lambda i, k: F.struct(
+                    F.get(held, i)["start"].alias("start"),
+                    F.when(k + 1 < F.size(f), F.get(reached, F.get(f, k + 1))).otherwise(whole).alias("end"),
+                ),
+            ),
+        )
+
+    def with_reached(held: Column) -> Column:
+        return _let(_running(F.transform(held, lambda s: s["end"]), F.lit(-1), F.greatest), lambda reached: of(held, reached))
+
+    empty = F.array().cast("array<struct<start:int,end:int>>")
+    return F.when(F.size(spans) > 0, _let(F.transform(spans, lambda s: s), with_reached)).otherwise(empty)
 
 
 def _listed(spans: Column) -> Column:
@@ -253,8 +346,11 @@ def scan_secrets(docs: DataFrame, ratios: list[float], text_col: str = "text") -
     """The rows with secret_spans: array of (start, kind, end) in code points, sorted by start and kind.
 
     Base kinds are matched from the left without overlap per kind; `markov` are runs that the models call random and
-    that touch no base span, and random parts of the other runs, beside names, paths and base spans. Whole texts are read, row by row and without a shuffle; null and empty texts have no
-    spans, repeated rows equal ones, other columns are carried along, an empty table gives an empty result.
+    random parts of the other runs, beside names and paths. Runs are looked for where base spans are blanked out, so
+    that a run that a base span touches is judged by the pieces that are left; no `markov` span overlaps a base span.
+    Whole texts are read, row by row and without a shuffle; the work grows with the length of a text and its number of
+    spans. Null and empty texts have no spans, repeated rows equal ones, other columns are carried along, an empty table
+    gives an empty result.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = _hits(docs, "assign", text, ASSIGN, text.rlike(ASSIGN))
@@ -263,49 +359,64 @@ def scan_secrets(docs: DataFrame, ratios: list[float], text_col: str = "text") -
     )
     rows = _hits(rows, "access", text, ACCESS, text.contains("AKIA") & text.rlike(ACCESS))
     rows = _hits(rows, "hex", text, HEX, text.rlike(HEX))
-    rows = _hits(rows, "markov", text, CANDIDATE, text.rlike(CANDIDATE))
-    for name in KINDS:
+    for name in KINDS[:3]:
         rows = rows.withColumn(f"_{name}", _spans(name))
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     long_enough = F.filter("_assign", lambda s, i: F.length(F.get(F.col("_assigned"), i)) >= MIN_ASSIGNED)
-    rows = rows.withColumn(
-        "_base",
-        F.concat(F.coalesce(long_enough, none), F.coalesce("_access", none), F.coalesce("_hex", none)),
+    base = F.concat(F.coalesce(long_enough, none), F.coalesce("_access", none), F.coalesce("_hex", none))
+    rows = rows.withColumn("_base", F.array_sort(base))
+
+    # the text with blanks for base spans, of the same length
+    kept = F.zip_with(
+        F.slice("_assign_gaps", 1, F.size("_assign_hits")),
+        F.arrays_zip(F.col("_assign_hits").alias("hit"), F.col("_assigned").alias("value")),
+        lambda gap, m: F.concat(
+            gap, F.when(F.length(m["value"]) >= MIN_ASSIGNED, F.repeat(F.lit(BLANK), F.length(m["hit"]))).otherwise(m["hit"])
+        ),
     )
-
-    def touches(span: Column) -> Column:
-        return F.exists("_base", lambda b: (b["start"] < span["end"]) & (b["end"] > span["start"]))
-
-    def unmarked(run: Column, span: Column) -> Column:
-        """The run with spaces in place of its base spans."""
-        return F.array_join(
-            F.transform(
-                F.split(run, ""),
-                lambda c, k: F.when(
-                    F.exists("_base", lambda b: (b["start"] <= span["start"] + k) & (b["end"] > span["start"] + k)), " "
-                ).otherwise(c),
-            ),
-            "",
-        )
+    rest = F.when(
+        F.size("_assign_hits") > 0, F.concat(F.array_join(kept, ""), F.element_at("_assign_gaps", -1))
+    ).otherwise(text)
+    rest = F.when(F.col("_access").isNotNull(), F.regexp_replace(rest, _ACCESS_CHARS, BLANK)).otherwise(rest)
+    rest = F.when(F.col("_hex").isNotNull(), F.regexp_replace(rest, _HEX_CHARS, BLANK)).otherwise(rest)
+    rows = rows.withColumn("_rest", rest)
+    either = f"{CANDIDATE}|{_BESIDE_BLANK}"
+    rows = _hits(rows, "markov", F.col("_rest"), either, F.col("_rest").rlike(either))
+    rows = rows.withColumn("_markov", _spans("markov"))
 
     def random(span: Column, i: Column) -> Column:
         run = F.get(F.col("_markov_hits"), i)
-        left = F.when(touches(span), unmarked(run, span)).otherwise(run)
+        beside = F.get(F.col("_markov_gaps"), i).endswith(BLANK) | F.get(F.col("_markov_gaps"), i + 1).startswith(BLANK)
         parts = F.transform(
-            _let(left, lambda r: random_parts(r, ratios)),
+            random_parts(run, ratios),
             lambda p: F.struct(
                 (span["start"] + p["start"]).alias("start"), F.lit(KINDS.index("markov")).alias("kind"),
                 (span["start"] + p["end"]).alias("end"),
             ),
         )
-        whole = _mixed(run) & ~touches(span) & (mean_ratio(run, ratios) >= MIN_RATIO)
-        return F.when(whole, F.array(span)).when(_mixed(run), parts).otherwise(none)
+        whole = ~beside & (mean_ratio(run, ratios) >= MIN_RATIO)
+        return F.when(_mixed(run), F.when(whole, F.array(span)).otherwise(parts)).otherwise(none)
+
+    # blanking one kind may leave too little of another that it overlaps; what the models make of that is dropped
+    def clear(spans: Column) -> Column:
+        def of(starts: Column, ends: Column) -> Column:
+            return F.filter(spans, lambda s: _below(starts, s["end"]) <= _below(ends, s["start"] + 1))
+
+        held = _merged(F.col("_base"))
+        apart = _let(
+            held,
+            lambda b: _let(
+                F.transform(b, lambda s: s["start"]),
+                lambda starts: _let(F.transform(b, lambda s: s["end"]), lambda ends: of(starts, ends)),
+            ),
+        )
+        return F.when((F.size(spans) > 0) & (F.size("_base") > 0), apart).otherwise(spans)
 
-    rows = rows.withColumn(
-        "secret_spans",
-        F.array_sort(F.concat("_base", F.coalesce(F.flatten(F.transform("_markov", random)), none))),
+    rows = rows.withColumn("_random", F.coalesce(F.flatten(F.transform("_markov", random)), none))
+    rows = rows.withColumn("secret_spans", F.array_sort(F.concat("_base", clear(F.col("_random")))))
+    return rows.drop(
+        "_assigned", "_base", "_rest", "_random", *[f"_{n}{s}" for n in KINDS for s in ("", "_hits", "_gaps")]
     )
-    return rows.drop("_assigned", "_base", *[f"_{n}{s}" for n in KINDS for s in ("", "_hits", "_gaps")])
 
 
 def span_digest(rows: DataFrame) -> DataFrame:
@@ -326,19 +437,40 @@ def span_digest(rows: DataFrame) -> DataFrame:
 
 
 def redact(rows: DataFrame, text_col: str = "text", placeholder: str = PLACEHOLDER) -> DataFrame:
-    """Scanned rows with every span of their text replaced; overlapping spans become one placeholder."""
+    """Scanned rows with every span of their text replaced; overlapping spans become one placeholder.
+
+    The text is rebuilt in chunks, each from the spans that reach into it.
+    """
     text = F.col(text_col)
-    state = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rebuilt = F.aggregate(
-        "secret_spans",
-        state,
-        lambda acc, s: F.when(
-            s["start"] >= acc["at"],
-            F.struct(
-                s["end"].alias("at"),
-                F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(placeholder)).alias("out"),
+
+    def chunk(part: Column, k: Column, spans: Column, starts: Column, ends: Column) -> Column:
+        first = k * _CHUNK
+        low, high = _below(ends, first + 1), _below(starts, first + F.length(part))
+        state = F.struct(first.alias("at"), F.lit("").alias("out"))
+        return F.aggregate(
+            F.slice(spans, low + 1, F.greatest(high - low, F.lit(0))),
+            state,
+            lambda acc, s: F.struct(
+                F.least(s["end"], first + F.length(part)).alias("at"),
+                F.concat(
+                    acc["out"],
+                    F.when(
+                        s["start"] >= first,
+                        F.concat(F.substring(part, acc["at"] - first + 1, s["start"] - acc["at"]), F.lit(placeholder)),
+                    ).otherwise(""),
+                ).alias("out"),
             ),
-        ).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))),
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
+            lambda acc: F.concat(acc["out"], F.substring(part, acc["at"] - first + 1, F.length(part))),
+        )
+
+    def rebuilt(spans: Column, starts: Column, ends: Column) -> Column:
+        parts = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_CHUNK}}}"), F.lit(0))
+        return F.array_join(F.transform(parts, lambda part, k: chunk(part, k, spans, starts, ends)), "")
+
+    joined = _let(
+        _merged(F.col("secret_spans")),
+        lambda m: _let(
+            F.transform(m, lambda s: s["start"]), lambda a: _let(F.transform(m, lambda s: s["end"]), lambda b: rebuilt(m, a, b))
+        ),
     )
-    return rows.withColumn(text_col, F.when(F.size("secret_spans") > 0, rebuilt).otherwise(text)).drop("secret_spans")
+    return rows.withColumn(text_col, F.when(F.size("secret_spans") > 0, joined).otherwise(text)).drop("secret_spans")
