@@ -216,23 +216,30 @@ def publish_job(
     return f"{table_folder}/{published.folders['ml_predictions']}", path
 
 
-def report_lines(features: DataFrame) -> list[str]:
-    """Rendered statistics report; the inputs are test results of a few rows each."""
+def report_lines(
+    features: DataFrame,
+    factors: tuple[str, ...] = inference.GLM_FACTORS,
+    numbers: tuple[str, ...] = inference.GLM_NUMBERS,
+) -> list[str]:
+    """Rendered statistics report, with a regression on `factors` and `numbers`; its inputs are tables of a few rows each.
+
+    p-values have six digits in tests and three in the regression, whose estimates come from an iteration.
+    """
     features = stage_table(features, "report")
-    glm = inference.glm_logit(features)
+    glm = inference.glm_logit(features, factors, numbers)
     fit = glm.fit.first()
 
     def shown(value: float | None, pattern: str) -> str:
         return "NA" if value is None else format(value, pattern)
 
-    def p_value(r: Row) -> str:
+    def p_value(r: Row, pattern: str = ".6g") -> str:
         """Below the smallest double only the exponent is known."""
-        return f"1e{r.log10_p:.0f}" if r.p_value == 0.0 else shown(r.p_value, ".6g")
+        return f"1e{r.log10_p:.0f}" if r.p_value == 0.0 else shown(r.p_value, pattern)
 
     lines = ["Logistic regression of churn on its drivers"]
     lines += [
         f"  {r.term}: {shown(r.estimate, '.6f')} (SE {shown(r.std_error, '.6f')}, z {shown(r.z, '.3f')}, "
-        f"p {p_value(r)})"
+        f"p {p_value(r, '.3g')})"
         for r in glm.coefficients.orderBy("position").collect()
     ]
     lines.append(
@@ -259,8 +266,13 @@ def report_lines(features: DataFrame) -> list[str]:
     return lines
 
 
-def statistics_job(features: DataFrame, path: str) -> list[str]:
+def statistics_job(
+    features: DataFrame,
+    path: str,
+    factors: tuple[str, ...] = inference.GLM_FACTORS,
+    numbers: tuple[str, ...] = inference.GLM_NUMBERS,
+) -> list[str]:
     """Write the statistics report as text."""
-    lines = report_lines(features)
+    lines = report_lines(features, factors, numbers)
     files.write_text(features.sparkSession, lines, path)
     return lines

@@ -548,50 +548,54 @@ _CELLS = "\nUNION ALL\n".join(
     f"SELECT '{v}' AS variable, {v} AS level, churned, count(*) AS observed FROM planted GROUP BY {v}, churned"
     for v in ("contract_type", "internet_service", "payment_method", "tech_support")
 )
-twin("chi_square", f"""
-, cells AS ({_CELLS}),
+_CHI_SQUARE = f"""
+, counted AS ({_CELLS}),
 crossed AS (
   SELECT l.variable, l.level, y.churned, coalesce(c.observed, 0) AS observed,
     l.n * CAST(y.n AS DOUBLE) / (SELECT count(*) FROM planted) AS expected
-  FROM (SELECT variable, level, sum(observed) AS n FROM cells GROUP BY 1, 2) l
+  FROM (SELECT variable, level, sum(observed) AS n FROM counted GROUP BY 1, 2) l
   CROSS JOIN (SELECT churned, count(*) AS n FROM planted GROUP BY 1) y
-  LEFT JOIN cells c ON c.variable = l.variable AND c.level = l.level AND c.churned = y.churned
+  LEFT JOIN counted c ON c.variable = l.variable AND c.level = l.level AND c.churned = y.churned
 ),
-tests AS (
+crossed_tests AS (
   SELECT variable, sum((observed - expected) * (observed - expected) / expected) AS statistic,
     CAST(count(DISTINCT level) - 1 AS INTEGER) AS df
   FROM crossed GROUP BY variable
 ),
-tails AS (
+crossed_tails AS (
   SELECT variable, sum(CASE WHEN i IN (0, 40000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
     * exp((df / 2e0 - 1) * ln(statistic + i * 0.005e0) - i * 0.0025e0)) * 0.005e0 / 3 AS integral
-  FROM tests, (SELECT unnest(range(40001)) AS i) GROUP BY variable
-)
-SELECT t.variable, {num("statistic", "statistic", 4)}, df,
-  {num("(ln(integral) - statistic / 2 - df / 2e0 * ln(2e0) - lgamma(df / 2e0)) / ln(10e0)", "log10_p", 4)}
-FROM tests t JOIN tails a ON a.variable = t.variable""")
+  FROM crossed_tests, (SELECT unnest(range(40001)) AS i) GROUP BY variable
+)"""
+_CHI_SQUARE_LOG10_P = "(ln(integral) - statistic / 2 - df / 2e0 * ln(2e0) - lgamma(df / 2e0)) / ln(10e0)"
+twin("chi_square", f"""{_CHI_SQUARE}
+SELECT variable, {num("statistic", "statistic", 4)}, df, {num(_CHI_SQUARE_LOG10_P, "log10_p", 4)}
+FROM crossed_tests JOIN crossed_tails USING (variable)""")
 _MOMENTS = "\nUNION ALL\n".join(
     f"SELECT '{v}' AS variable, churned, count({v}) AS n, avg(CAST({v} AS DOUBLE)) AS m, "
     f"var_samp(CAST({v} AS DOUBLE)) AS v FROM planted GROUP BY churned"
     for v in ("monthly_charges", "tenure_months", "ticket_count")
 )
-twin("welch_t", f"""
+_WELCH = f"""
 , moments AS ({_MOMENTS}),
-tests AS (
+moment_tests AS (
   SELECT a.variable, a.m AS m0, b.m AS m1, (a.m - b.m) / sqrt(a.v / a.n + b.v / b.n) AS t,
     (a.v / a.n + b.v / b.n) ** 2 / ((a.v / a.n) ** 2 / (a.n - 1) + (b.v / b.n) ** 2 / (b.n - 1)) AS df
   FROM moments a JOIN moments b ON a.variable = b.variable AND a.churned = 0 AND b.churned = 1
 ),
-tails AS (
+moment_tails AS (
   SELECT variable, sum(CASE WHEN i IN (0, 60000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
     * exp(-(df + 1) / 2 * (ln(1 + (abs(t) + i * 0.0005e0) ** 2 / df) - ln(1 + t ** 2 / df)))) * 0.0005e0 / 3 AS integral
-  FROM tests, (SELECT unnest(range(60001)) AS i) GROUP BY variable
+  FROM moment_tests, (SELECT unnest(range(60001)) AS i) GROUP BY variable
+)"""
+_WELCH_LOG10_P = (
+    "(ln(2 * integral) - (df + 1) / 2 * ln(1 + t ** 2 / df) + lgamma((df + 1) / 2) - lgamma(df / 2) "
+    "- ln(pi() * df) / 2) / ln(10e0)"
 )
-SELECT t.variable, {num("m0", "mean_retained", 4)}, {num("m1", "mean_churned", 4)}, {num("t", "t", 4)},
-  {num("df", "df", 4)},
-  {num("(ln(2 * integral) - (df + 1) / 2 * ln(1 + t ** 2 / df) + lgamma((df + 1) / 2) - lgamma(df / 2) "
-       "- ln(pi() * df) / 2) / ln(10e0)", "log10_p", 4)}
-FROM tests t JOIN tails a ON a.variable = t.variable""")
+twin("welch_t", f"""{_WELCH}
+SELECT variable, {num("m0", "mean_retained", 4)}, {num("m1", "mean_churned", 4)}, {num("t", "t", 4)},
+  {num("df", "df", 4)}, {num(_WELCH_LOG10_P, "log10_p", 4)}
+FROM moment_tests JOIN moment_tails USING (variable)""")
 _ONE_FACTOR = """
 , odds AS (
   SELECT contract_type AS level, CAST(count(*) FILTER (churned = 1) AS DOUBLE) AS ones,
@@ -687,17 +691,49 @@ SELECT position, term, {num("exp(estimate)", "odds_ratio", 3)},
   {num("exp(estimate - 1.959963984540054e0 * std_error)", "lower", 3)},
   {num("exp(estimate + 1.959963984540054e0 * std_error)", "upper", 3)}
 FROM coefficients""")
-twin("mcfadden_r2", f"""{_MIXED},
-deviances AS (
+_DEVIANCES = """deviances AS (
   SELECT -2 * (sum(ones) * ln(sum(ones) / sum(n)) + sum(n - ones) * ln(1 - sum(ones) / sum(n))) AS without,
     -2 * sum(ones * ln(p) + (n - ones) * ln(1 - p)) AS with_terms, CAST(sum(n) AS BIGINT) AS n,
     count(DISTINCT level) + 1 AS terms
   FROM (SELECT c.*, 1 / (1 + exp(-(s.a + s.b * c.x))) AS p FROM cells c JOIN at9 s USING (level))
-)
+)"""
+twin("mcfadden_r2", f"""{_MIXED},
+{_DEVIANCES}
 SELECT {num("without", "null_deviance", 4)}, n - 1 AS null_df, {num("with_terms", "residual_deviance", 4)},
   n - terms AS residual_df, {num("with_terms + 2 * terms", "aic", 4)}, {num("1 - with_terms / without", "mcfadden_r2", 4)}
 FROM deviances""")
 
+
+def _p_value(log10_p: str, digits: int) -> str:
+    """A p-value as text; below the smallest double only the exponent is known."""
+    return f"CASE WHEN 10e0 ** ({log10_p}) = 0 THEN printf('1e%.0f', {log10_p}) ELSE printf('%.{digits}g', 10e0 ** ({log10_p})) END"
+
+
+twin("statistics_report", f"""{_MIXED},
+{_DEVIANCES},
+{_TAILS}
+{_CHI_SQUARE}
+{_WELCH}
+SELECT unnest(['Logistic regression of churn on its drivers', 'Odds ratios with 95% intervals',
+  'Chi-square tests of churn and category', 'Welch t-tests, retained minus churned']) AS value
+UNION ALL
+SELECT printf('  %s: %.6f (SE %.6f, z %.3f, p %s)', term, estimate, std_error, estimate / std_error, {_p_value(_LOG10_P, 3)})
+FROM coefficients JOIN tails USING (position)
+UNION ALL
+SELECT printf('  deviance %.1f (%d df) without terms, %.1f (%d df) with terms, AIC %.1f, McFadden R2 %.4f',
+  without, n - 1, with_terms, n - terms, with_terms + 2 * terms, round(1 - with_terms / without, 4))
+FROM deviances
+UNION ALL
+SELECT printf('  %s: %.3f [%.3f, %.3f]', term, round(exp(estimate), 3),
+  round(exp(estimate - 1.959963984540054e0 * std_error), 3), round(exp(estimate + 1.959963984540054e0 * std_error), 3))
+FROM coefficients
+UNION ALL
+SELECT printf('  %s: X2 %.2f, df %d, p %s', variable, statistic, df, {_p_value(_CHI_SQUARE_LOG10_P, 6)})
+FROM crossed_tests JOIN crossed_tails USING (variable)
+UNION ALL
+SELECT printf('  %s: means %.2f and %.2f, t %.2f, df %.1f, p %s', variable, m0, m1, t, df, {_p_value(_WELCH_LOG10_P, 6)})
+FROM moment_tests JOIN moment_tails USING (variable)""")
+
 # --- fitted models on planted rules: the right fit follows from the rule
 
 _RULE = "CASE WHEN contract_type = 'Month-to-month' THEN 1 ELSE 0 END"
