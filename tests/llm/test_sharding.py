@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import runs_python
@@ -69,3 +70,37 @@ def test_empty_table_and_plan(make_docs):
     docs, _ = sharding.shard_documents(make_docs([]))
     assert docs.collect() == []
     assert not runs_python(docs)
+
+
+def test_a_hot_id_and_hot_rows_are_divided(make_docs, monkeypatch):
+    """Small bounds, so that the hot slot has many parts and the hot row many runs; the result is the same."""
+    rows = [(5, f"text {i}") for i in range(300)] + [(6, "same")] * 95 + [(None, None)] * 31 + [(i, "x") for i in range(50)]
+    docs = make_docs(rows)
+    whole = sorted(str((r["doc_id"], r["size"], r["text_crc32"], r["shard"])) for r in sharding.shard_documents(docs)[0].collect())
+    monkeypatch.setattr(sharding, "ROWS_PER_PART", 20)
+    monkeypatch.setattr(sharding, "COPIES_AT_ONCE", 10)
+    found = sharding.shard_documents(docs.repartition(7))[0].collect()
+    check(rows, found)
+    assert sorted(str((r["doc_id"], r["size"], r["text_crc32"], r["shard"])) for r in found) == whole
+    again = sharding.shard_documents(docs.coalesce(1))[0].collect()
+    assert sorted(map(str, found)) == sorted(map(str, again))  # places do not depend on the stored order
+
+
+def test_stored_versions(spark, make_docs, tmp_path):
+    folder = str(tmp_path / "map")
+    docs, versions = sharding.shard_documents(make_docs([(i, "t" * i) for i in range(60)]), 24, map_folder=folder)
+    assert sharding.map_versions(spark, folder) == [1, 2]
+    newest = sharding.open_map(spark, folder)
+    assert {r["version"] for r in newest.collect()} == {2}
+    moves = spark.createDataFrame([(0, 3)], "virtual_slot int, to_shard int")
+    edited = sharding.rebalance(newest, moves)
+    assert sharding.save_map(edited, folder) == 3
+    with pytest.raises(ValueError):
+        sharding.save_map(edited, folder)  # an edit of version 2, which is not the newest one any more
+    assert sharding.open_map(spark, folder).where("virtual_slot = 0").first()["shard"] == 3
+    old = sharding.open_map(spark, folder, 1)
+    assert sorted(old.collect()) == sorted(versions.where("version = 1").collect())
+    with pytest.raises(FileNotFoundError):
+        sharding.open_map(spark, folder, 9)
+    with pytest.raises(ValueError):
+        sharding.shard_documents(make_docs([(1, "x")]), map_folder=folder)
