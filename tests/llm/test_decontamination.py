@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 
@@ -68,6 +69,37 @@ def test_items_dense_in_numbers(leaks):
     assert all(r["coverage"] == 1.0 and r["changed"] for r in found.values())
 
 
+@pytest.mark.parametrize("old, new", [("Šárka", "Łucja"), ("Мария", "Елена"), ("Ελένη", "Σοφία"), ("Õnne", "Şebnem")])
+def test_names_of_any_script(leaks, old, new):
+    item = ITEM.replace("Alice", old)
+    found = leaks([(1, FILL + item.replace(old, new)), (2, item.upper()), (3, item.replace(old, new.lower(), 1)), (4, FILL)], [(10, item)])
+    assert {(1, 10), (2, 10)} <= set(found) and (4, 10) not in found
+    assert found[1, 10]["changed"] and found[1, 10]["coverage"] == 1.0 and not found[2, 10]["changed"]
+
+
+def test_lower_case_and_capitals_are_those_of_unicode():
+    rng = random.Random(3)
+    alphabet = "aZäÖßşİŁжДΣςéÉ中あǅ𝐀𐐀"
+    texts = ["".join(rng.choices(alphabet, k=rng.randrange(1, 6))) for _ in range(400)]
+    data, offsets = decontamination._texts(texts)
+    words = decontamination.Words(data, offsets * 0, offsets[:-1], offsets[1:])
+    hashes = decontamination.folded_hashes(words)
+    same = {}
+    for t, h in zip(texts, hashes.tolist()):
+        same.setdefault(t.lower(), set()).add(h)
+    assert all(len(s) == 1 for s in same.values()) and len(set.union(*same.values())) == len(same)
+    assert decontamination._capitals(words).tolist() == [t[0].isupper() or t[0].istitle() for t in texts]
+
+
+def test_long_items_of_numbers_in_a_long_text(leaks):
+    """Whole items of many lengths; the time does not grow with the length of an item."""
+    items = [(n, f"Please sort {' '.join(str(k) for k in range(n))} right now") for n in range(200, 260)]
+    texts = [(n, f"Please sort {' '.join(str(3 * k) for k in range(n))} right now. {FILL * 50}") for n in (200, 259)]
+    began = time.monotonic()
+    found = leaks(texts, items)
+    assert {(200, 200), (259, 259)} <= set(found) and time.monotonic() - began < 60
+
+
 def test_partial_passages(leaks):
     words = ITEM.split()
     texts = [(1, FILL + " ".join(words[: len(words) * 3 // 4])), (2, FILL + " ".join(words[:10]) + " " + FILL)]

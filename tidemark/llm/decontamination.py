@@ -19,8 +19,8 @@ WIDE_PLAIN, MIN_ITEM_PLAIN = WINDOW // 2, 2
 MIN_COVERAGE = 0.5
 #: Places of the filter that spares windows without a partner the join; its size does not depend on any table.
 FILTER_BITS = 1 << 23
-#: A benchmark of at most so many bytes of windows may be broadcast; larger ones are joined by shuffle.
-BROADCAST_WINDOWS = 200_000
+#: Item windows may be broadcast if they and their slots are at most so many, about 40 MB; more are joined by shuffle.
+BROADCAST_CELLS = 1_000_000
 # Units of measure that may stand after a number.
 UNITS = (
     "mm cm m km inch inches ft foot feet yard yards mile miles mg g kg gram grams lb lbs pound pounds ounce ounces ton "
@@ -74,14 +74,51 @@ def find_tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarra
     return words, first
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place of one of each distinct key, number of its distinct key per key)."""
+    _, at, number = np.unique(keys, return_index=True, return_inverse=True)
+    return at, number
+
+
+def folded_hashes(words: Words) -> np.ndarray:
+    """A hash per word in lower case, by Unicode; words beyond ASCII are lowered once per distinct word."""
+    hashes = word_hashes(words)
+    beyond = np.concatenate([[0], np.cumsum(words.data >= 0x80)])
+    places = np.flatnonzero(beyond[words.end] > beyond[words.start])
+    if len(places):
+        at, number = _distinct(hashes[places])
+        spans = zip(words.start[places[at]].tolist(), words.end[places[at]].tolist())
+        data, offsets = _texts([words.data[i:j].tobytes().decode("utf-8", "replace").lower() for i, j in spans])
+        lowered = word_hashes(Words(data, np.arange(len(offsets)), offsets[:-1], offsets[1:]))
+        hashes[places] = lowered[number]
+    return hashes
+
+
+def _capitals(words: Words) -> np.ndarray:
+    """Whether words begin with a capital letter of any script."""
+    data, start = words.data, words.start
+    lead = data[start]
+    capital = (lead >= 0x41) & (lead <= 0x5A)
+    places = np.flatnonzero(lead >= 0xC0)
+    if len(places):
+        length = 2 + (lead[places] >= 0xE0) + (lead[places] >= 0xF0)
+        code = np.zeros(len(places), dtype=np.uint32)
+        for k in range(4):
+            byte = data[np.minimum(start[places] + k, len(data) - 1)].astype(np.uint32)
+            code = np.where(k < length, code << np.uint32(8) | byte, code)
+        at, number = _distinct(code)
+        letters = [int(c).to_bytes(4, "big").lstrip(b"\0").decode("utf-8", "replace") for c in code[at]]
+        capital[places] = np.array([c.isupper() or c.istitle() for c in letters])[number]
+    return capital
+
+
 def classify(words: Words, first: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """PLAIN, NUMBER, NAME (capital inside a sentence), UNIT (after a number) or FIRST (capital that opens one)."""
     kinds = np.zeros(len(hashes), dtype=np.int8)
     if not len(hashes):
         return kinds
     lead = words.data[words.start]
-    after = words.data[np.minimum(words.start + 1, len(words.data) - 1)]
-    capital = ((lead >= 0x41) & (lead <= 0x5A)) | ((lead == 0xC3) & (after >= 0x80) & (after <= 0x9E) & (after != 0x97))
+    capital = _capitals(words)
     kinds[capital] = NAME
     kinds[capital & first] = FIRST
     kinds[_DIGIT[lead]] = NUMBER
@@ -117,7 +154,7 @@ def _windows(
     filter's places, for documents, which give both widened windows and all whole widths; None is for items.
     """
     words, first = find_tokens(data, offsets)
-    hashes = word_hashes(words)
+    hashes = folded_hashes(words)
     kinds = classify(words, first, hashes)
     codes = np.where(kinds == PLAIN, hashes, _CODES[kinds])
     plain = np.concatenate([[0], np.cumsum(kinds == PLAIN)])
@@ -144,7 +181,8 @@ def _windows(
         if passes is not None or width < WINDOW:
             template |= held >= MIN_ITEM_PLAIN
         at = np.flatnonzero(whole & template & (held < width))
-        yield from rows(1, at, at + width, at, window_hashes(codes, width)[at], width)
+        found = window_hashes(codes, width)[at] if width <= WINDOW else span_hashes(codes, at, at + width)
+        yield from rows(1, at, at + width, at, found, width)
         if width != WINDOW:
             continue
         at = np.flatnonzero(whole & (2 * held < width))
@@ -157,9 +195,10 @@ def _windows(
             at = at[(left < 0) & (right < 0)]
             start, end = begin[at], words.first[1:][owner[at]]
             use = plain[end] - plain[start] >= MIN_ITEM_PLAIN
-            for i, j, k in zip(start[use].tolist(), end[use].tolist(), at[use].tolist()):
-                found = window_hashes(codes[i:j], j - i)
-                yield from rows(1, np.array([i]), np.array([j]), np.array([k]), found, width)
+            start, end, at = start[use], end[use], at[use]
+            same = end - start == WINDOW
+            found = np.where(same, window_hashes(codes, WINDOW)[np.minimum(start, n - 1)], span_hashes(codes, start, end))
+            yield from rows(1, start, end, at, found, width)
 
 
 _SCHEMA = "id long, place long, stands long, hash long, width int, kind int, slots array<struct<type:int,value:long>>"
@@ -203,7 +242,7 @@ def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         for at, stop, data, offsets in text_chunks(batch.column(1)):
             words, first = find_tokens(data, offsets)
-            plain = np.concatenate([[0], np.cumsum(classify(words, first, word_hashes(words)) == PLAIN)])
+            plain = np.concatenate([[0], np.cumsum(classify(words, first, folded_hashes(words)) == PLAIN)])
             held = plain[words.first[1:]] - plain[words.first[:-1]]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(at, stop - at), pa.array(np.diff(words.first), pa.int64()), pa.array(held < 2 * WIDE_PLAIN)],
@@ -214,7 +253,7 @@ def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, item_id, coverage, matched_windows, item_windows, changed) of documents that hold a benchmark item.
 
-    Both sides become tokens; a literal window is WINDOW words in lower case, a template window has placeholders for
+    Both sides become tokens; a literal window is WINDOW words in lower case (of any script), a template window has placeholders for
     numbers, names, units and for a capitalised word that opens a sentence; one with few plain words is widened until it
     holds WIDE_PLAIN of them, or to the whole item, and stands for its place. Windows meet by a join on their hash. Literal
     windows always count. Template windows count where, per alignment of a document and an item, each number, name and
@@ -253,7 +292,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
         .withColumnsRenamed({"id": "doc_id"})
         .drop("stands")
     )
-    if item_windows.count() <= BROADCAST_WINDOWS:
+    cells = item_windows.agg(F.sum(1 + F.size("item_slots"))).first()[0]
+    if (cells or 0) <= BROADCAST_CELLS:
         item_windows = F.broadcast(item_windows)
     met = doc_windows.join(item_windows, ["hash", "kind"]).withColumn("shift", F.col("place") - F.col("item_start"))
     met = met.withColumn(
