@@ -5,6 +5,9 @@ from __future__ import annotations
 import math
 import random
 import re
+import time
+
+import pytest
 
 from tests.llm.conftest import runs_python
 from tidemark.llm import license_scan as ls
@@ -75,3 +78,33 @@ def test_order_runs_from_rare_to_frequent():
     tokens, rows = ls.ordered_templates({"a": 5, "b": 1}, (("x", "a b c"), ("y", "a a")))
     assert tokens == ["c", "b", "a"]
     assert rows == [(0, "x", [1, 2, 3], 3), (1, "y", [3], 1)]
+
+
+def test_whole_license_texts_as_templates(make_docs):
+    rng = random.Random(11)
+    vocabulary = [f"{a}{b}{c}" for a in "bdfgklmnprst" for b in "aeiou" for c in "lnrst"]
+    license_text = " ".join(rng.choices(vocabulary, k=400)).capitalize() + "."
+    other = " ".join(rng.choices(vocabulary, k=20))
+    words = license_text.split()
+    changed = [w if k % 50 else "other" for k, w in enumerate(words)]
+    rows = [
+        (1, "zz " * 45 + license_text), (2, " ".join(changed)), (3, " ".join(words[:200])), (4, other + " zz"),
+        (5, " ".join(words[200:] + words[:200])), (6, "zz"),
+    ]
+    df = ls.scan_licenses(make_docs(rows), templates=[("long", license_text), ("short", other), ("none", " . ")])
+    found = {r["doc_id"]: (r["labels"], r["score"]) for r in df.collect()}
+    assert {i: label for i, (label, _) in found.items()} == {1: "long", 2: "long", 3: "", 4: "short", 5: "long", 6: ""}
+    assert found[1][1] == 1.0 and 0.9 <= found[2][1] < 1.0 and found[3][1] == 0.0
+    pieces = ls.passages([("long", license_text)])
+    assert " ".join(p[2] for p in pieces) == license_text.lower().rstrip(".") and all(len(p[2].split()) <= 33 for p in pieces)
+    with pytest.raises(ValueError):
+        ls.scan_licenses(make_docs(rows), templates=[])
+
+
+def test_one_very_long_text(make_docs):
+    """A text of 600,000 words, most of which are template tokens, in blocks that all hold a rare one."""
+    text = "the software license version of gnu " * 100_000 + "Licensed under CC BY-SA 4.0"
+    began = time.monotonic()
+    found = ls.scan_licenses(make_docs([(1, text)])).collect()
+    assert found[0]["labels"] == "cc-by-sa" and found[0]["n_words"] == 600_007
+    assert time.monotonic() - began < 60

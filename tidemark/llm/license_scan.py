@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -77,31 +79,50 @@ def ordered_templates(counts: dict[str, int], templates=TEMPLATES) -> tuple[list
     return tokens, rows
 
 
+def passages(templates: Sequence[tuple[str, str]]) -> list[tuple[int, str, str, int]]:
+    """(template, label, words, passages needed): templates in pieces of equal length, at most BLOCK_STEP + 1 words each.
+
+    A passage of that length lies in one block, so a whole license text can be looked for as well as a sentence. Words
+    are those of the scan. A template counts where MIN_CONTAINMENT of its passages are found; one without words never does.
+    """
+    out = []
+    for number, (label, text) in enumerate(templates):
+        words = re.sub(_NO_WORD, " ", text.lower()).split()
+        pieces = math.ceil(len(words) / (BLOCK_STEP + 1))
+        need = math.ceil(MIN_CONTAINMENT * pieces - 1e-9)
+        cuts = [len(words) * k // pieces for k in range(pieces + 1)] if pieces else []
+        out += [(number, label, " ".join(words[i:j]), need) for i, j in zip(cuts, cuts[1:])]
+    return out
+
+
 def _blocks(docs: DataFrame, tokens: list[str], prefix_ranks: list[int]) -> DataFrame:
-    """(doc_id, text_hash, block, ranks): template tokens of every block that holds a token of some template's prefix."""
-    names = F.array(*map(F.lit, tokens))
-    places = docs.withColumn("_words", F.split(F.btrim("_spaced"), " ")).withColumn(
-        "_places",
-        F.filter(
-            F.transform("_words", lambda w, i: F.struct(i.alias("at"), F.array_position(names, w).cast("int").alias("rank"))),
-            lambda p: p["rank"] > 0,
-        ),
-    )
-    rare = F.filter("_places", lambda p: F.array_contains(F.array(*map(F.lit, prefix_ranks)), p["rank"]))
-    last = F.transform(rare, lambda p: F.floor(p["at"] / BLOCK_STEP))
-    numbers = F.filter(F.array_distinct(F.concat(last, F.transform(last, lambda b: b - 1))), lambda b: b >= 0)
-    exploded = places.select("doc_id", "text_hash", "_places", F.explode(numbers).alias("block"))
-    inside = F.filter(
-        "_places",
-        lambda p: (p["at"] >= F.col("block") * BLOCK_STEP) & (p["at"] < F.col("block") * BLOCK_STEP + BLOCK_WORDS),
-    )
-    return exploded.select(
-        "doc_id", "text_hash", "block", F.sort_array(F.array_distinct(F.transform(inside, lambda p: p["rank"]))).alias("ranks")
-    )
+    """(doc_id, text_hash, block, ranks): template tokens of every block that holds a token of some template's prefix.
+
+    A text becomes one rank per word (0: no template token), and each block is a slice of that, so the work and the
+    memory of a text grow with its length. The lambdas bind the ranks and the block numbers, which are made once.
+    """
+    names, prefix = F.array(*map(F.lit, tokens)), F.array(*map(F.lit, prefix_ranks))
+
+    def block(ranks: Column, number: Column) -> Column:
+        inside = F.filter(F.slice(ranks, number * BLOCK_STEP + 1, BLOCK_WORDS), lambda r: r > 0)
+        return F.struct(number.alias("block"), F.sort_array(F.array_distinct(inside)).alias("ranks"))
+
+    def blocks(ranks: Column) -> Column:
+        last = F.array_distinct(
+            F.array_compact(
+                F.transform(ranks, lambda r, i: F.when(F.array_contains(prefix, r), F.floor(i / BLOCK_STEP).cast("int")))
+            )
+        )
+        numbers = F.flatten(F.transform(F.array(last), lambda x: F.array_union(x, F.transform(x, lambda b: b - 1))))
+        return F.transform(F.filter(numbers, lambda b: b >= 0), lambda b: block(ranks, b))
+
+    ranks = F.transform(F.split(F.btrim("_spaced"), " "), lambda w: F.array_position(names, w).cast("int"))
+    found = F.flatten(F.transform(F.array(ranks), blocks))
+    return docs.select("doc_id", "text_hash", F.inline(found))
 
 
 def _joined(blocks: DataFrame, templates: list[tuple]) -> DataFrame:
-    """(doc_id, text_hash, block, label, containment) of all block and template pairs that meet the threshold.
+    """(doc_id, text_hash, block, passage, label, containment) of all block and template pairs that meet the threshold.
 
     A block that holds `need` of a template's n ranks holds one of its n - need + 1 rarest (prefix). At the first shared
     rank, what follows it on both sides must suffice (position), and so must the block's size (length). Survivors are
@@ -114,7 +135,7 @@ def _joined(blocks: DataFrame, templates: list[tuple]) -> DataFrame:
             for number, label, ranks, need in templates
             for place, rank in enumerate(ranks[: len(ranks) - need + 1])
         ],
-        "rank int, template int, place int, size int, need int, label string, template_ranks array<int>",
+        "rank int, passage int, place int, size int, need int, label string, template_ranks array<int>",
     )
     entries = blocks.select("*", F.posexplode("ranks").alias("at", "rank"))
     met = entries.join(F.broadcast(index), "rank")
@@ -122,14 +143,34 @@ def _joined(blocks: DataFrame, templates: list[tuple]) -> DataFrame:
     passed = met.where((F.size("ranks") >= F.col("need")) & (rest >= F.col("need")))
     shared = F.size(F.array_intersect("ranks", "template_ranks"))
     return passed.where(shared >= F.col("need")).select(
-        "doc_id", "text_hash", "block", "label", (shared / F.col("size")).alias("containment")
+        "doc_id", "text_hash", "block", "passage", "label", (shared / F.col("size")).alias("containment")
     )
 
 
-def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _whole_templates(met: DataFrame, pieces: list[tuple[int, str, str, int]]) -> DataFrame:
+    """(doc_id, text_hash, more, containment): labels of the templates with enough passages, and the best containment."""
+    of = [(k, number, need, sum(p[0] == number for p in pieces)) for k, (number, _, _, need) in enumerate(pieces)]
+    owners = met.sparkSession.createDataFrame(of, "passage int, template int, least int, pieces int")
+    best = met.groupBy("doc_id", "text_hash", "label", "passage").agg(F.max("containment").alias("containment"))
+    held = best.join(F.broadcast(owners), "passage").groupBy("doc_id", "text_hash", "label", "template", "least", "pieces").agg(
+        F.count(F.lit(1)).alias("found"), F.sum("containment").alias("held")
+    )
+    return held.where("found >= least").groupBy("doc_id", "text_hash").agg(
+        F.collect_set("label").alias("more"), F.max(F.col("held") / F.col("pieces")).alias("containment")
+    )
+
+
+def scan_licenses(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    templates: Sequence[tuple[str, str]] = TEMPLATES,
+) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) of every row.
 
-    `score` is 1 where a base phrase stands, else the best containment of a template that meets the threshold, else 0.
+    `templates` are (label, text), from a sentence to a whole license; their words go into the plan, so they are some
+    hundred texts at most. `score` is 1 where a base phrase stands, else the best containment of a template that meets
+    the threshold (the mean over its passages), else 0.
     Null and empty texts have no words and no labels; repeated rows get equal results; null ids are kept; extra columns
     are ignored; an empty table gives an empty result. Texts are read whole and never shuffled; the second pass looks
     only at texts with a token of some template's prefix.
@@ -139,19 +180,18 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     source = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), _spaced(text).alias("_spaced")
     )
-    vocabulary = sorted({w for _, t in TEMPLATES for w in t.split()})
+    pieces = passages(templates)
+    if not pieces:
+        raise ValueError("no template has a word")
+    vocabulary = sorted({w for _, _, words, _ in pieces for w in words.split()})
     known = F.array_intersect(F.split("_spaced", " "), F.array(*map(F.lit, vocabulary)))
     base = stage_table(base_hits(source).withColumn("known", known).drop("_spaced"), "licenses")
     counted = base.select(F.explode("known").alias("token")).groupBy("token").count().collect()
-    tokens, templates = ordered_templates({r["token"]: r["count"] for r in counted})
-    prefix = sorted({r for _, _, ranks, need in templates for r in ranks[: len(ranks) - need + 1]})
+    tokens, ranked = ordered_templates({r["token"]: r["count"] for r in counted}, [p[1:3] for p in pieces])
+    prefix = sorted({r for _, _, ranks, need in ranked for r in ranks[: len(ranks) - need + 1]})
     candidate = F.col("_spaced").rlike(f" (?:{'|'.join(tokens[r - 1] for r in prefix)}) ")
-    found = (
-        _joined(_blocks(source.where(candidate), tokens, prefix), templates)
-        .groupBy("doc_id", "text_hash")
-        .agg(F.collect_set("label").alias("more"), F.max("containment").alias("containment"))
-        .withColumnsRenamed({"doc_id": "found_id", "text_hash": "found_hash"})
-    )
+    met = _joined(_blocks(source.where(candidate), tokens, prefix), ranked)
+    found = _whole_templates(met, pieces).withColumnsRenamed({"doc_id": "found_id", "text_hash": "found_hash"})
     joined = base.join(
         found, F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("text_hash") == F.col("found_hash")), "left"
     )
