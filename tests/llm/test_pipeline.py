@@ -76,5 +76,5 @@ def test_rejected_documents_are_judged_once(spark, make_docs):
 
 def test_registered(spark):
     names = [n for n in contract.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in contract.queries()
