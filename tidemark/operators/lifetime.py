@@ -11,7 +11,7 @@ from tidemark.operators.evaluation import regression_metrics
 from tidemark.operators.features import CATEGORICAL, NUMERIC_NO_TENURE
 from tidemark.operators.models import SEED, encoder
 from tidemark.operators.splits import exact_split
-from tidemark.session import spread, stage_table
+from tidemark.session import forest_rows_per_task, spread, stage_table
 
 
 def fit_lifetime_model(
@@ -30,7 +30,13 @@ def fit_lifetime_model(
         numTrees=trees, maxDepth=8, featureSubsetStrategy="all", seed=seed,
     )
     train, test = parts.where(~F.col("is_test")), parts.where("is_test")
-    model = Pipeline(stages=[*encoder(CATEGORICAL, NUMERIC_NO_TENURE), forest]).fit(spread(train, train.count(), 500))
+    n_train = train.count()
+    rows = spread(train, n_train, forest_rows_per_task(n_train)).persist()
+    try:
+        # every stage reads them, some several times; dealt and sorted once
+        model = Pipeline(stages=[*encoder(CATEGORICAL, NUMERIC_NO_TENURE), forest]).fit(rows)
+    finally:
+        rows.unpersist()
     return model, regression_metrics(model.transform(test), "tenure_months", "predicted_tenure")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from tidemark.operators.evaluation import binary_metrics
 from tidemark.operators.features import CATEGORICAL, NUMERIC
 from tidemark.schemas import MODEL_COMPARISON
-from tidemark.session import shared_folder, side_by_side, spread, stage_table
+from tidemark.session import forest_rows_per_task, shared_folder, side_by_side, spread, stage_table
 
 SEED = 42
 LABEL, WEIGHT = "churned", "class_weight"
@@ -130,11 +130,14 @@ def fit_classifier(
     n_train, n_labelled = train.agg(F.count("*"), F.count_if(F.col(LABEL).isin(0, 1))).first()
     if n_train != n_labelled:
         raise ValueError(f"{n_train - n_labelled} training rows have no label 0 or 1")
-    # A forest grows all of its trees at once, so a row costs it far more.
-    rows_per_task = 500 if name == "random_forest" else 20_000
+    rows_per_task = forest_rows_per_task(n_train) if name == "random_forest" else 20_000
     rows = with_class_weight(train.select(*categorical, *numeric, LABEL), scheme)
-    rows = spread(rows, n_train, rows_per_task)  # last, as a join above would drop the order
-    return Pipeline(stages=[*encoder(categorical, numeric), classifier(name, n_train, trees, seed)]).fit(rows)
+    rows = spread(rows, n_train, rows_per_task).persist()  # last, as a join above would drop the order
+    try:
+        # every stage reads them, some several times; dealt and sorted once
+        return Pipeline(stages=[*encoder(categorical, numeric), classifier(name, n_train, trees, seed)]).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def with_probability(model: PipelineModel, rows: DataFrame, column: str = "churn_probability") -> DataFrame:

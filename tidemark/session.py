@@ -14,6 +14,9 @@ from pyspark.util import inheritable_thread_target
 
 Result = TypeVar("Result")
 
+#: Tasks of a forest fit that are enough for a usual cluster, and the rows beyond which a task is divided again.
+FOREST_TASKS, FOREST_ROWS_PER_TASK = 48, 50_000
+
 
 def build_session(app_name: str = "tidemark", master: str | None = None, **settings: str) -> SparkSession:
     """Session with the settings the jobs are tuned for; `settings` win over the defaults.
@@ -84,6 +87,16 @@ def spread(df: DataFrame, n_rows: int, rows_per_task: int = 20_000) -> DataFrame
     return df.repartition(n_rows // rows_per_task + 1, *columns).sortWithinPartitions(*columns)
 
 
+def forest_rows_per_task(n_rows: int) -> int:
+    """Rows per task of a forest fit, for `spread`.
+
+    A row costs a forest far more than other fits, as all trees grow at once, so few rows fill a task. But every task
+    also sends one set of sums per open node of every tree, however few rows it has, so beyond FOREST_TASKS tasks they
+    get more rows instead, and there are more tasks only where one would hold over FOREST_ROWS_PER_TASK.
+    """
+    return min(max(500, n_rows // FOREST_TASKS + 1), FOREST_ROWS_PER_TASK)
+
+
 def side_by_side(spark: SparkSession, fits: list[Callable[[], Result]], workers: int = 4) -> list[Result]:
     """Run independent model fits at the same time, so that their many short jobs fill the cluster."""
     tagged = [inheritable_thread_target(spark)(fit) for fit in fits]
