@@ -8,10 +8,10 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.operators.models import feature_names
-from tidemark.session import new_path
+from tidemark.session import new_path, stage_table
 
 #: What the usual chart of drivers shows.
 TOP_DRIVERS = 15
@@ -65,12 +65,14 @@ def linear_contributions(
     return contributions(explained, key, F.col("_x"), names, weights, centre), base
 
 
-def _tree_nodes(model: PipelineModel) -> tuple[DataFrame, float, str]:
-    """(inner nodes of all trees, base, scale) of a pipeline that ends in a forest or in boosted trees.
+def _tree_leaves(model: PipelineModel) -> tuple[DataFrame, float, str]:
+    """(leaves of all trees, base, scale) of a pipeline that ends in a forest or in boosted trees.
 
     A node's value is the score of the training rows that reach it, on the scale of the sum: for boosting the logit,
-    which is twice the weighted sum of the trees, for a forest the mean probability. An inner node tells by how much the
-    value changes on either side of its split. Nodes are read from the saved form of the model.
+    which is twice the weighted sum of the trees, for a forest the mean probability. A leaf has the number under which
+    the model reports it, from the left, and for every slot by how much the value changes at the slot's splits on the
+    way from the root. Nodes are read from the saved form of the model, where a node's children come after it, the left
+    before the right; leaves are at most trees x 2 ** depth.
     """
     last = model.stages[-1]
     if isinstance(last, GBTClassificationModel):
@@ -88,7 +90,7 @@ def _tree_nodes(model: PipelineModel) -> tuple[DataFrame, float, str]:
     weight = F.get(F.array(*[F.lit(w) for w in weights]), F.col("treeID"))
     nodes = spark.read.parquet(f"{path}/data").select(
         F.col("treeID").alias("tree"), F.col("nodeData.id").alias("node"), (weight * value).alias("value"),
-        "nodeData.leftChild", "nodeData.rightChild", "nodeData.split.*",
+        "nodeData.leftChild", "nodeData.rightChild", F.col("nodeData.split.featureIndex").alias("slot"),
     )
     base = nodes.where("node = 0").agg(F.sum("value")).first()[0]
     values = nodes.select("tree", F.col("node").alias("child"), F.col("value").alias("child_value"))
@@ -96,16 +98,28 @@ def _tree_nodes(model: PipelineModel) -> tuple[DataFrame, float, str]:
     for side in ("left", "right"):
         child = values.withColumnsRenamed({"child": f"{side}Child", "child_value": f"{side}_value"})
         inner = inner.join(child, ["tree", f"{side}Child"])
-    return (
-        inner.select(
-            "tree", "node", F.col("featureIndex").alias("slot"),
-            F.col("leftCategoriesOrThreshold").alias("cut"), (F.col("numCategories") >= 0).alias("by_category"),
-            F.struct(F.col("leftChild").alias("node"), (F.col("left_value") - F.col("value")).alias("change")).alias("left"),
-            F.struct(F.col("rightChild").alias("node"), (F.col("right_value") - F.col("value")).alias("change")).alias("right"),
-        ),
-        base,
-        scale,
-    )
+    steps = [
+        F.struct(F.col(f"{side}Child").alias("node"), F.struct("slot", (F.col(f"{side}_value") - F.col("value")).alias("change")).alias("step"))
+        for side in ("left", "right")
+    ]
+    inner = stage_table(inner.select("tree", "node", F.array(*steps).alias("children")), "inner-nodes")
+    nothing = F.array().cast("array<struct<slot:int,change:double>>")
+    reached = nodes.where("node = 0").select("tree", "node", nothing.alias("path"))
+    stay = F.array(F.struct("node", F.lit(None).cast("struct<slot:int,change:double>").alias("step")))
+    for _ in range(last.getOrDefault("maxDepth")):
+        below = reached.join(F.broadcast(inner), ["tree", "node"], "left")
+        below = below.select("tree", "path", F.inline(F.coalesce("children", stay)))
+        path_below = F.when(F.col("step").isNull(), F.col("path")).otherwise(F.concat("path", F.array("step")))
+        reached = below.select("tree", "node", path_below.alias("path"))
+
+    def change(slot: Column) -> Column:
+        own = F.filter("path", lambda step: step["slot"] == slot)
+        return F.aggregate(own, F.lit(0.0), lambda total, step: total + step["change"])
+
+    slots = F.sequence(F.lit(0), F.lit(last.numFeatures - 1))
+    leaf = F.row_number().over(Window.partitionBy("tree").orderBy("node")) - 1
+    leaves = reached.select("tree", leaf.alias("leaf"), F.transform(slots, change).alias("changes"))
+    return stage_table(leaves, "leaves"), base, scale
 
 
 def tree_contributions(
@@ -114,40 +128,26 @@ def tree_contributions(
     """(contributions of every feature in long form, base, scale) of a forest or boosted trees.
 
     Every split on a row's way through a tree is credited to its feature with the change of the node's value, so that
-    base plus all contributions is the row's score on that scale; the base is the mean of the training rows. A row walks
-    all trees at once, one level per join with the table of inner nodes, whose size is bounded by trees and depth. Pass
-    the rows to be explained and not a whole table; rows with a key that occurs twice would be added up.
+    base plus all contributions is the row's score on that scale; the base is the mean of the training rows. The model
+    names the leaf a row ends in per tree, and the leaf tells the changes on the way to it, so a row meets one table of
+    leaves, whose size is bounded by trees and depth, and is then joined with its sums by key alone. Pass the rows to
+    be explained and not a whole table; rows with a key that occurs twice would be added up.
     """
-    inner, base, scale = _tree_nodes(model)
-    last = model.stages[-1]
-    encoded = model.transform(rows).select(key, vector_to_array("features").alias("_x"))
-    nothing = F.array().cast("array<struct<slot:int,change:double>>")
-    walk = encoded.select(
-        key, "_x", F.explode(F.sequence(F.lit(0), F.lit(last.getNumTrees - 1))).alias("tree"), F.lit(0).alias("node"),
-        nothing.alias("path"),
-    )
-    value = F.get("_x", F.col("slot"))
-    side = F.when(
-        F.when(F.col("by_category"), F.array_contains("cut", value)).otherwise(value <= F.get("cut", F.lit(0))), F.col("left")
-    ).otherwise(F.col("right"))
-    for _ in range(last.getOrDefault("maxDepth")):
-        met = walk.join(F.broadcast(inner), ["tree", "node"], "left").withColumn("_side", side)
-        step = F.array(F.struct("slot", F.col("_side.change").alias("change")))
-        walk = met.select(
-            key, "_x", "tree",
-            F.when(F.col("slot").isNull(), F.lit(-1)).otherwise(F.col("_side.node")).alias("node"),
-            F.when(F.col("slot").isNull(), F.col("path")).otherwise(F.concat("path", step)).alias("path"),
-        )
-    sums = (
-        walk.select(F.col(key).alias("_key"), F.inline("path")).groupBy("_key", "slot").agg(F.sum("change").alias("_change"))
+    leaves, base, scale = _tree_leaves(model)
+    last, names = model.stages[-1], feature_names(model)
+    named = PipelineModel([*model.stages[:-1], last.copy({last.leafCol: "_leaf"})])
+    encoded = named.transform(rows).select(
+        key, vector_to_array("features").alias("_x"), vector_to_array("_leaf").alias("_leaf")
     )
-    names = F.array(*[F.lit(n) for n in feature_names(model)])
-    every = encoded.select(key, F.posexplode("_x").alias("_slot", "value"))
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slot") == F.col("slot"))
-    long_form = every.join(sums, same, "left").select(
-        key, F.get(names, F.col("_slot")).alias("feature"), "value", F.coalesce("_change", F.lit(0.0)).alias("contribution")
+    ends = encoded.select(F.col(key).alias("_key"), F.posexplode("_leaf").alias("tree", "leaf"))
+    ends = ends.withColumn("leaf", F.col("leaf").cast("int")).join(F.broadcast(leaves), ["tree", "leaf"])
+    sums = ends.groupBy("_key").agg(*[F.sum(F.get("changes", F.lit(i))).alias(f"_change{i}") for i in range(len(names))])
+    sums = sums.select("_key", F.array(*[f"_change{i}" for i in range(len(names))]).alias("_changes"))
+    every = encoded.select(key, "_x").join(sums, F.col(key).eqNullSafe(F.col("_key")), "left")
+    zipped = F.arrays_zip(
+        F.array(*[F.lit(n) for n in names]).alias("feature"), F.col("_x").alias("value"), F.col("_changes").alias("contribution")
     )
-    return long_form, base, scale
+    return every.select(key, F.inline(zipped)).toDF(key, "feature", "value", "contribution"), base, scale
 
 
 def additive_contributions(
