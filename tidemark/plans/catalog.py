@@ -574,7 +574,7 @@ def _(t: StarTables) -> DataFrame:
 @query("mcfadden_r2", digits=4)
 def _(t: StarTables) -> DataFrame:
     fit = _mixed(t).fit
-    return fit.crossJoin(inference.mcfadden_r2(fit))
+    return fit.withColumn("mcfadden_r2", F.lit(inference.mcfadden_r2(fit).first()[0]).cast("double"))
 
 
 @query("statistics_report")
@@ -632,13 +632,14 @@ def _explained(t: StarTables, name: str) -> DataFrame:
     profiles = rows.select(F.col("customer_id").alias("profile_id"), *features.CATEGORICAL, *features.NUMERIC)
     scored, reasons = scoring.score_profiles(model, profiles, test)
     reasons = stage_table(reasons, "reasons")
-    top = explain.driver_ranking(reasons, 1).select(F.col("feature").alias("top_driver"))
+    top = explain.driver_ranking(reasons, 1).first()
     p = F.col("churn_probability")
     score = F.when(F.col("score_scale") == explain.LOGIT, F.log(p / (1 - p))).otherwise(p)
     sums = reasons.groupBy("profile_id").agg(F.sum("contribution").alias("parts"), F.count("*").alias("n_parts"))
-    return scored.join(sums, "profile_id").crossJoin(F.broadcast(top)).select(
+    return scored.join(sums, "profile_id").select(
         F.lit(name).alias("model"), "profile_id", rules.at_least_half("churn_probability").alias("predicted"), "score_scale",
-        (F.abs(F.col("base_value") + F.col("parts") - score) < 1e-6).alias("adds_up"), "n_parts", "top_driver",
+        (F.abs(F.col("base_value") + F.col("parts") - score) < 1e-6).alias("adds_up"), "n_parts",
+        F.lit(top and top["feature"]).cast("string").alias("top_driver"),
     )
 
 
@@ -664,7 +665,8 @@ def _(t: StarTables) -> DataFrame:
     rows = stage_table(feature_rows(t).withColumn("tenure_months", months), "lifetime-rule")
     model, error = lifetime.fit_lifetime_model(rows, trees=20)
     valued = lifetime.predicted_clv(lifetime.predict_lifetime(model, rows))
-    return valued.select("customer_id", "predicted_total_tenure_months", "predicted_clv").crossJoin(F.broadcast(error))
+    measured = [F.lit(value).cast("double").alias(name) for name, value in error.first().asDict().items()]
+    return valued.select("customer_id", "predicted_total_tenure_months", "predicted_clv", *measured)
 
 
 @query("kmeans_bands")
