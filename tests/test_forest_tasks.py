@@ -32,6 +32,27 @@ def test_tasks_of_a_forest_are_bounded_until_they_are_full():
     assert tasks(24_000_000) == 481
 
 
+def test_tasks_of_a_series_of_short_jobs_are_bounded_until_they_are_full():
+    parts = {n: n // session.fit_rows_per_task(n) + 1 for n in (0, 19_999, 20_000, 479_999, 720_000, 4_320_000, 48_000_000)}
+    assert list(parts.values()) == [1, 1, 2, 24, 24, 24, 241]
+
+
+@pytest.mark.parametrize("name", ["logistic_regression", "boosted_trees"])
+def test_series_of_short_jobs_are_fitted_in_that_many_tasks(rows, monkeypatch, name):
+    parts = []
+
+    def counted(df, *sizes):
+        dealt = session.spread(df, *sizes)
+        parts.append(dealt.rdd.getNumPartitions())
+        return dealt
+
+    monkeypatch.setattr(session, "FIT_TASKS", 3)
+    monkeypatch.setattr(session, "FIT_ROWS_PER_TASK", 100)
+    monkeypatch.setattr(models, "spread", counted)
+    models.fit_classifier(rows, name, trees=2)
+    assert parts == [3]
+
+
 @pytest.mark.parametrize("fit", ["random_forest", "lifetime"])
 def test_forests_are_fitted_in_that_many_tasks(rows, monkeypatch, fit):
     parts = []

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from tidemark.operators.evaluation import binary_metrics
 from tidemark.operators.features import CATEGORICAL, NUMERIC
 from tidemark.schemas import MODEL_COMPARISON
-from tidemark.session import forest_rows_per_task, shared_folder, side_by_side, spread, stage_table
+from tidemark.session import fit_rows_per_task, forest_rows_per_task, shared_folder, side_by_side, spread, stage_table
 
 SEED = 42
 LABEL, WEIGHT = "churned", "class_weight"
@@ -130,7 +130,7 @@ def fit_classifier(
     n_train, n_labelled = train.agg(F.count("*"), F.count_if(F.col(LABEL).isin(0, 1))).first()
     if n_train != n_labelled:
         raise ValueError(f"{n_train - n_labelled} training rows have no label 0 or 1")
-    rows_per_task = forest_rows_per_task(n_train) if name == "random_forest" else 20_000
+    rows_per_task = forest_rows_per_task(n_train) if name == "random_forest" else fit_rows_per_task(n_train)
     rows = with_class_weight(train.select(*categorical, *numeric, LABEL), scheme)
     rows = spread(rows, n_train, rows_per_task).persist()  # last, as a join above would drop the order
     try:

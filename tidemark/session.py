@@ -17,6 +17,9 @@ Result = TypeVar("Result")
 #: Tasks of a forest fit that are enough for a usual cluster, and the rows beyond which a task is divided again.
 FOREST_TASKS, FOREST_ROWS_PER_TASK = 48, 50_000
 
+#: The same for fits of many short jobs (boosting, regression), whose rows per task start at FIT_ROWS_PER_TASK.
+FIT_TASKS, FIT_ROWS_PER_TASK, MOST_FIT_ROWS_PER_TASK = 24, 20_000, 200_000
+
 
 def build_session(app_name: str = "tidemark", master: str | None = None, **settings: str) -> SparkSession:
     """Session with the settings the jobs are tuned for; `settings` win over the defaults.
@@ -97,6 +100,16 @@ def forest_rows_per_task(n_rows: int) -> int:
     return min(max(500, n_rows // FOREST_TASKS + 1), FOREST_ROWS_PER_TASK)
 
 
+def fit_rows_per_task(n_rows: int) -> int:
+    """Rows per task of a fit that is a long series of short jobs, for `spread`.
+
+    Each job waits for the one before, and every one of its tasks costs the same however few rows it has, on the map and
+    on the reduce side. So beyond FIT_TASKS tasks they get more rows instead, and there are more tasks only where one
+    would hold over MOST_FIT_ROWS_PER_TASK.
+    """
+    return min(max(FIT_ROWS_PER_TASK, n_rows // FIT_TASKS + 1), MOST_FIT_ROWS_PER_TASK)
+
+
 def side_by_side(spark: SparkSession, fits: list[Callable[[], Result]], workers: int = 4) -> list[Result]:
     """Run independent model fits at the same time, so that their many short jobs fill the cluster."""
     tagged = [inheritable_thread_target(spark)(fit) for fit in fits]
