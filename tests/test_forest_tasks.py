@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,6 +55,60 @@ def test_series_of_short_jobs_are_fitted_in_that_many_tasks(rows, monkeypatch, n
     assert parts == [3]
 
 
+@pytest.mark.parametrize("name", models.CLASSIFIERS)
+def test_rows_are_encoded_once_and_keep_their_partitions(rows, monkeypatch, name):
+    """A classifier reads rows that are stored encoded, with the columns' attributes, and no longer how they came about."""
+    given, made = [], models.classifier
+
+    class Watched:
+        def __init__(self, *args):
+            self.inner = made(*args)
+
+        def fit(self, encoded):
+            given.append(encoded)
+            return self.inner.fit(encoded)
+
+    monkeypatch.setattr(models, "classifier", Watched)
+    monkeypatch.setattr(session, "FIT_ROWS_PER_TASK", 500)
+    model = models.fit_classifier(rows, name, trees=2)
+    (encoded,) = given
+    plan = plan_of(encoded)
+    assert encoded.rdd.getNumPartitions() == 3
+    assert "ExistingRDD" in plan and "InMemory" not in plan and "Exchange" not in plan
+    attributes = encoded.schema["features"].metadata["ml_attr"]["attrs"]
+    assert len(attributes["binary"]) + len(attributes["numeric"]) == len(models.feature_names(model))
+    assert model.transform(rows).where(F.col("prediction").isNull()).count() == 0
+
+
+def test_a_model_is_scored_while_others_are_fitted(rows, monkeypatch):
+    scored, fit, score = threading.Event(), models.fit_classifier, models.with_probability
+
+    def slow(train, name, **given):
+        assert name == "logistic_regression" or scored.wait(60)
+        return fit(train, name, **given)
+
+    def watched(*given):
+        scored.set()
+        return score(*given)
+
+    monkeypatch.setattr(models, "fit_classifier", slow)
+    monkeypatch.setattr(models, "with_probability", watched)
+    names = ("random_forest", "logistic_regression")
+    table, fitted, frames = models.compare_classifiers(rows, rows, names, trees=2)
+    assert {r.model for r in table.collect()} == set(fitted) == set(frames) == set(names)
+
+
+def test_a_forest_of_many_rows_grows_few_trees_a_job():
+    mb = [models.classifier("random_forest", n).getMaxMemoryInMB() for n in (1, 480_000, 480_001, 4_320_000)]
+    assert mb == [256, 256, 1, 1]
+
+
+def test_smaller_groups_grow_all_trees_of_a_forest(rows, monkeypatch):
+    monkeypatch.setattr(session, "FOREST_GROUP_ROWS", 100)
+    model = models.fit_classifier(rows, "random_forest", trees=40).stages[-1]
+    assert model.getNumTrees == 40 and min(tree.numNodes for tree in model.trees) > 1
+
+
 @pytest.mark.parametrize("fit", ["random_forest", "lifetime"])
 def test_forests_are_fitted_in_that_many_tasks(rows, monkeypatch, fit):
     parts = []

@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from tidemark.operators.evaluation import binary_metrics
 from tidemark.operators.features import CATEGORICAL, NUMERIC
 from tidemark.schemas import MODEL_COMPARISON
-from tidemark.session import fit_rows_per_task, forest_rows_per_task, shared_folder, side_by_side, spread, stage_table
+from tidemark.session import (
+    fit_rows_per_task, forest_group_mb, forest_rows_per_task, shared_folder, side_by_side, spread, stage_table,
+)
 
 SEED = 42
 LABEL, WEIGHT = "churned", "class_weight"
@@ -105,7 +107,8 @@ def classifier(name: str, n_train: int, trees: int = 300, seed: int = SEED):
         )
     if name == "random_forest":
         return RandomForestClassifier(
-            **common, numTrees=trees, maxDepth=8, featureSubsetStrategy="sqrt", seed=seed
+            **common, numTrees=trees, maxDepth=8, featureSubsetStrategy="sqrt", seed=seed,
+            maxMemoryInMB=forest_group_mb(n_train),
         )
     if name == "boosted_trees":
         return GBTClassifier(
@@ -124,7 +127,7 @@ def fit_classifier(
     seed: int = SEED,
 ) -> PipelineModel:
     """Fit encoding and classifier on the training rows; give staged rows, they are read repeatedly."""
-    # Boosting cuts its growing lineage in the checkpoint folder, so that has to be known.
+    # The encoded rows, and the growing lineage of boosting, are cut in the checkpoint folder, so that has to be known.
     shared_folder(train.sparkSession)
     scheme = "positive_weight" if name == "boosted_trees" else "balanced_weight"
     n_train, n_labelled = train.agg(F.count("*"), F.count_if(F.col(LABEL).isin(0, 1))).first()
@@ -135,9 +138,13 @@ def fit_classifier(
     rows = spread(rows, n_train, rows_per_task).persist()  # last, as a join above would drop the order
     try:
         # every stage reads them, some several times; dealt and sorted once
-        return Pipeline(stages=[*encoder(categorical, numeric), classifier(name, n_train, trees, seed)]).fit(rows)
+        encoding = Pipeline(stages=encoder(categorical, numeric)).fit(rows)
+        # Encoded once too, in the same partitions and order. The checkpoint also spares every task of the many jobs of a
+        # fit from unpacking how its rows came about.
+        encoded = encoding.transform(rows).select("features", LABEL, WEIGHT).checkpoint()
     finally:
         rows.unpersist()
+    return PipelineModel(stages=[*encoding.stages, classifier(name, n_train, trees, seed).fit(encoded)])
 
 
 def with_probability(model: PipelineModel, rows: DataFrame, column: str = "churn_probability") -> DataFrame:
@@ -149,12 +156,21 @@ def with_probability(model: PipelineModel, rows: DataFrame, column: str = "churn
 def compare_classifiers(
     train: DataFrame, test: DataFrame, names: tuple[str, ...] = CLASSIFIERS, trees: int = 300, seed: int = SEED
 ) -> tuple[DataFrame, dict[str, PipelineModel], dict[str, DataFrame]]:
-    """Fit every classifier: metrics on the test rows (best first), the models, the scored test rows."""
-    fits = [partial(fit_classifier, train, name, trees=trees, seed=seed) for name in names]
-    models = dict(zip(names, side_by_side(train.sparkSession, fits)))
-    # read twice, for the metrics and for the curve
-    scored = {name: stage_table(with_probability(model, test), "scored-test") for name, model in models.items()}
-    rows = [Row(model=name, **binary_metrics(frame, LABEL).first().asDict()) for name, frame in scored.items()]
+    """Fit every classifier: metrics on the test rows (best first), the models, the scored test rows.
+
+    A model is scored as soon as it is there, while others are still being fitted.
+    """
+
+    def fitted(name: str) -> tuple[PipelineModel, DataFrame, Row]:
+        model = fit_classifier(train, name, trees=trees, seed=seed)
+        # read twice, for the metrics and for the curve
+        frame = stage_table(with_probability(model, test), "scored-test")
+        return model, frame, Row(model=name, **binary_metrics(frame, LABEL).first().asDict())
+
+    found = side_by_side(train.sparkSession, [partial(fitted, name) for name in names])
+    models = {name: model for name, (model, _, _) in zip(names, found)}
+    scored = {name: frame for name, (_, frame, _) in zip(names, found)}
+    rows = [row for _, _, row in found]
     table = train.sparkSession.createDataFrame(rows, MODEL_COMPARISON)
     return table.orderBy(F.col("roc_auc").desc_nulls_last(), "model"), models, scored
 
